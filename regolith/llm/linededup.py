@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regolith.session import stage
+
+#: Parts that the pages of one host are dealt to where hosts' lines are too many to broadcast.
+SALTS = 64
+
 
 def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(line, F.lit(1)).alias("b"))
@@ -35,9 +40,13 @@ def drop_common_lines(
     """
     host = F.coalesce(F.col("source").cast("string") if host is None else host, F.lit("\0"))
     text = F.col(text_col).cast("string")
-    bad = boilerplate(docs, ratio, min_pages, host, text).select(F.col("host").alias("__host"), F.col("keys").alias("__keys"))
+    bad = boilerplate(docs, ratio, min_pages, host, text).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # staged, so that Spark knows its size: it is broadcast if small, and pages stay where they are
+    bad = stage(bad, "common_lines").select(F.col("host").alias("__host"), F.col("salt").alias("__salt"), F.col("keys").alias("__keys"))
     names = [c for c in docs.columns if c != n_dropped]
-    joined = docs.withColumn("__own", host).join(bad, F.col("__own") == F.col("__host"), "left")
+    salt = F.pmod(F.xxhash64(text, F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")
+    joined = docs.withColumn("__own", host).withColumn("__part", salt)
+    joined = joined.join(bad, (F.col("__own") == F.col("__host")) & (F.col("__part") == F.col("__salt")), "left")
     lines = F.split(text, "\n", -1)
     kept = F.filter(lines, lambda x: ~F.coalesce(F.array_contains("__keys", _key(x)), F.lit(False)) | (F.trim(x) == ""))
     clean = F.when(F.col("__keys").isNull(), text).otherwise(F.array_join(kept, "\n"))
