@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regolith.session import some
+
 #: Labelled pages at most that the weights are learned from.
 MAX_PAGES = 2000
 #: Kinds of elements, as HTML defines them (fixed values).
@@ -200,7 +202,7 @@ def main_text(pages: DataFrame, html_col: str = "html", out_col: str = "text", m
     """``pages`` with ``out_col`` (replaced if there): the main text, "" if a page has none or its html is null.
 
     The weights come from ``labelled`` pages, or from pages of the table itself whose markup names the article, at most
-    ``max_pages`` of them, those first by a hash of the page. Words score their log odds, tags theirs (never above zero),
+    ``max_pages`` of them, spread by a hash of the page. Words score their log odds, tags theirs (never above zero),
     and a linear scan finds the best contiguous region; elements in it that surround articles (menus, notices, adverts,
     forms, comments) are left out. Pages are independent rows of one pass; long and empty pages, repeated rows and empty
     tables need no special case.
@@ -208,7 +210,7 @@ def main_text(pages: DataFrame, html_col: str = "html", out_col: str = "text", m
     if out_col != html_col:
         pages = pages.drop(out_col)
     known = (pages if labelled is None else labelled).select(F.col(html_col).alias("h")).filter("h IS NOT NULL AND length(h) < 1000000")
-    weights = learn([r["h"] for r in known.orderBy(F.xxhash64("h")).limit(max_pages).collect()])
+    weights = learn([r["h"] for r in some(known, max_pages, "h").collect()])
     place = pages.columns.index(html_col)
 
     def run(batches):
