@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regolith.session import cut
+from regolith.session import cut, stage
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -40,3 +40,85 @@ def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def component_ranks(components: DataFrame) -> DataFrame:
+    """(id, component, component_rank, size): components by size, largest first, the smallest id first of equals; from 0."""
+    from regolith.operators.windows import global_rank
+
+    sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    ranked = global_rank(sizes, [-F.col("size"), "component"], "__r").select("component", "size", (F.col("__r") - 1).alias("component_rank"))
+    return components.join(ranked, "component").select("id", "component", "component_rank", "size")
+
+
+def component_summary(edges: DataFrame, components: DataFrame) -> DataFrame:
+    """(component, size, pairs), a row for each component."""
+    sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    pairs = edges.join(components, F.col("src") == F.col("id")).groupBy("component").agg(F.count(F.lit(1)).alias("pairs"))
+    return sizes.join(pairs, "component", "left").select("component", "size", F.coalesce("pairs", F.lit(0).cast("long")).alias("pairs"))
+
+
+def check_connectivity(edges: DataFrame) -> DataFrame:
+    """One row: is_connected, num_pairs, num_components, component_sizes, num_pairs_per_component and degree_hist_per_component,
+    largest component first. No edges give 0 components. Members stay in ``connected_components``' rows: they may be many.
+    """
+    from regolith.operators.aggregates import degree_histogram
+
+    components = cut(connected_components(edges))
+    summary = component_summary(edges, components)
+    degrees = degree_histogram(edges, components).groupBy("component").agg(F.array_sort(F.collect_list(F.struct("degree", "vertices"))).alias("hist"))
+    rows = F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("s"), "component", "pairs", "hist")))
+    report = summary.join(degrees, "component").agg(rows.alias("r"), F.coalesce(F.sum("pairs"), F.lit(0).cast("long")).alias("num_pairs"))
+    return report.select(
+        (F.size("r") == 1).alias("is_connected"), "num_pairs", F.size("r").cast("long").alias("num_components"),
+        F.transform("r", lambda x: -x["s"]).alias("component_sizes"), F.transform("r", lambda x: x["pairs"]).alias("num_pairs_per_component"), F.transform("r", lambda x: F.map_from_entries(F.transform(x["hist"], lambda h: F.struct(h["degree"].cast("string"), h["vertices"])))).alias("degree_hist_per_component"),
+    )
+
+
+def max_spanning_forest(edges: DataFrame, weight: str = "weight") -> DataFrame:
+    """(src, dst, weight): the heaviest forest (Borůvka's rounds); of equal weights the smaller (src, dst)."""
+    rest = stage(edges.select("src", "dst", F.col(weight).alias("weight")).filter("src <> dst").distinct(), "edges")
+    vertices = rest.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    label = vertices.withColumn("component", F.col("id"))
+    forest = None
+    while True:
+        named = rest.join(label.select(F.col("id").alias("src"), F.col("component").alias("cs")), "src").join(label.select(F.col("id").alias("dst"), F.col("component").alias("cd")), "dst").filter("cs <> cd")
+        both = named.select(F.explode(F.array("cs", "cd")).alias("c"), "src", "dst", "weight")
+        lightest = Window.partitionBy("c").orderBy(F.desc("weight"), "src", "dst")
+        best = stage(both.withColumn("n", F.row_number().over(lightest)).filter("n = 1").select("src", "dst", "weight").distinct(), "lightest")
+        if best.isEmpty():
+            return rest.limit(0) if forest is None else forest
+        forest = best if forest is None else stage(forest.union(best), "forest")
+        label = vertices.join(connected_components(forest), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
+def neighbors(edges: DataFrame, vertex) -> DataFrame:
+    both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return both.filter(F.col("src") == vertex).select(F.col("dst").alias("id")).distinct()
+
+
+def shortest_path(edges: DataFrame, start, end, max_length: int = 1000) -> DataFrame:
+    """(step, id) of a path with the fewest edges, by smallest parents; empty if there is none."""
+    spark = edges.sparkSession
+    both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    kind = both.schema["src"].dataType.simpleString()
+    front = spark.createDataFrame([(start, None, 0)], f"id {kind}, parent {kind}, step int")
+    seen, steps = front, 0
+    while steps < max_length and front.filter(F.col("id") == end).isEmpty():
+        steps += 1
+        front = cut(front.join(both, F.col("id") == F.col("src")).groupBy("dst").agg(F.min("src").alias("parent")).join(seen.select(F.col("id").alias("dst")), "dst", "left_anti").select(F.col("dst").alias("id"), "parent", F.lit(steps).alias("step")))
+        if front.isEmpty():
+            return spark.createDataFrame([], f"step int, id {kind}")
+        seen = cut(seen.union(front))
+    path, at = [], end
+    for step in range(steps, -1, -1):  # one row for each step of the path
+        path.append((step, at))
+        row = seen.filter(F.col("id") == at).first()
+        at = row["parent"]
+    return spark.createDataFrame(path[::-1], f"step int, id {kind}")
+
+
+def subgraph(edges: DataFrame, ranked: DataFrame, index: int) -> DataFrame:
+    """Edges whose ends are in the component of that rank."""
+    inside = ranked.filter(F.col("component_rank") == index).select("id")
+    return edges.join(inside.withColumnRenamed("id", "src"), "src", "left_semi").join(inside.withColumnRenamed("id", "dst"), "dst", "left_semi")

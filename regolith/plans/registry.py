@@ -1,11 +1,808 @@
-"""All queries by name, with the SQL that DuckDB runs on the same tables."""
+"""Queries over the derived image tables (plans.fixtures), each beside the SQL that must give the same rows."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from regolith.functions import angles, geometry, ids
+from regolith.operators import aggregates, coverage, filters, graph, joins, lists, ordering, raster, spatial, windows
+from regolith.plans import cover as cover_plan
+from regolith.plans import fixtures, network, stereo
+from regolith.sources import readers, writers
+from regolith.streaming import streams
+
+Load = Callable[[str], DataFrame]
+_QUERIES: dict[str, Callable] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(*views: str, sql: str | None = None):
+    """Register a function of a table loader under its name, with its SQL over the views."""
+
+    def add(f: Callable[[Load], DataFrame]):
+        name = f.__name__
+        _QUERIES[name] = lambda spark, sf_dir: f(lambda table: fixtures.load(spark, sf_dir, table))
+        if sql:
+            _SQL[name] = (fixtures.with_views(*views) if any(v in fixtures.VIEWS for v in views) else "") + sql
+        return f
+
+    return add
+
+
+def rounded(*columns: str):
+    return [F.round(c, 6).alias(c) for c in columns]
+
+
+# Sources and sinks.
+
+
+@query("id_list", sql="SELECT pos AS \"index\", split_part(value, '/', 2) AS name FROM id_list")
+def attribute_table(t: Load) -> DataFrame:
+    return writers.attribute_table(t("id_list"))
+
+
+@query("pair_stats", sql="SELECT 'a/' || l_image || '.x a/' || r_image || '.x' AS value FROM pair_stats")
+def pair_list_lines(t: Load) -> DataFrame:
+    return writers.pair_lines(t("pair_stats"), "l_image", "r_image", "a/", ".x")
+
+
+@query("pair_stats", sql="SELECT split_part(l_image, '/', 2) AS \"left\", num FROM pair_stats WHERE p25 > 0")
+def parsed_pair_stats(t: Load) -> DataFrame:
+    text = t("pair_stats").select(F.concat_ws(" ", *[F.col(c).cast("string") for c in ("l_image", "r_image", "p25", "p50", "p75", "p85", "p95", "num")]).alias("value"))
+    separator, _, schema = readers.FORMATS["pair_stats"]
+    return readers.parse(text, separator, schema).filter("p25 > 0").select(ids.basename(F.col("left")).alias("left"), "num")
+
+
+@query("images", sql="""SELECT product_id AS id, CAST(x0 AS BIGINT) AS bx0, round(90 - incidence_angle, 6) AS elevation FROM images WHERE k % 2 = 0""")
+def catalog_items(t: Load) -> DataFrame:
+    images = t("images").withColumn("start_time", F.lit("2020-01-01"))
+    assets = images.filter("k % 2 = 0").select(F.col("product_id").alias("id"), F.concat(F.lit("maps/"), "product_id", F.lit(".tif")).alias("path"))
+    items = writers.catalog_items(images, assets)
+    return items.select("id", F.get_json_object("item", "$.bbox[0]").cast("double").cast("long").alias("bx0"), F.round(F.get_json_object("item", "$.properties['view:sun_elevation']").cast("double"), 6).alias("elevation"))
+
+
+@query("images", sql="""SELECT CAST(c AS INT) AS chunk, count(*) AS n, min(x0) AS x0, max(y1) AS y1, min(a) AS az0, max(a) AS az1
+FROM (SELECT *, ntile((SELECT CAST(ceil(count(*) / 20.0) AS BIGINT) FROM images)) OVER (ORDER BY roi_sub_solar_ground_azimuth, product_id) - 1 AS c, roi_sub_solar_ground_azimuth AS a FROM images) GROUP BY c""")
+def catalog_collections(t: Load) -> DataFrame:
+    return writers.catalog_collections(t("images")).select("chunk", "n", "x0", "y1", "az0", "az1")
+
+
+@query("images", sql="SELECT count(*) AS n FROM images")
+def provenance(t: Load) -> DataFrame:
+    return writers.fingerprint(t("images")).select("n")
+
+
+@query("pixels", sql="SELECT raster_id AS image_id, CAST(2.0 AS DOUBLE) AS native_gsd_m FROM pixels GROUP BY 1")
+def gsd_table(t: Load) -> DataFrame:
+    return writers.gsd_rows(t("pixels").withColumn("res", F.lit(2.0)))
+
+
+@query("images", sql="SELECT product_id FROM images")
+def curve_ordered_index(t: Load) -> DataFrame:
+    rows = writers.curve_ordered(t("images"), F.col("x0"), F.col("y0"), (0.0, 0.0, 32768.0, 32768.0), 4)
+    return rows.select("product_id")
+
+
+# Scalar functions.
+
+
+@query("pages", sql="""SELECT page_id, split_part(regexp_extract(url, '[^/]*$'), '.', 1) AS stem, CASE WHEN length(url) > 2 THEN url[1:length(url)-2] ELSE '' END AS head FROM pages""")
+def url_names(t: Load) -> DataFrame:
+    return t("pages").select("page_id", ids.filename_to_pid(F.col("url")).alias("stem"), ids.observation_id(F.col("url")).alias("head"))
+
+
+@query("images", sql="""SELECT product_id, product_id AS strict, product_id AS loose, left(product_id, length(product_id) - 2) AS observation,
+ 'https://view/' || product_id AS url, 'maps/' || product_id || '.map.tif' AS path, 'img/' || product_id || '.json' AS replaced FROM images""")
+def id_functions(t: Load) -> DataFrame:
+    file = F.concat(F.lit("img/"), "product_id", F.lit(".cal.echo.cub"))
+    pid = F.col("product_id")
+    return t("images").select(
+        pid, ids.extract_pid(file).alias("strict"), ids.extract_pid(file, strict=False).alias("loose"), ids.observation_id(pid).alias("observation"),
+        ids.view_url(pid, "https://view/").alias("url"), ids.rewrite_path(pid, "maps", ".map.tif").alias("path"), ids.replace_suffix(file, ".cal.echo.cub", ".json").alias("replaced"),
+    )
+
+
+def _bounded(v: str, li: float, hi: float, low: float, high: float) -> str:
+    below = f"({v} - {low}) / ({li} - {low})" if li > low else "-1"
+    above = f"({high} - {v}) / ({high} - {hi})" if high > hi else "-1"
+    return f"round(CAST(CASE WHEN {v} < {li} THEN {below} WHEN {v} > {hi} THEN {above} ELSE 1 END AS DOUBLE), 6)"
+
+
+@query("images", sql=f"""SELECT product_id, {_bounded('incidence_angle', 50.0, 50.0, 40.0, 65.0)} AS incidence, {_bounded('emission_angle', 22.5, 22.5, 0.0, 45.0)} AS emission,
+ {_bounded('phase_angle', 60.0, 60.0, 5.0, 120.0)} AS phase, {_bounded('resolution', 0.4, 0.6, 0.1, 1.0)} AS strength, {_bounded('resolution', 0.5, 1.0, 0.3, 1.0)} AS overlap,
+ {_bounded('(resolution / 0.5)', 1.0, 1.0, 1.0, 2.5)} AS gsd, {_bounded('slew_angle', 0.0, 0.0, 0.0, 2.58)} AS illumination FROM images""")
+def image_qualities(t: Load) -> DataFrame:
+    r = lambda c, n: F.round(c, 6).alias(n)
+    return t("images").select(
+        "product_id", r(angles.incidence_quality(F.col("incidence_angle")), "incidence"), r(angles.emission_quality(F.col("emission_angle")), "emission"), r(angles.phase_quality(F.col("phase_angle")), "phase"),
+        r(angles.stereo_strength_quality(F.col("resolution")), "strength"), r(angles.stereo_overlap_quality(F.col("resolution")), "overlap"), r(angles.gsd_quality(F.col("resolution"), F.lit(0.5)), "gsd"), r(angles.illumination_quality(F.col("slew_angle")), "illumination"),
+    )
+
+
+_AZIMUTH = """
+g AS (SELECT product_id, center_latitude AS glat, center_longitude AS glon, sub_solar_latitude AS slat, sub_solar_longitude AS slon FROM images),
+n AS (SELECT *, CASE WHEN abs(slon - glon) > 180 AND slon > glon THEN slon - 360 ELSE slon END AS s, CASE WHEN abs(slon - glon) > 180 AND glon > slon THEN glon - 360 ELSE glon END AS g,
+ radians(CASE WHEN glat < 0 THEN 90 + slat ELSE 90 - slat END) AS a, radians(CASE WHEN glat < 0 THEN 90 + glat ELSE 90 - glat END) AS b FROM g),
+c AS (SELECT *, acos(greatest(-1, least(1, cos(a) * cos(b) + sin(a) * sin(b) * cos(radians(abs(g - s)))))) AS c FROM n),
+z AS (SELECT *, degrees(acos(CASE WHEN sin(b) * sin(c) = 0 THEN 0 ELSE greatest(-1, least(1, (cos(a) - cos(b) * cos(c)) / (sin(b) * sin(c)))) END)) AS z FROM c)
+SELECT product_id, round(CASE WHEN s > g THEN CASE WHEN glat < 0 THEN 180 - z ELSE z END ELSE CASE WHEN glat < 0 THEN 180 + z ELSE 360 - z END END, 4) AS azimuth FROM z"""
+
+
+@query("images", sql="," + _AZIMUTH.strip())
+def ground_azimuths(t: Load) -> DataFrame:
+    az = angles.ground_azimuth(*[F.col(c) for c in ("center_latitude", "center_longitude", "sub_solar_latitude", "sub_solar_longitude")])
+    return t("images").select("product_id", F.round(az, 4).alias("azimuth"))
+
+
+@query("images", sql="""SELECT product_id, round(least(fmod(abs(roi_sub_solar_ground_azimuth - 10), 360), 360 - fmod(abs(roi_sub_solar_ground_azimuth - 10), 360)), 6) AS separation,
+ round(CASE WHEN center_longitude > 180 THEN center_longitude - 360 ELSE center_longitude END, 6) AS lon,
+ round(sqrt((tan(radians(incidence_angle)) * cos(radians(roi_sub_solar_ground_azimuth)) - tan(radians(50)) * cos(radians(90))) ** 2 + (tan(radians(incidence_angle)) * sin(radians(roi_sub_solar_ground_azimuth)) - tan(radians(50)) * sin(radians(90))) ** 2), 4) AS dsh,
+ round(degrees(acos(greatest(-1, least(1, sin(radians(emission_angle)) * sin(radians(20)) * cos(radians(sub_spacecraft_ground_azimuth) - radians(45)) + cos(radians(emission_angle)) * cos(radians(20)))))), 4) AS parallax FROM images WHERE incidence_angle < 89""")
+def angle_functions(t: Load) -> DataFrame:
+    c = F.col
+    return t("images").filter("incidence_angle < 89").select(
+        "product_id", F.round(angles.angular_separation(c("roi_sub_solar_ground_azimuth"), F.lit(10.0)), 6).alias("separation"), F.round(angles.normalize_longitude(c("center_longitude")), 6).alias("lon"),
+        F.round(angles.shadow_tip_distance(c("incidence_angle"), c("roi_sub_solar_ground_azimuth"), F.lit(50.0), F.lit(90.0)), 4).alias("dsh"),
+        F.round(angles.parallax(c("emission_angle"), c("sub_spacecraft_ground_azimuth"), F.lit(20.0), F.lit(45.0)), 4).alias("parallax"),
+    )
+
+
+@query("images", sql="""SELECT product_id, round((x1 - x0) * (y1 - y0), 6) AS area, round((x0 + x1) / 2, 6) AS cx, round((y0 + y1) / 2, 6) AS cy, round(greatest(x1 - x0, y1 - y0), 6) AS height, round(least(x1 - x0, y1 - y0), 6) AS width,
+ round(greatest(least(x1, 16000) - greatest(x0, 4000), 0) * greatest(least(y1, 16000) - greatest(y0, 4000), 0), 6) AS inside, x0 <= 16000 AND x1 >= 4000 AND y0 <= 16000 AND y1 >= 4000 AS meets FROM images""")
+def ring_geometry(t: Load) -> DataFrame:
+    ring = geometry.box_ring(*[F.col(c) for c in spatial.BOX])
+    roi = geometry.box_ring(*[F.lit(v) for v in (4000.0, 4000.0, 16000.0, 16000.0)])
+    rows = t("images").select("product_id", ring.alias("ring"))
+    rect, mid, r = geometry.min_rotated_rect(F.col("ring")), geometry.centroid(F.col("ring")), F.col("ring")
+    return rows.select(
+        "product_id", F.round(geometry.area(r), 6).alias("area"), F.round(mid["x"], 6).alias("cx"), F.round(mid["y"], 6).alias("cy"), F.round(rect["height"], 6).alias("height"), F.round(rect["width"], 6).alias("width"),
+        F.round(geometry.area(geometry.clip(r, roi)), 6).alias("inside"), geometry.convex_intersects(r, roi).alias("meets"),
+    )
+
+
+@query("images", sql="""SELECT product_id, CAST((floor(x1 / 1000 - 0.5) - ceil(x0 / 1000 - 0.5) + 1) * (floor(y1 / 1000 - 0.5) - ceil(y0 / 1000 - 0.5) + 1) AS BIGINT) AS n FROM images WHERE x0 % 500 <> 0 AND x1 % 500 <> 0 AND y0 % 500 <> 0 AND y1 % 500 <> 0""")
+def footprint_cells(t: Load) -> DataFrame:
+    rows = t("images").filter("x0 % 500 <> 0 AND x1 % 500 <> 0 AND y0 % 500 <> 0 AND y1 % 500 <> 0")
+    return rows.select("product_id", F.size(geometry.cells_of(geometry.box_ring(*[F.col(c) for c in spatial.BOX]), 1000.0)).cast("long").alias("n"))
+
+
+@query("images", sql="SELECT product_id, floor(x0) - 0.5 AS a, floor(y0) - 0.5 AS b, ceil(x1) + 0.5 AS c, ceil(y1) + 0.5 AS d, x0 - 10 AS e FROM images")
+def rounded_bounds(t: Load) -> DataFrame:
+    a, b, c, d = geometry.round_out_bounds(spatial.box())
+    return t("images").select("product_id", a.cast("double").alias("a"), b.cast("double").alias("b"), c.cast("double").alias("c"), d.cast("double").alias("d"), geometry.buffer_box(spatial.box(), 10)[0].alias("e"))
+
+
+# Cover, stereo, overlaps.
+
+_COVER = """,
+m AS (SELECT i.*, (least(i.x1, r.x1) - greatest(i.x0, r.x0)) * (least(i.y1, r.y1) - greatest(i.y0, r.y0)) / ((r.x1 - r.x0) * (r.y1 - r.y0)) AS fraction_area
+ FROM images i, roi r WHERE i.x0 <= r.x1 AND i.x1 >= r.x0 AND i.y0 <= r.y1 AND i.y1 >= r.y0 AND incidence_angle < 95 AND resolution <= 5 AND emission_angle <= 20 AND slew_angle <= 10),
+f AS (SELECT * FROM m WHERE fraction_area > 0.0025),
+o AS (SELECT *, row_number() OVER (ORDER BY roi_sub_solar_ground_azimuth, incidence_angle, product_id) AS orderid FROM f),
+p AS (SELECT *, coalesce(x0 <= lag(x1) OVER w AND lag(x0) OVER w <= x1 AND y0 <= lag(y1) OVER w AND lag(y0) OVER w <= y1, false) AS intersects_prior FROM o WINDOW w AS (ORDER BY orderid))
+"""
+
+
+@query("images", "roi", sql=_COVER + "SELECT product_id, round(fraction_area, 6) AS fraction_area, orderid, intersects_prior FROM p")
+def cover(t: Load) -> DataFrame:
+    return cover_plan.cover(t("images"), t("roi")).select("product_id", *rounded("fraction_area"), "orderid", "intersects_prior")
+
+
+@query("images", "roi", sql=_COVER + """, s AS (SELECT *, orderid - row_number() OVER (PARTITION BY intersects_prior ORDER BY orderid) AS g FROM p)
+SELECT intersects_prior, length, count(*) AS streaks FROM (SELECT intersects_prior, g, count(*) AS length FROM s GROUP BY 1, 2) GROUP BY 1, 2""")
+def streaks(t: Load) -> DataFrame:
+    return windows.streak_lengths(cover_plan.cover(t("images"), t("roi")))
+
+
+_PAIRS = """,
+l AS (SELECT i.* FROM images i, roi r WHERE i.x0 <= r.x1 AND i.x1 >= r.x0 AND i.y0 <= r.y1 AND i.y1 >= r.y0),
+raw AS (SELECT a.product_id AS l_product_id, b.product_id AS r_product_id, greatest(a.x0, b.x0) AS px0, greatest(a.y0, b.y0) AS py0, least(a.x1, b.x1) AS px1, least(a.y1, b.y1) AS py1,
+  (a.x1 - a.x0) * (a.y1 - a.y0) AS l_area, a.resolution AS lr, b.resolution AS rr, a.roi_sub_solar_ground_azimuth AS ls, b.roi_sub_solar_ground_azimuth AS rs,
+  a.incidence_angle AS li, b.incidence_angle AS ri, a.emission_angle AS le, b.emission_angle AS re, a.phase_angle AS lp, b.phase_angle AS rp, a.sub_spacecraft_ground_azimuth AS la, b.sub_spacecraft_ground_azimuth AS ra
+ FROM {0} a JOIN {0} b ON a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1 AND a.emission_angle < b.emission_angle AND abs(b.emission_angle - a.emission_angle) BETWEEN 6 AND 30
+ WHERE NOT (a.x0 >= b.x0 AND a.y0 >= b.y0 AND a.x1 <= b.x1 AND a.y1 <= b.y1) AND NOT (b.x0 >= a.x0 AND b.y0 >= a.y0 AND b.x1 <= a.x1 AND b.y1 <= a.y1))
+"""
+_STEREO = _PAIRS.format("l") + """,
+w AS (SELECT raw.*, 100 * (px1 - px0) * (py1 - py0) / l_area AS overlap_percent, 100 * (least(px1, r.x1) - greatest(px0, r.x0)) * (least(py1, r.y1) - greatest(py0, r.y0)) / ((r.x1 - r.x0) * (r.y1 - r.y0)) AS roi_overlap_percent,
+   fmod(abs(ls - rs), 360) AS sep0 FROM raw, roi r
+ WHERE px0 < r.x1 AND px1 > r.x0 AND py0 < r.y1 AND py1 > r.y0 AND NOT (px0 >= r.x0 AND py0 >= r.y0 AND px1 <= r.x1 AND py1 <= r.y1) AND NOT (r.x0 >= px0 AND r.y0 >= py0 AND r.x1 <= px1 AND r.y1 <= py1)),
+k AS (SELECT *, tan(radians(le)) AS tl, tan(radians(re)) AS tr, tan(radians(li)) AS il, tan(radians(ri)) AS ir FROM w
+ WHERE greatest(lr, rr) / least(lr, rr) < 2.25 AND roi_overlap_percent > 0.00005 AND overlap_percent > 25 AND px1 - px0 >= 1000 AND py1 - py0 >= 1000
+ AND greatest(px1 - px0, py1 - py0) <= 5 * least(px1 - px0, py1 - py0) AND least(sep0, 360 - sep0) < 30),
+d AS (SELECT *, sqrt((tl * cos(radians(la)) - tr * cos(radians(ra))) ** 2 + (tl * sin(radians(la)) - tr * sin(radians(ra))) ** 2) AS dp, sqrt((il * cos(radians(ls)) - ir * cos(radians(rs))) ** 2 + (il * sin(radians(ls)) - ir * sin(radians(rs))) ** 2) AS dsh FROM k)
+"""
+
+
+@query("images", "roi", sql=_STEREO + "SELECT l_product_id, r_product_id, round(overlap_percent, 6) AS overlap_percent, round(roi_overlap_percent, 6) AS roi_overlap_percent, round(dp, 4) AS dp, round(dsh, 4) AS dsh FROM d")
+def find_stereo(t: Load) -> DataFrame:
+    found = stereo.find_stereo(t("images"), t("roi"))
+    return found.select("l_product_id", "r_product_id", *rounded("overlap_percent", "roi_overlap_percent"), F.round("dp", 4).alias("dp"), F.round("dsh", 4).alias("dsh"))
+
+
+@query("images", "roi", sql=_STEREO + f""", q AS (SELECT l_product_id, r_product_id, least({_bounded('li', 50.0, 50.0, 40.0, 65.0)}, {_bounded('ri', 50.0, 50.0, 40.0, 65.0)}, {_bounded('le', 22.5, 22.5, 0.0, 45.0)}, {_bounded('re', 22.5, 22.5, 0.0, 45.0)},
+ {_bounded('lp', 60.0, 60.0, 5.0, 120.0)}, {_bounded('rp', 60.0, 60.0, 5.0, 120.0)}, {_bounded('(greatest(lr, rr) / least(lr, rr))', 1.0, 1.0, 1.0, 2.5)}, {_bounded('dp', 0.4, 0.6, 0.1, 1.0)}, {_bounded('dsh', 0.0, 0.0, 0.0, 2.58)}, {_bounded('abs(ls - rs)', 0.0, 20.0, 0.0, 100.0)}) AS q FROM d)
+SELECT l_product_id, r_product_id, CAST(CASE WHEN q < 0 THEN 0 ELSE 1 END AS INT) AS overall_quality FROM q""")
+def stereo_quality(t: Load) -> DataFrame:
+    return stereo.find_stereo(t("images"), t("roi")).select("l_product_id", "r_product_id", F.col("overall_quality").cast("int").alias("overall_quality"))
+
+
+@query("images", sql=_PAIRS.format("images").replace("l AS (SELECT i.* FROM images i, roi r WHERE i.x0 <= r.x1 AND i.x1 >= r.x0 AND i.y0 <= r.y1 AND i.y1 >= r.y0),", "") + "SELECT count(*) AS n, round(sum((px1 - px0) * (py1 - py0)), 0) AS area FROM raw")
+def raw_stereo_pairs(t: Load) -> DataFrame:
+    common = geometry.box_intersection(spatial.box("l_"), spatial.box("r_"))
+    return stereo.raw_pairs(t("images")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(geometry.box_area(*common)), 0).alias("area"))
+
+
+_MEET = """,
+meet AS (SELECT a.product_id AS l_product_id, b.product_id AS r_product_id, fmod(abs(a.roi_sub_solar_ground_azimuth - b.roi_sub_solar_ground_azimuth), 360) AS s
+ FROM images a JOIN images b ON a.product_id < b.product_id AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1),
+close AS (SELECT l_product_id, r_product_id, least(s, 360 - s) AS separation FROM meet WHERE least(s, 360 - s) < 2.0 AND left(l_product_id, length(l_product_id) - 2) <> left(r_product_id, length(r_product_id) - 2))
+"""
+
+
+@query("images", sql=_MEET + "SELECT l_product_id, r_product_id, round(separation, 6) AS separation FROM close")
+def find_overlaps(t: Load) -> DataFrame:
+    return stereo.find_overlaps(t("images")).select("l_product_id", "r_product_id", *rounded("separation"))
+
+
+@query("images", sql=_MEET + "SELECT product_id FROM images WHERE product_id NOT IN (SELECT l_product_id FROM close UNION SELECT r_product_id FROM close)")
+def missed_images(t: Load) -> DataFrame:
+    return stereo.missed(t("images"), stereo.find_overlaps(t("images")))
+
+
+@query("images", sql="""SELECT count(*) AS n FROM images a JOIN images b ON a.product_id < b.product_id AND least(fmod(abs(a.roi_sub_solar_ground_azimuth - b.roi_sub_solar_ground_azimuth), 360), 360 - fmod(abs(a.roi_sub_solar_ground_azimuth - b.roi_sub_solar_ground_azimuth), 360)) < 2.0""")
+def circular_pairs(t: Load) -> DataFrame:
+    return spatial.circular_pairs(t("images"), "product_id", "roi_sub_solar_ground_azimuth", 2.0).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("images", sql="""SELECT a.product_id AS l_product_id, b.product_id AS r_product_id, round((least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0)), 6) AS area
+ FROM images a JOIN images b ON a.k < b.k AND a.k % 10 = 0 AND b.k % 10 = 0 AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1""")
+def polygon_pairs(t: Load) -> DataFrame:
+    rows = t("images").filter("k % 10 = 0").select("k", "product_id", geometry.box_ring(*[F.col(c) for c in spatial.BOX]).alias("ring"))
+    pairs = spatial.polygon_pairs(rows, rows, "ring", 4000.0, "intersects", F.col("l_k") < F.col("r_k"))
+    return pairs.select("l_product_id", "r_product_id", F.round(geometry.area(F.col("common")), 6).alias("area")).filter("area > 0")
+
+
+@query("images", sql=""", e AS (SELECT min(x0) AS a, min(y0) AS b, max(x1) AS c, max(y1) AS d FROM images),
+ q AS (SELECT 'll' AS quadrant, a AS qa, b AS qb, (a + c) / 2 + 1000 AS qc, (b + d) / 2 + 1000 AS qd FROM e UNION ALL SELECT 'lr', (a + c) / 2 - 1000, b, c, (b + d) / 2 + 1000 FROM e
+  UNION ALL SELECT 'ul', a, (b + d) / 2 - 1000, (a + c) / 2 + 1000, d FROM e UNION ALL SELECT 'ur', (a + c) / 2 - 1000, (b + d) / 2 - 1000, c, d FROM e)
+ SELECT product_id, quadrant FROM images, q WHERE x0 < qc AND qa < x1 AND y0 < qd AND qb < y1""")
+def assign_quadrants(t: Load) -> DataFrame:
+    return spatial.assign_quadrants(t("images")).select("product_id", "quadrant")
+
+
+# Filters.
+
+
+@query("images", sql="SELECT product_id FROM images WHERE incidence_angle < 95 AND resolution <= 5 AND emission_angle <= 20 AND slew_angle <= 10")
+def cover_filter(t: Load) -> DataFrame:
+    return filters.cover_filter(t("images")).select("product_id")
+
+
+@query("residual_stats", sql="""SELECT 'verify' AS mode, image FROM residual_stats WHERE median < 1.25 AND cnt >= 1 UNION ALL SELECT 'inspect', image FROM residual_stats WHERE cnt > 0 AND median <= 1.25 AND cnt >= 1
+ UNION ALL SELECT 'stereo', image FROM residual_stats WHERE isfinite(median) AND median < 1.25 AND cnt > 1""")
+def residual_filters(t: Load) -> DataFrame:
+    rows, out = t("residual_stats"), None
+    for mode in ("verify", "inspect", "stereo"):
+        one = filters.residual_filter(rows, 1.25, 1, mode).select(F.lit(mode).alias("mode"), "image")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+@query("offset_stats", sql="SELECT image FROM offset_stats WHERE cnt >= 100 AND p85 <= 1.2")
+def offset_filter(t: Load) -> DataFrame:
+    return filters.offset_filter(t("offset_stats"), 100, 1.2).select("image")
+
+
+@query("convergence", sql="SELECT l_image, r_image, p75 FROM convergence WHERE num_matches > 20 AND p75 >= 10 AND p75 < 22")
+def convergence_filter(t: Load) -> DataFrame:
+    return filters.convergence_filter(t("convergence")).select("l_image", "r_image", "p75")
+
+
+@query("offset_stats", sql="SELECT image, p95 FROM offset_stats WHERE p95 >= 5")
+def by_stat(t: Load) -> DataFrame:
+    return filters.by_stat(t("offset_stats"), "p95", ">=", 5).select("image", "p95")
+
+
+@query("pair_stats", sql="SELECT l_image, r_image FROM pair_stats WHERE contains(l_image, '00001')")
+def by_id_substring(t: Load) -> DataFrame:
+    return filters.by_id_substring(t("pair_stats"), "l_image", "00001").select("l_image", "r_image")
+
+
+@query("images", sql="SELECT product_id FROM images WHERE roi_sub_solar_ground_azimuth >= 90 AND roi_sub_solar_ground_azimuth < 180 AND x0 <= 9000 AND x1 >= 5000 AND y0 <= 9000 AND y1 >= 5000")
+def azimuth_range_in_box(t: Load) -> DataFrame:
+    return filters.between_left_inclusive(filters.bbox_filter(t("images"), 5000, 5000, 9000, 9000), "roi_sub_solar_ground_azimuth", 90, 180).select("product_id")
+
+
+@query("images", sql="SELECT product_id FROM images WHERE incidence_angle BETWEEN 50 AND 80 AND emission_angle BETWEEN 0 AND 20 AND resolution <= 3")
+def archive_filter(t: Load) -> DataFrame:
+    return filters.archive_filter(t("images"), (50, 80), (0, 20), 3).select("product_id")
+
+
+@query("images", sql="SELECT product_id, CASE WHEN x0 > 10000 THEN 'severe' WHEN x0 > 2500 THEN 'drop' ELSE 'keep' END AS severity FROM images")
+def pose_change_severity(t: Load) -> DataFrame:
+    return filters.pose_change_severity(t("images"), "x0", 2500, 10000).select("product_id", "severity")
+
+
+@query("camera_offsets", sql="SELECT image FROM camera_offsets WHERE sqrt(horiz * horiz + vert * vert) < 500")
+def shift_gate(t: Load) -> DataFrame:
+    return filters.shift_magnitude_gate(t("camera_offsets"), "horiz", "vert", 500).select("image")
+
+
+@query("id_list", "registered_ids", sql="SELECT pos, value FROM id_list WHERE split_part(split_part(value, '/', 2), '.', 1) IN (SELECT product_id FROM registered_ids)")
+def lines_with_listed_ids(t: Load) -> DataFrame:
+    return filters.substring_filter(t("id_list"), t("registered_ids").withColumnRenamed("product_id", "value")).select("pos", "value")
+
+
+@query("id_list", "registered_ids", sql="SELECT pos, value FROM id_list WHERE split_part(split_part(value, '/', 2), '.', 1) NOT IN (SELECT product_id FROM registered_ids)")
+def lines_without_listed_ids(t: Load) -> DataFrame:
+    return filters.substring_filter(t("id_list"), t("registered_ids").withColumnRenamed("product_id", "value"), keep=False).select("pos", "value")
+
+
+@query("images", "registered_ids", sql="SELECT product_id FROM images WHERE product_id NOT IN (SELECT product_id FROM registered_ids)")
+def missing_assets(t: Load) -> DataFrame:
+    assets = t("registered_ids").withColumn("length", F.lit(10))
+    return filters.missing_assets(t("images").select("product_id"), assets, "product_id")
+
+
+@query("pixels", sql="""SELECT raster_id FROM (SELECT raster_id, max(v) AS m FROM pixels GROUP BY 1) WHERE m >= 0.1""")
+def keep_lit(t: Load) -> DataFrame:
+    listed = t("pixels").groupBy("raster_id").agg(F.lit(1).alias("pos"))
+    return filters.keep_lit(listed, raster.raster_stats(t("pixels")), 0.1).select("raster_id")
+
+
+@query("id_list", sql="SELECT DISTINCT value AS name FROM id_list WHERE contains(lower(value), 'm10300001') OR contains(lower(value), '3re')")
+def asset_substring_match(t: Load) -> DataFrame:
+    return filters.asset_substring_match(t("id_list").select(F.col("value").alias("name")), ["M10300001", "3RE"])
+
+
+# Joins on the network.
+
+_NET = """,
+good AS (SELECT image FROM residual_stats WHERE median < 1.25 AND cnt >= 1),
+net AS (SELECT * FROM pair_stats WHERE num >= 30 AND l_image IN (SELECT image FROM good) AND r_image IN (SELECT image FROM good))
+"""
+
+
+@query("pair_stats", "residual_stats", sql=_NET + "SELECT l_image, r_image, num FROM net")
+def network_pairs(t: Load) -> DataFrame:
+    return network.network_pairs(t("pair_stats"), t("residual_stats"), 30).select("l_image", "r_image", "num")
+
+
+@query("pair_stats", "residual_stats", "offset_stats", sql=_NET + ", off AS (SELECT image FROM offset_stats WHERE cnt >= 100 AND p85 <= 1.5) SELECT l_image, r_image FROM net WHERE l_image IN (SELECT image FROM off) AND r_image IN (SELECT image FROM off)")
+def network_pairs_with_offsets(t: Load) -> DataFrame:
+    return network.network_pairs(t("pair_stats"), t("residual_stats"), 30, 1.25, t("offset_stats"), 100, 1.5).select("l_image", "r_image")
+
+
+_WALK = """, sym AS (SELECT src AS a, dst AS b FROM {0} UNION SELECT dst, src FROM {0}), vertex AS (SELECT DISTINCT a FROM sym),
+walk(a, b) AS (SELECT a, a FROM vertex UNION SELECT walk.a, sym.b FROM walk JOIN sym ON walk.b = sym.a),
+comp AS (SELECT a AS id, min(b) AS component FROM walk GROUP BY a)
+"""
+_NET_EDGES = _NET + ", ne AS (SELECT split_part(split_part(l_image, '/', 2), '.', 1) AS src, split_part(split_part(r_image, '/', 2), '.', 1) AS dst FROM net)" + _WALK.format("ne")
+
+
+@query("pair_stats", "residual_stats", sql=_NET_EDGES + """, s AS (SELECT component, count(*) AS size FROM comp GROUP BY 1), p AS (SELECT component, count(*) AS pairs FROM ne JOIN comp ON src = id GROUP BY 1)
+SELECT count(*) = 1 AS is_connected, CAST(sum(pairs) AS BIGINT) AS num_pairs, count(*) AS num_components, array_to_string(list(size ORDER BY size DESC, component), ',') AS sizes FROM s JOIN p USING (component)""")
+def verify_network(t: Load) -> DataFrame:
+    report = network.verify_network(t("pair_stats"), t("residual_stats"), min_matches=30)
+    return report.select("is_connected", "num_pairs", "num_components", F.array_join(F.transform("component_sizes", lambda x: x.cast("string")), ",").alias("sizes"))
+
+
+@query("pair_stats", "residual_stats", "convergence", sql=_NET_EDGES + """, big AS (SELECT component FROM comp GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 1), mem AS (SELECT 'img/' || id || '.cal.echo.cub' AS image FROM comp WHERE component IN (SELECT component FROM big)),
+ res AS (SELECT image, median FROM residual_stats WHERE isfinite(median) AND median < 1.25 AND cnt > 0),
+ st AS (SELECT DISTINCT least(c.l_image, c.r_image) AS l_image, greatest(c.l_image, c.r_image) AS r_image, p.num, c.p75, l.median AS l_median, r.median AS r_median FROM convergence c JOIN pair_stats p USING (l_image, r_image) JOIN res l ON l.image = c.l_image JOIN res r ON r.image = c.r_image
+  WHERE c.num_matches > 20 AND c.p75 >= 10 AND c.p75 < 22 AND p.p25 > 0 AND c.l_image IN (SELECT image FROM mem) AND c.r_image IN (SELECT image FROM mem))
+SELECT l_image, r_image, num, p75 FROM st ORDER BY num DESC, l_image, r_image LIMIT 500""")
+def stereo_from_network(t: Load) -> DataFrame:
+    members = network.component_of(t("pair_stats"), t("residual_stats"), 0, min_matches=30).select(F.concat(F.lit("img/"), "id", F.lit(".cal.echo.cub")).alias("image"))
+    return network.stereo_from_network(t("convergence"), t("pair_stats"), t("residual_stats"), members, matches=20).select("l_image", "r_image", "num", "p75")
+
+
+@query("pair_stats", "images", sql=""", n AS (SELECT split_part(split_part(l_image, '/', 2), '.', 1) AS l_id, split_part(split_part(r_image, '/', 2), '.', 1) AS r_id FROM pair_stats)
+SELECT l_id, r_id, round((least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0)), 6) AS pair_area FROM n JOIN images a ON a.product_id = l_id JOIN images b ON b.product_id = r_id
+ WHERE left(l_id, length(l_id) - 2) <> left(r_id, length(r_id) - 2) AND least(a.x1, b.x1) > greatest(a.x0, b.x0) AND least(a.y1, b.y1) > greatest(a.y0, b.y0)""")
+def pair_geometry(t: Load) -> DataFrame:
+    named = t("pair_stats").select(ids.filename_to_pid(F.col("l_image")).alias("l_id"), ids.filename_to_pid(F.col("r_image")).alias("r_id"))
+    return joins.pair_geometry_join(named, t("images")).select("l_id", "r_id", *rounded("pair_area"))
+
+
+@query("pair_stats", "images", sql=", bad AS (SELECT 'img/' || product_id || '.cal.echo.cub' AS image FROM images WHERE k % 7 = 0) SELECT l_image, r_image FROM pair_stats WHERE l_image NOT IN (SELECT image FROM bad) AND r_image NOT IN (SELECT image FROM bad)")
+def drop_pairs_touching(t: Load) -> DataFrame:
+    bad = t("images").filter("k % 7 = 0").select(F.concat(F.lit("img/"), "product_id", F.lit(".cal.echo.cub")).alias("image"))
+    return joins.drop_pairs_touching(t("pair_stats"), bad, "l_image", "r_image", "image").select("l_image", "r_image")
+
+
+@query("id_list", "registered_ids", sql="SELECT pos, CASE WHEN r.product_id IS NULL THEN 'default/' ELSE 'registered/' END || split_part(split_part(value, '/', 2), '.', 1) AS camera FROM id_list LEFT JOIN registered_ids r ON r.product_id = split_part(split_part(value, '/', 2), '.', 1)")
+def substitute_camera(t: Load) -> DataFrame:
+    listed = t("id_list").select("pos", ids.filename_to_pid(F.col("value")).alias("product_id"))
+    return joins.substitute_camera(listed, t("registered_ids"), F.concat(F.lit("default/"), "product_id"), F.concat(F.lit("registered/"), "product_id")).select("pos", "camera")
+
+
+@query("id_list", sql="SELECT pos, value AS \"left\", upper(value) AS \"right\" FROM id_list")
+def positional_zip(t: Load) -> DataFrame:
+    return joins.positional_zip(t("id_list"), t("id_list").withColumn("value", F.upper("value"))).select("pos", "left", "right")
+
+
+@query("id_list", "images", sql="SELECT pos, roi_sub_solar_ground_azimuth AS azimuth FROM id_list JOIN images ON product_id = split_part(split_part(value, '/', 2), '.', 1) WHERE images.k % 3 <> 1")
+def azimuth_lookup(t: Load) -> DataFrame:
+    table = t("images").filter("k % 3 <> 1").select(F.col("k").alias("pos"), F.concat(F.lit("x/"), "product_id", F.lit(".tif")).alias("image"), F.col("roi_sub_solar_ground_azimuth").alias("azimuth"))
+    return joins.azimuth_lookup(t("id_list"), table).select("pos", "azimuth")
+
+
+@query("id_list", "registered_ids", sql="SELECT pos, CASE WHEN r.product_id IS NOT NULL THEN 'cam/adj-' || r.product_id || '.json' END AS camera FROM id_list LEFT JOIN registered_ids r ON r.product_id = split_part(split_part(value, '/', 2), '.', 1)")
+def camera_for_image(t: Load) -> DataFrame:
+    cameras = t("registered_ids").select(F.concat(F.lit("cam/adj-"), "product_id", F.lit(".json")).alias("camera"))
+    return joins.camera_for_image(t("id_list"), cameras).select("pos", "camera")
+
+
+@query("id_list", "registered_ids", sql="SELECT pos FROM id_list WHERE split_part(split_part(value, '/', 2), '.', 1) IN (SELECT product_id FROM registered_ids)")
+def substring_join(t: Load) -> DataFrame:
+    cameras = t("registered_ids").select(F.concat(F.lit("cam/adj-"), "product_id", F.lit(".json")).alias("camera"))
+    return joins.substring_join(t("id_list"), cameras, "value").select("pos")
+
+
+@query("images", sql="SELECT product_id, x0 + 1 AS x0, y1 FROM images WHERE k % 4 = 0")
+def replace_footprints(t: Load) -> DataFrame:
+    new = t("images").filter("k % 4 = 0").select(F.concat(F.lit("d/"), "product_id", F.lit(".map.tif")).alias("location"), (F.col("x0") + 1).alias("x0"), "y0", "x1", "y1")
+    return joins.replace_footprints(t("images"), new).select("product_id", "x0", "y1")
+
+
+@query("images", "id_list", sql="SELECT product_id FROM images WHERE product_id NOT IN (SELECT split_part(split_part(value, '/', 2), '.', 1) FROM id_list)")
+def exclude_ids(t: Load) -> DataFrame:
+    return joins.exclude_ids(t("images"), t("id_list")).select("product_id")
+
+
+@query("lineitem", sql="""SELECT k AS pos, n FROM (SELECT l_orderkey * 10 + l_linenumber AS k, CAST(CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 1 END AS INT) AS n FROM lineitem) WHERE pos % 3 > 0""")
+def parsed_control_points(t: Load) -> DataFrame:
+    line = F.concat_ws(" ", F.lit("g 1 2 3 1 1 1 img/a 1 2 1 1"), F.when(F.col("l_linenumber") % 2 == 0, F.lit("img/b 3 4 1 1")))
+    text = t("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"), line.alias("value"))
+    ragged = text.withColumn("value", F.when(F.col("pos") % 3 == 0, F.concat("value", F.lit(" x"))).otherwise(F.col("value")))
+    return readers.parse_gcp(ragged).select("pos", F.size("images").alias("n"))
+
+
+@query("pixels", sql="""SELECT DISTINCT x * 64 + y AS id, CAST(x + 1.5 AS DOUBLE) AS px, CAST(y - 0.5 AS DOUBLE) AS py FROM pixels WHERE raster_id = 1""")
+def transform_control_points(t: Load) -> DataFrame:
+    places = t("pixels").filter("raster_id = 1").select("x", "y").distinct()
+    points = places.select((F.col("x") * 64 + F.col("y")).alias("id"), F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py"))
+    shifts = places.select("x", "y", F.lit(1.5).alias("dx"), F.lit(-0.5).alias("dy"), F.lit(1).alias("valid"))
+    return joins.transform_gcp(points, shifts, search=1)
+
+
+# Aggregations.
+
+
+@query("pair_stats", sql="SELECT l_image AS id FROM pair_stats UNION SELECT r_image FROM pair_stats")
+def distinct_ids(t: Load) -> DataFrame:
+    return aggregates.distinct_ids(t("pair_stats"), "l_image", "r_image")
+
+
+@query("edges", sql="SELECT id, count(*) AS degree FROM (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges) GROUP BY 1")
+def degree(t: Load) -> DataFrame:
+    return aggregates.degree(t("edges"))
+
+
+@query("residual_stats", "camera_offsets", sql="""SELECT CASE WHEN horiz = 0 AND vert = 0 THEN 'fixed' ELSE 'free' END AS kind, count(*) AS n, round(median(median), 6) AS median, max(median) AS max, count(*) FILTER (median > 2) AS over
+ FROM residual_stats JOIN camera_offsets USING (image) WHERE NOT isnan(median) GROUP BY 1""")
+def residual_summary(t: Load) -> DataFrame:
+    kind = F.when((F.col("horiz") == 0) & (F.col("vert") == 0), "fixed").otherwise("free")
+    rows = t("residual_stats").join(t("camera_offsets"), "image").withColumn("kind", kind)
+    return aggregates.residual_summary(rows, "kind", limit=2.0).select("kind", "n", *rounded("median"), "max", "over")
+
+
+@query("residual_stats", "camera_offsets", sql="""SELECT n, bad, CASE WHEN bad > greatest(2, 0.1 * n) THEN 'FAIL' ELSE 'PASS' END AS verdict FROM (SELECT count(*) AS n, count(*) FILTER (median > 1) AS bad
+ FROM residual_stats WHERE NOT isnan(median) AND image IN (SELECT image FROM camera_offsets WHERE horiz = 0 AND vert = 0))""")
+def anchor_verdict(t: Load) -> DataFrame:
+    return network.fixed_check(t("camera_offsets"), t("residual_stats"), 1.0)
+
+
+@query("offset_stats", "residual_stats", "camera_offsets", sql=""", r AS (SELECT image, 'offset' AS reason FROM offset_stats WHERE p95 > 5 UNION SELECT image, 'matches' FROM offset_stats WHERE cnt < 50
+ UNION SELECT image, 'residual' FROM residual_stats WHERE NOT isnan(median) AND median > 0.75 UNION SELECT image, 'shift' FROM camera_offsets WHERE sqrt(horiz * horiz + vert * vert) > 1000)
+SELECT image || ' : ' || string_agg(reason, '; ' ORDER BY reason) AS value FROM r GROUP BY image""")
+def flag_cameras(t: Load) -> DataFrame:
+    return writers.flag_lines(network.flag_cameras(t("offset_stats"), t("residual_stats"), t("camera_offsets")))
+
+
+@query("images", sql=""", m AS (SELECT median(resolution) AS r, median(slew_angle) AS s FROM images), w AS (SELECT product_id AS id, concat_ws('+', CASE WHEN resolution > greatest(1.5 * r, 0.08) THEN 'resolution' END, CASE WHEN slew_angle > greatest(1.8 * s, 15) THEN 'slew_angle' END) AS reasons FROM images, m)
+SELECT id, reasons FROM w WHERE reasons <> ''""")
+def robust_outliers(t: Load) -> DataFrame:
+    return aggregates.robust_outliers(t("images").withColumnRenamed("product_id", "id"), {"resolution": (1.5, 0.08), "slew_angle": (1.8, 15.0)})
+
+
+@query("offset_stats", sql="SELECT split_part(split_part(image, '/', 2), '.', 1) AS product_id FROM offset_stats WHERE p95 > 6")
+def wild_ids(t: Load) -> DataFrame:
+    return aggregates.wild_ids(t("offset_stats"), 6.0)
+
+
+@query("images", sql="SELECT min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM images")
+def extent(t: Load) -> DataFrame:
+    return aggregates.extent(t("images"))
+
+
+@query("images", sql="SELECT CAST(floor(incidence_angle) AS DOUBLE) AS bin, count(*) AS n FROM images GROUP BY 1")
+def incidence_bins(t: Load) -> DataFrame:
+    return aggregates.incidence_bins(t("images"))
+
+
+@query("id_list", "images", sql="SELECT (SELECT count(*) FROM images) AS n_a, (SELECT count(*) FROM id_list) AS n_b, (SELECT count(*) FROM images) >= (SELECT count(*) FROM id_list) AS agree")
+def counts_agree(t: Load) -> DataFrame:
+    return aggregates.counts_agree(t("images"), t("id_list"), at_least=True)
+
+
+@query("images", "roi", sql=_COVER + "SELECT 'all' AS stage, count(*) AS n FROM images UNION ALL SELECT 'over', count(*) FROM m UNION ALL SELECT 'kept', count(*) FROM f")
+def count_stages(t: Load) -> DataFrame:
+    over = cover_plan.covering(t("images"), t("roi"))
+    return aggregates.count_stages(all=t("images"), over=over, kept=filters.min_fraction_filter(over))
+
+
+# Windows, orders, sets.
+
+
+@query("images", sql="SELECT product_id, row_number() OVER (ORDER BY roi_sub_solar_ground_azimuth, product_id) AS place FROM images")
+def global_rank(t: Load) -> DataFrame:
+    return windows.global_rank(t("images"), ["roi_sub_solar_ground_azimuth", "product_id"], "place").select("product_id", "place")
+
+
+@query("images", sql=""", w AS (SELECT *, coalesce(lead(x0) OVER v, first_value(x0) OVER v) AS nx0, coalesce(lead(y0) OVER v, first_value(y0) OVER v) AS ny0, coalesce(lead(x1) OVER v, first_value(x1) OVER v) AS nx1, coalesce(lead(y1) OVER v, first_value(y1) OVER v) AS ny1
+ FROM images WINDOW v AS (PARTITION BY orbit_number % 50 ORDER BY k)) SELECT product_id, x0 <= nx1 AND nx0 <= x1 AND y0 <= ny1 AND ny0 <= y1 AS intersects_next FROM w""")
+def intersects_next(t: Load) -> DataFrame:
+    return windows.intersects_next(t("images").withColumn("g", F.col("orbit_number") % 50), "g", "k").select("product_id", "intersects_next")
+
+
+@query("images", sql=""", e AS (SELECT list_distinct(quantile_cont(roi_sub_solar_ground_azimuth, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1])) AS e FROM images)
+SELECT product_id, CAST(greatest(len(list_filter(e, lambda x: x < roi_sub_solar_ground_azimuth)) - 1, 0) AS INT) AS bin FROM images, e""")
+def quantile_bins(t: Load) -> DataFrame:
+    return windows.quantile_bins(t("images"), "roi_sub_solar_ground_azimuth", 10).select("product_id", "bin")
+
+
+@query("images", sql="SELECT product_id, CAST(floor((row_number() OVER (ORDER BY resolution, product_id) - 1) / 100) AS BIGINT) AS batch FROM images")
+def rank_quality(t: Load) -> DataFrame:
+    return lists.rank_quality(t("images"), ["resolution", "product_id"]).select("product_id", "batch")
+
+
+@query("id_list", sql="SELECT pos, CAST(floor(pos / 50) AS BIGINT) AS batch FROM id_list")
+def batch_ranges(t: Load) -> DataFrame:
+    return windows.batch_ranges(t("id_list"), "pos", 50).select("pos", "batch")
+
+
+@query("images", sql=""", c AS (SELECT median(a) FILTER (a < 180) AS lo, median(a) FILTER (a >= 270) AS hi FROM (SELECT roi_sub_solar_ground_azimuth AS a FROM images))
+SELECT product_id, CASE WHEN roi_sub_solar_ground_azimuth < 180 THEN CASE WHEN roi_sub_solar_ground_azimuth <= lo THEN 'low1' ELSE 'low2' END WHEN roi_sub_solar_ground_azimuth >= 270 THEN CASE WHEN roi_sub_solar_ground_azimuth <= hi THEN 'high1' ELSE 'high2' END ELSE 'mid' END AS azimuth_group FROM images, c""")
+def azimuth_groups(t: Load) -> DataFrame:
+    return windows.azimuth_groups(t("images"), "roi_sub_solar_ground_azimuth").select("product_id", "azimuth_group")
+
+
+@query("lineitem", sql="SELECT l_partkey, min(l_orderkey * 10 + l_linenumber) AS pos FROM lineitem GROUP BY 1")
+def first_seen(t: Load) -> DataFrame:
+    rows = t("lineitem").select("l_partkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"))
+    return windows.first_seen(rows, "l_partkey", "pos")
+
+
+@query("residual_stats", sql="SELECT image, median FROM residual_stats WHERE NOT isnan(median) ORDER BY median DESC, image LIMIT 10")
+def worst_cameras(t: Load) -> DataFrame:
+    return lists.worst_cameras(t("residual_stats")).select("image", "median")
+
+
+@query("images", sql="SELECT CAST(100 AS BIGINT) AS n, true AS within")
+def random_sample(t: Load) -> DataFrame:
+    sample = lists.random_sample(t("images").select("product_id"), 100, 7)
+    return sample.agg(F.count_distinct("product_id").alias("n"), F.every(F.startswith("product_id", F.lit("M"))).alias("within"))
+
+
+_SETS = ", a AS (SELECT product_id AS v FROM images WHERE k % 2 = 0), b AS (SELECT product_id AS v FROM registered_ids) "
+
+
+def _sets(t: Load) -> tuple[lists.IdSet, lists.IdSet]:
+    return lists.IdSet.of(t("id_list").select("value"), by_pid=True), lists.IdSet.of(t("registered_ids"))
+
+
+@query("images", "registered_ids", sql=_SETS + "SELECT v AS value FROM a UNION SELECT v FROM b")
+def set_union(t: Load) -> DataFrame:
+    a, b = _sets(t)
+    return a.union(b).sorted()
+
+
+@query("images", "registered_ids", sql=_SETS + "SELECT v AS value FROM a INTERSECT SELECT v FROM b")
+def set_intersection(t: Load) -> DataFrame:
+    a, b = _sets(t)
+    return a.intersection(b).sorted()
+
+
+@query("images", "registered_ids", sql=_SETS + "SELECT v AS value FROM a EXCEPT SELECT v FROM b")
+def set_difference(t: Load) -> DataFrame:
+    a, b = _sets(t)
+    return a.difference(b).sorted()
+
+
+@query("images", "registered_ids", sql=_SETS + "(SELECT v AS value FROM a EXCEPT SELECT v FROM b) UNION (SELECT v FROM b EXCEPT SELECT v FROM a)")
+def set_symmetric_difference(t: Load) -> DataFrame:
+    a, b = _sets(t)
+    return a.symmetric_difference(b).sorted()
+
+
+@query("images", "registered_ids", sql="SELECT product_id AS value FROM images WHERE k % 2 = 0 UNION SELECT product_id FROM registered_ids")
+def sort_unique_merge(t: Load) -> DataFrame:
+    return lists.sort_unique_merge(t("images").filter("k % 2 = 0").select(F.col("product_id").alias("value")), t("registered_ids"))
+
+
+@query("images", "registered_ids", sql="SELECT k, product_id FROM images WHERE product_id NOT IN (SELECT product_id FROM registered_ids)")
+def list_complement(t: Load) -> DataFrame:
+    return lists.list_complement(t("images").select("k", "product_id"), t("registered_ids"), "product_id")
+
+
+# Graphs.
+
+
+@query("edges", sql=_WALK.format("edges") + "SELECT id, component FROM comp")
+def connected_components(t: Load) -> DataFrame:
+    return graph.connected_components(t("edges"))
+
+
+@query("edges", sql=_WALK.format("edges") + ", s AS (SELECT component, count(*) AS size FROM comp GROUP BY 1), r AS (SELECT component, size, row_number() OVER (ORDER BY size DESC, component) - 1 AS component_rank FROM s) SELECT src, dst FROM edges JOIN comp ON src = id JOIN r USING (component) WHERE component_rank = 0")
+def largest_subgraph(t: Load) -> DataFrame:
+    ranked = graph.component_ranks(graph.connected_components(t("edges")))
+    return graph.subgraph(t("edges"), ranked, 0).select("src", "dst")
+
+
+@query("edges", sql=_WALK.format("edges") + ", d AS (SELECT a AS id, count(*) AS degree FROM (SELECT src AS a FROM edges UNION ALL SELECT dst FROM edges) GROUP BY 1) SELECT component, degree, count(*) AS vertices FROM d JOIN comp USING (id) GROUP BY 1, 2")
+def degree_histogram(t: Load) -> DataFrame:
+    return aggregates.degree_histogram(t("edges"), graph.connected_components(t("edges")))
+
+
+@query("edges", sql="SELECT dst AS id FROM edges WHERE src = 15 UNION SELECT src FROM edges WHERE dst = 15")
+def neighbors(t: Load) -> DataFrame:
+    return graph.neighbors(t("edges"), 15)
+
+
+@query("edges", sql=_WALK.format("edges") + "SELECT (SELECT count(*) FROM comp) - (SELECT count(DISTINCT component) FROM comp) AS n")
+def spanning_forest_size(t: Load) -> DataFrame:
+    weighted = t("edges").withColumn("weight", F.col("src") * 7 % 13 + F.col("dst") * 5 % 11)
+    return graph.max_spanning_forest(weighted).agg(F.count(F.lit(1)).alias("n"))
+
+
+# Rasters.
+
+
+@query("pixels", sql="SELECT raster_id, min(v) AS min_v, max(v) AS max_v, round(avg(v), 6) AS mean_v, CAST(100 AS DOUBLE) AS valid_percent FROM pixels GROUP BY 1")
+def raster_stats(t: Load) -> DataFrame:
+    return raster.raster_stats(t("pixels")).select("raster_id", "min_v", "max_v", *rounded("mean_v"), "valid_percent")
+
+
+@query("pixels", sql="SELECT raster_id, count(*) FILTER (v <= 0.05) AS shadowed, count(*) FILTER (v > 0.05) AS illuminated, count(*) AS total_area FROM pixels GROUP BY 1")
+def shadow_stats(t: Load) -> DataFrame:
+    return raster.shadow_stats(t("pixels"), 0.05)
+
+
+@query("pixels", sql="SELECT raster_id, round(quantile_cont(v, 0.999), 6) AS p FROM pixels WHERE v > 1e-6 AND x % 2 = 0 AND y % 2 = 0 GROUP BY 1")
+def brightness(t: Load) -> DataFrame:
+    return raster.brightness(t("pixels"), 2, 0.999, 1).select("raster_id", *rounded("p"))
+
+
+@query("pixels", sql="SELECT x, y, max(v) AS v, arg_max(raster_id, (v, -raster_id)) AS raster_id FROM pixels GROUP BY 1, 2")
+def max_lit_index(t: Load) -> DataFrame:
+    return raster.max_lit_index(t("pixels"))
+
+
+@query("pixels", sql="SELECT x, y, max(v) AS v FROM pixels GROUP BY 1, 2")
+def max_lit(t: Load) -> DataFrame:
+    return raster.max_lit(t("pixels"))
+
+
+@query("pixels", sql="SELECT x, y, round(avg(v), 6) AS v, count(v) AS n FROM pixels GROUP BY 1, 2")
+def mean_mosaic(t: Load) -> DataFrame:
+    return raster.mean_mosaic(t("pixels")).select("x", "y", *rounded("v"), "n")
+
+
+@query("pixels", sql="SELECT x, y, round(coalesce(avg(v) FILTER (v > 0.02), -1e6), 6) AS v FROM pixels GROUP BY 1, 2")
+def blend_mosaic(t: Load) -> DataFrame:
+    return raster.blend_mosaic(t("pixels"), 0.02).select("x", "y", *rounded("v"))
+
+
+@query("pixels", sql="""SELECT 'chunk' AS level, CAST(floor(raster_id / 3) AS BIGINT) AS part, x, y, max(v) AS v FROM pixels GROUP BY 2, 3, 4
+UNION ALL SELECT 'half', CASE WHEN floor(raster_id / 3) * 3 < 5 THEN 0 ELSE 1 END AS h, x, y, max(v) FROM pixels GROUP BY h, x, y UNION ALL SELECT 'all', 0, x, y, max(v) FROM pixels GROUP BY x, y""")
+def chunked_max_lit(t: Load) -> DataFrame:
+    positions = t("pixels").select("raster_id").distinct().withColumn("pos", F.col("raster_id").cast("long"))
+    return raster.chunked_max_lit(t("pixels"), positions, 3, 5)
+
+
+@query("pixels", sql="SELECT x, y, count(*) FILTER (v > 0.05) AS n FROM pixels GROUP BY 1, 2")
+def lit_counts(t: Load) -> DataFrame:
+    return raster.count_over_threshold(t("pixels"), 0.05)
+
+
+@query("pixels", sql="SELECT count(*) AS n, round(avg(abs(a.v - b.v)), 6) AS mean, round(stddev_samp(abs(a.v - b.v)), 6) AS std FROM pixels a JOIN pixels b USING (x, y) WHERE a.raster_id = 1 AND b.raster_id = 2")
+def dem_difference(t: Load) -> DataFrame:
+    p = t("pixels")
+    return raster.dem_difference_stats(p.filter("raster_id = 1"), p.filter("raster_id = 2")).select("n", *rounded("mean", "std"))
+
+
+@query("pixels", sql="SELECT raster_id, CAST(floor(x / 8) AS INT) AS x, CAST(floor(y / 8) AS INT) AS y, round(avg(v), 6) AS v FROM pixels GROUP BY 1, 2, 3")
+def downsample(t: Load) -> DataFrame:
+    return raster.downsample(t("pixels")).select("raster_id", "x", "y", *rounded("v"))
+
+
+@query("pixels", sql="SELECT raster_id, x, y, CASE WHEN v > 0.05 THEN 1.0 ELSE 0.0 END::DOUBLE AS v FROM pixels WHERE x % 4 = 0 AND y % 4 = 0")
+def decimated_mask(t: Load) -> DataFrame:
+    return raster.threshold_mask(raster.decimate(t("pixels"), 4), 0.05)
+
+
+@query("pixels", sql="SELECT raster_id, CAST(floor(x / 16) AS INT) AS i, CAST(floor(y / 16) AS INT) AS j, count(*) AS n FROM pixels WHERE v > 0.05 GROUP BY 1, 2, 3")
+def mask_footprints(t: Load) -> DataFrame:
+    return raster.mask_to_footprint(t("pixels"), 0.05, 16)
+
+
+@query("pixels", sql="SELECT raster_id, CAST(floor(x / 16) AS INT) AS i, CAST(floor(y / 16) AS INT) AS j, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM pixels GROUP BY 1, 2, 3")
+def trimmed_tiles(t: Load) -> DataFrame:
+    return raster.trim_tiles_to_valid(t("pixels"), 16)
+
+
+@query("pixels", sql="SELECT raster_id, x, y, round(v, 6) AS v FROM (SELECT raster_id, CAST(x / 2 AS INT) AS x, CAST(y / 2 AS INT) AS y, v FROM pixels WHERE x % 2 = 0 AND y % 2 = 0)")
+def regrid_on_nodes(t: Load) -> DataFrame:
+    """On a grid whose nodes are every second pixel, bilinear is exact where that pixel is there."""
+    out = raster.regrid(t("pixels"), 0.0, 0.0, 2.0, 32, 32)
+    there = t("pixels").filter("x % 2 = 0 AND y % 2 = 0").select("raster_id", (F.col("x") / 2).cast("int").alias("x"), (F.col("y") / 2).cast("int").alias("y"))
+    return out.join(there, ["raster_id", "x", "y"], "left_semi").select("raster_id", "x", "y", *rounded("v"))
+
+
+@query("images", sql=""", b AS (SELECT min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM images)
+SELECT CAST(i AS INT) AS i, CAST(j AS INT) AS j, x0 + i * 4000 AS minx, y1 - j * 4000 - 4000 AS miny, x0 + i * 4000 + 4000 AS maxx, y1 - j * 4000 AS maxy FROM b, range(0, 100) t(i), range(0, 100) u(j) WHERE x0 + i * 4000 < x1 AND y1 - j * 4000 > y0""")
+def tiles_by_width(t: Load) -> DataFrame:
+    return raster.tiles_by_width(aggregates.extent(t("images")), 4000)
+
+
+@query("pixels", sql="SELECT raster_id, CAST(min(x) AS DOUBLE) AS x0, CAST(max(y) + 1 AS DOUBLE) AS y1 FROM pixels GROUP BY 1")
+def raster_bounds(t: Load) -> DataFrame:
+    return raster.bounds_polygons(t("pixels")).select("raster_id", F.col("x0").cast("double").alias("x0"), F.col("y1").cast("double").alias("y1"))
+
+
+# Coverage and orders: iterative, compared with brute force in tests.
+
+
+@query("images")
+def greedy_cover(t: Load) -> DataFrame:
+    rows = filters.bbox_filter(t("images"), 4000, 4000, 9000, 9000).withColumns({"x0": F.greatest("x0", F.lit(4000)), "y0": F.greatest("y0", F.lit(4000)), "x1": F.least("x1", F.lit(9000)), "y1": F.least("y1", F.lit(9000))})
+    return coverage.set_coverage(coverage.box_cells(rows, 500.0), 100.0)
+
+
+@query("pixels")
+def pixel_cover_2x(t: Load) -> DataFrame:
+    return coverage.image_subset_2x(raster.downsample(t("pixels"), 2), 0.05)
+
+
+@query("images")
+def illumination_bins_order(t: Load) -> DataFrame:
+    return ordering.reorder_by_illumination_bins(t("images")).select("product_id", "bin", "place", "intersects_next")
+
+
+@query("images")
+def illumination_tour_order(t: Load) -> DataFrame:
+    return ordering.reorder_by_illumination_tour(t("images")).select("product_id", "chunk", "place")
+
+
+@query("images", sql=""", c AS (SELECT *, floor((row_number() OVER (ORDER BY roi_sub_solar_ground_azimuth, product_id) - 1) / 50) AS g FROM images),
+ p AS (SELECT a.product_id AS l_id, b.product_id AS r_id, a.roi_sub_solar_ground_azimuth - b.roi_sub_solar_ground_azimuth AS d, a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1 AS meet FROM c a JOIN c b ON a.g = b.g AND a.product_id < b.product_id)
+SELECT l_id, r_id, round(CASE WHEN d < 0 THEN 2 * d * d ELSE d END + CASE WHEN meet THEN 0 ELSE 100 END, 6) AS weight FROM p""")
+def illumination_weights(t: Load) -> DataFrame:
+    chunks = windows.chunk_rows(t("images"), ["roi_sub_solar_ground_azimuth", "product_id"], 50)
+    return ordering.illumination_edge_weights(chunks, "chunk").select("l_id", "r_id", *rounded("weight"))
+
+
+# Streams.
+
+
+@query("events", sql="""SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS n, CAST(count(*) AS DOUBLE) AS per_hour FROM events GROUP BY 1, 2""")
+def event_throughput(t: Load) -> DataFrame:
+    return streams.throughput(t("events"), "ts", "1 hour", group="event_type")
+
+
+@query("images", "registered_ids", sql="SELECT product_id FROM images WHERE product_id NOT IN (SELECT product_id FROM registered_ids)")
+def not_done(t: Load) -> DataFrame:
+    return streams.not_done(t("images").select("product_id"), t("registered_ids"), "product_id")
+
+
+def queries() -> dict[str, Callable]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
