@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from regolith.llm.text import repeat_ranges
+
 #: Vectors in a shard, on average; the number of shards grows with the table.
 SHARD = 4096
 
@@ -78,12 +80,23 @@ def robust_prune(vectors: np.ndarray, of: np.ndarray, candidates: np.ndarray, de
 
 
 def build(vectors: np.ndarray, degree: int = 24, beam: int = 48, alpha: float = 1.2, seed: int = 7) -> tuple[np.ndarray, int]:
-    """(graph, entry): vectors join in growing batches, each found by a greedy search of the graph so far."""
+    """(graph, entry): vectors join in growing batches, each found by a greedy search of the graph so far.
+
+    A vector's list may grow by half over ``degree`` with edges from later ones before it is pruned again.
+    """
     n = len(vectors)
+    room = degree + degree // 2
     entry = int(np.argmax(vectors @ vectors.mean(axis=0)))
-    graph = np.repeat(np.arange(n)[:, None], degree, axis=1)
+    graph = np.repeat(np.arange(n)[:, None], room, axis=1)
+    count = np.zeros(n, np.int64)
     order = np.random.default_rng(seed).permutation(n)
     order = np.concatenate([[entry], order[order != entry]])
+
+    def put(of: np.ndarray, near: np.ndarray) -> None:
+        graph[of] = of[:, None]
+        graph[of, :degree] = near
+        count[of] = (near != of[:, None]).sum(axis=1)
+
     for slack in (1.0, alpha):
         at = 1 if slack == 1.0 else 0
         while at < n:
@@ -91,21 +104,24 @@ def build(vectors: np.ndarray, degree: int = 24, beam: int = 48, alpha: float =
             at += len(batch)
             found, _ = search(vectors, graph, entry, vectors[batch], beam)
             near = robust_prune(vectors, batch, np.concatenate([found, graph[batch]], axis=1), degree, slack)
-            graph[batch] = near
+            put(batch, near)
             source, target = np.repeat(batch, degree), near.ravel()
-            keep = source != target
-            source, target = source[keep], target[keep]
-            by = np.argsort(target, kind="stable")
-            source, target = source[by], target[by]
-            changed, first, count = np.unique(target, return_index=True, return_counts=True)
-            for low in range(0, int(count.max(initial=0)), 64):  # reverse edges, 64 of a vector at a time
-                more = np.flatnonzero(count > low)
-                extra = np.full((len(more), 64), -1, np.int64)
-                for r, k in enumerate(more.tolist()):
-                    part = source[first[k] + low : first[k] + min(count[k], low + 64)]
-                    extra[r, : len(part)] = part
-                of = changed[more]
-                graph[of] = robust_prune(vectors, of, np.concatenate([graph[of], extra], axis=1), degree, slack)
+            keep = (source != target) & ~(graph[target] == source[:, None]).any(axis=1)
+            by = np.argsort(target[keep], kind="stable")
+            source, target = source[keep][by], target[keep][by]
+            changed, first, more = np.unique(target, return_index=True, return_counts=True)
+            place = count[target] + np.arange(len(target)) - np.repeat(first, more)
+            fits = np.repeat(count[changed] + more <= room, more)
+            graph[target[fits], place[fits]] = source[fits]
+            full = np.flatnonzero(count[changed] + more > room)
+            count[changed] += np.where(count[changed] + more <= room, more, 0)
+            for low in range(0, int(more[full].max(initial=0)), 64):
+                some = full[more[full] > low]
+                which, k = repeat_ranges(first[some] + low, np.minimum(more[some] - low, 64))
+                extra = np.full((len(some), 64), -1, np.int64)
+                extra[which, k - first[some][which] - low] = source[k]
+                of = changed[some]
+                put(of, robust_prune(vectors, of, np.concatenate([graph[of], extra], axis=1), degree, slack))
     return graph, entry
 
 
