@@ -206,7 +206,7 @@ raw AS (SELECT a.product_id AS l_product_id, b.product_id AS r_product_id, great
  WHERE NOT (a.x0 >= b.x0 AND a.y0 >= b.y0 AND a.x1 <= b.x1 AND a.y1 <= b.y1) AND NOT (b.x0 >= a.x0 AND b.y0 >= a.y0 AND b.x1 <= a.x1 AND b.y1 <= a.y1))
 """
 _STEREO = _PAIRS.format("l") + """,
-w AS (SELECT raw.*, 100 * (px1 - px0) * (py1 - py0) / l_area AS overlap_percent, 100 * (least(px1, r.x1) - greatest(px0, r.x0)) * (least(py1, r.y1) - greatest(py0, r.y0)) / ((r.x1 - r.x0) * (r.y1 - r.y0)) AS roi_overlap_percent,
+w AS (SELECT raw.*, 100 * ((px1 - px0) * (py1 - py0)) / l_area AS overlap_percent, 100 * ((least(px1, r.x1) - greatest(px0, r.x0)) * (least(py1, r.y1) - greatest(py0, r.y0))) / ((r.x1 - r.x0) * (r.y1 - r.y0)) AS roi_overlap_percent,
    fmod(abs(ls - rs), 360) AS sep0 FROM raw, roi r
  WHERE px0 < r.x1 AND px1 > r.x0 AND py0 < r.y1 AND py1 > r.y0 AND NOT (px0 >= r.x0 AND py0 >= r.y0 AND px1 <= r.x1 AND py1 <= r.y1) AND NOT (r.x0 >= px0 AND r.y0 >= py0 AND r.x1 <= px1 AND r.y1 <= py1)),
 k AS (SELECT *, tan(radians(le)) AS tl, tan(radians(re)) AS tr, tan(radians(li)) AS il, tan(radians(ri)) AS ir FROM w
@@ -216,10 +216,10 @@ d AS (SELECT *, sqrt((tl * cos(radians(la)) - tr * cos(radians(ra))) ** 2 + (tl
 """
 
 
-@query("images", "roi", sql=_STEREO + "SELECT l_product_id, r_product_id, round(overlap_percent, 6) AS overlap_percent, round(roi_overlap_percent, 6) AS roi_overlap_percent, round(dp, 4) AS dp, round(dsh, 4) AS dsh FROM d")
+@query("images", "roi", sql=_STEREO + "SELECT l_product_id, r_product_id, round(overlap_percent, 4) AS overlap_percent, round(roi_overlap_percent, 4) AS roi_overlap_percent, round(least(dp, 1000), 4) AS dp, round(least(dsh, 1000), 4) AS dsh FROM d")
 def find_stereo(t: Load) -> DataFrame:
     found = stereo.find_stereo(t("images"), t("roi"))
-    return found.select("l_product_id", "r_product_id", *rounded("overlap_percent", "roi_overlap_percent"), F.round("dp", 4).alias("dp"), F.round("dsh", 4).alias("dsh"))
+    return found.select("l_product_id", "r_product_id", *[F.round(c, 4).alias(c) for c in ("overlap_percent", "roi_overlap_percent")], F.round(F.least("dp", F.lit(1000.0)), 4).alias("dp"), F.round(F.least("dsh", F.lit(1000.0)), 4).alias("dsh"))
 
 
 @query("images", "roi", sql=_STEREO + f""", q AS (SELECT l_product_id, r_product_id, least({_bounded('li', 50.0, 50.0, 40.0, 65.0)}, {_bounded('ri', 50.0, 50.0, 40.0, 65.0)}, {_bounded('le', 22.5, 22.5, 0.0, 45.0)}, {_bounded('re', 22.5, 22.5, 0.0, 45.0)},

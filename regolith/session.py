@@ -41,14 +41,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several later steps read to the shared folder; Spark removes it when the application ends."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

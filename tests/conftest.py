@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from regolith.session import local_session
 
-    session = local_session(8, 8, "6g")
+    session = local_session(4, 8, "6g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
