@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regolith.llm import text as tx
@@ -15,8 +15,8 @@ from regolith.session import cut, stage
 HASHES, ROWS = 125, 5
 #: Members of a bucket whose pairs are formed at once; a larger one is resolved around pivots.
 SMALL = 12
-#: Members outside a run's largest component that are compared with the whole run at once.
-MINOR = 16
+#: By how much that number grows in each round: pivots have then parted the groups that are large by many copies.
+GROWTH = 8
 #: Standard errors below the limit at which a signature still passes to the full comparison.
 SLACK = 5.0
 
@@ -84,9 +84,10 @@ def band_keys(reps: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b, near, linked) of the pairs: signatures first, then full shingle sets.
+    """(a, b, pivot, linked, lacks, adds, whole) of pairs (a, b, pivot): signatures first, then full shingle sets.
 
-    ``near`` is the estimated distance in twentieths where the signatures rule the pair out, the exact one otherwise.
+    Where one of the two is named as pivot, ``adds`` has the other's shingles that the pivot lacks, ``lacks`` is the number
+    of the pivot's that the other lacks, and ``whole`` the pivot's number.
     """
     left = texts.select(F.col("doc").alias("a"), F.col("text").alias("ta"), F.col("sig").alias("sa"))
     right = texts.select(F.col("doc").alias("b"), F.col("text").alias("tb"), F.col("sig").alias("sb"))
@@ -96,29 +97,37 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     def run(batches):
         known: dict[int, np.ndarray] = {}
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            a, b, pivot = (batch.column(k).to_pylist() for k in range(3))
             if not a:
                 continue
-            sa, sb = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(len(a), HASHES) for k in (4, 5))
-            agree = (sa == sb).mean(axis=1)
-            likely = np.flatnonzero(agree >= least)
-            similar, linked = agree.copy(), np.zeros(len(a), bool)
+            sa, sb = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(len(a), HASHES) for k in (5, 6))
+            asked = np.array([p is not None for p in pivot])
+            likely = np.flatnonzero(((sa == sb).mean(axis=1) >= least) | asked)
+            linked = np.zeros(len(a), bool)
+            lacks, whole = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
+            adds: list[np.ndarray | None] = [None] * len(a)
             if sum(map(len, known.values())) > 4_000_000:
                 known.clear()
-            for ids, k in ((a, 2), (b, 3)):
+            for ids, k in ((a, 3), (b, 4)):
                 rows = {ids[r]: int(r) for r in likely.tolist() if ids[r] not in known}
                 if rows:
                     for i, j, data, offsets in tx.parts(batch.column(k).take(pa.array(list(rows.values())))):
                         known.update(zip(list(rows)[i:j], shingle_sets(data, offsets, size), strict=True))
             for r in likely.tolist():
                 x, y = known[a[r]], known[b[r]]
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                union = len(x) + len(y) - both
-                similar[r], linked[r] = both / union, 100 * both >= percent * union
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.floor((1 - similar) * 20).astype(np.int32)), pa.array(linked)], ["a", "b", "near", "linked"])
+                if asked[r]:
+                    if pivot[r] == a[r]:
+                        x, y = y, x
+                    new = np.setdiff1d(x, y, assume_unique=True)
+                    both = len(x) - len(new)
+                    adds[r], lacks[r], whole[r] = new.view(np.int64), len(y) - both, len(y)
+                else:
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                linked[r] = 100 * both >= percent * (len(x) + len(y) - both)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(linked), pa.array(lacks), pa.array(adds, pa.list_(pa.int64())), pa.array(whole)], ["a", "b", "pivot", "linked", "lacks", "adds", "whole"])
 
-    full = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb", "sa", "sb")
-    return full.mapInArrow(run, "a bigint, b bigint, near int, linked boolean")
+    full = pairs.join(left, "a").join(right, "b").select("a", "b", "pivot", "ta", "tb", "sa", "sb")
+    return full.mapInArrow(run, "a bigint, b bigint, pivot bigint, linked boolean, lacks bigint, adds array<bigint>, whole bigint")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -127,10 +136,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     Documents are linked when 100 * intersection >= percent * union of their sets of ``size``-word shingles; a component
     is all that links reach, named by its smallest id, and that document is kept. Copies of one set are one class from the
     start, so a group of exact copies costs one row per band. Pairs inside a bucket of at most SMALL classes are all
-    compared. A larger bucket is compared with a pivot, the member with the fullest buckets; members that the pivot's
-    component holds need no further comparison among themselves, and by the triangle inequality of the Jaccard distance
-    members whose distances to the pivot are further apart than the limit can't be linked; the bucket falls into such runs
-    of distances, and rounds go on until every run is one component, but for MINOR members at most, which are compared with all of it. No bucket is capped.
+    compared. A larger bucket is compared with a pivot, the member with the fullest buckets. Two members that the pivot's
+    links don't join can only be linked if they share enough shingles that the pivot lacks (found by their rarest ones), or
+    if the numbers of shingles that they lack and add allow it (see ``_compatible``): such groups are the next round's buckets, if they hold several
+    components. Each is smaller, as its pivot has left, and in groups of edited copies hardly any are left after the first
+    round. No bucket is capped, and no group's pairs are all formed.
 
     n_links counts the classes of other sets found linked to the row's class. A null or empty text has no shingles and is
     linked with nothing; a null id has a null component; repeated ids give a row each; an empty table gives no rows.
@@ -148,27 +158,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     texts = stage(texts.join(signed, "doc").dropDuplicates(["doc"]), "candidates")
 
-    small = members.filter(F.col("size") <= SMALL)
-    pairs = small.alias("x").join(small.alias("y"), "bucket").filter("x.doc < y.doc").select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
+    pairs = _pairs(members.filter(F.col("size") <= SMALL))
     weight = members.groupBy("doc").agg(F.sum("size").alias("weight"))
-    large = members.filter(F.col("size") > SMALL).select("bucket", "doc").join(weight, "doc")
-    large = large.withColumn("part", F.lit(0).cast("long"))
-    links, state = None, cut(large)
+    state = members.filter(F.col("size") > SMALL).select("bucket", "doc")
+    links, small = None, SMALL
     while True:
-        pivots = state.groupBy("bucket", "part").agg(F.max_by("doc", F.struct("weight", -F.col("doc"))).alias("pivot"))
-        spokes = state.join(pivots, ["bucket", "part"]).filter("doc <> pivot")
-        spokes = spokes.withColumns({"a": F.least("doc", "pivot"), "b": F.greatest("doc", "pivot")})
-        asked = spokes.select("a", "b") if pairs is None else spokes.select("a", "b").union(pairs)
-        found = stage(verify(asked.distinct(), texts, size, percent), "verified")
-        pairs = None
+        pivots = state.join(weight, "doc").groupBy("bucket").agg(F.max_by("doc", F.struct("weight", -F.col("doc"))).alias("pivot"))
+        spokes = state.join(pivots, "bucket").filter("doc <> pivot").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"), "pivot").distinct()
+        found = stage(verify(spokes.union(pairs.select("a", "b", F.lit(None).cast("long").alias("pivot"))), texts, size, percent), "verified")
         fresh = found.filter("linked").select("a", "b")
         links = fresh if links is None else links.union(fresh)
-        if state.isEmpty():
+        spokes = found.filter("pivot IS NOT NULL")
+        if spokes.isEmpty():
             break
-        whole = connected_components(links, "a", "b")
-        state, pairs = _unresolved(spokes, found, whole, percent)
-        if state.isEmpty() and pairs.isEmpty():
+        members = stage(_unresolved(spokes, cut(connected_components(links, "a", "b")), percent), "members")
+        if members.isEmpty():
             break
+        small *= GROWTH
+        pairs = _pairs(members.filter(F.col("size") <= small), "component")
+        state = members.filter(F.col("size") > small).select("bucket", "doc")
     components = connected_components(links, "a", "b")
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
     named = classes.join(components, F.col("rep") == components["id"], "left").drop("id").join(degree, F.col("rep") == degree["id"], "left")
@@ -179,20 +187,43 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc") == component).alias("kept"), F.coalesce("links", F.lit(0).cast("long")).alias("n_links"))
 
 
-def _unresolved(spokes: DataFrame, found: DataFrame, whole: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(what a next round needs of the large buckets, the pairs of runs with few members outside one component)."""
-    known = spokes.join(found.select("a", "b", "near"), ["a", "b"]).join(whole, F.col("doc") == F.col("id"), "left")
-    known = known.select("bucket", "part", "doc", "weight", "near", F.coalesce("component", "doc").alias("component"))
-    bins = known.groupBy("bucket", "part").agg(F.sort_array(F.collect_set("near")).alias("bins"))  # at most 21 values
-    apart = (100 - percent) // 5 + 4  # in twentieths: the limit, with room for estimated distances
-    known = known.join(bins, ["bucket", "part"])
-    known = known.withColumn("run", F.expr(f"size(filter(bins, (x, i) -> i > 0 AND x <= near AND x - bins[i - 1] > {apart}))"))
-    run = ["bucket", "part", "run"]
-    sizes = known.groupBy(*run, "component").agg(F.count(F.lit(1)).alias("size"))
-    sizes = sizes.groupBy(*run).agg(F.max_by("component", F.struct("size", "component")).alias("major"), (F.sum("size") - F.max("size")).alias("minor")).filter("minor > 0")
-    left = known.join(sizes, run).withColumn("part", F.xxhash64("part", "run"))
-    left = cut(left.select("bucket", "part", "doc", "weight", "near", "component", F.expr("component <> major").alias("odd"), "minor"))
-    few = left.filter(F.col("minor") <= MINOR)
-    pairs = few.filter("odd").alias("x").join(few.alias("y"), ["bucket", "part"]).filter("x.component <> y.component").filter(F.abs(F.col("x.near") - F.col("y.near")) <= apart)
-    pairs = pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
-    return left.filter(F.col("minor") > MINOR).select("bucket", "doc", "weight", "part"), pairs
+def _pairs(members: DataFrame, apart: str | None = None) -> DataFrame:
+    """All pairs (a, b) inside small buckets, of different ``apart`` if given."""
+    pairs = members.alias("x").join(members.alias("y"), "bucket").filter("x.doc < y.doc")
+    if apart:
+        pairs = pairs.filter(F.col(f"x.{apart}") != F.col(f"y.{apart}"))
+    return pairs.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
+
+
+def _compatible(percent: int):
+    """Whether x and y could be linked without sharing a shingle that the pivot lacks, judged by counts.
+
+    Of the pivot's shingles, x and y have at most whole - max(lacks) in common; their union then has at least
+    whole - min(lacks) + adds of both.
+    """
+    most = F.col("x.whole") - F.greatest("x.lacks", "y.lacks")
+    return 100 * most >= percent * (F.col("x.whole") - F.least("x.lacks", "y.lacks") + F.col("x.added") + F.col("y.added"))
+
+
+def _unresolved(spokes: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """(bucket, doc, component, size): the groups around each pivot that may still hold links between components."""
+    doc = F.when(F.col("pivot") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+    known = spokes.select("pivot", doc.alias("doc"), "linked", "whole", "lacks", "adds", F.size("adds").alias("added"))
+    known = known.join(whole, F.col("doc") == F.col("id"), "left").withColumn("component", F.coalesce("component", "doc")).drop("id")
+    known = stage(known, "spokes")
+
+    # a pair that needs t common added shingles has one among each side's added - t + 1 rarest (in one order for all)
+    needed = F.greatest(F.ceil((F.col("added") + F.col("whole") - F.col("lacks")) * percent / 100) - (F.col("whole") - F.col("lacks")), F.lit(1))
+    each = known.select("pivot", "doc", "component", (F.col("added") - needed + 1).alias("prefix"), F.explode("adds").alias("add"))
+    often = each.groupBy("pivot", "add").agg(F.count(F.lit(1)).alias("often"))
+    place = F.row_number().over(Window.partitionBy("pivot", "doc").orderBy("often", "add"))
+    sharing = each.join(often, ["pivot", "add"]).withColumn("place", place).filter("place <= prefix AND often > 1")
+    sharing = sharing.select(F.xxhash64("pivot", "add").alias("bucket"), "doc", "component")
+    classes = known.groupBy("pivot", "whole", "lacks", "added").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count_if(~F.col("linked")).alias("odd"))
+    fits = classes.filter("odd > 0").alias("x").join(classes.alias("y"), "pivot").filter(_compatible(percent) & F.expr("NOT (x.c0 = x.c1 AND y.c0 = y.c1 AND x.c0 = y.c0)"))
+    both = F.explode(F.array(F.struct("x.lacks", "x.added"), F.struct("y.lacks", "y.added"))).alias("k")
+    fits = fits.select("pivot", both).select("pivot", "k.lacks", "k.added").distinct()
+    counted = known.join(fits, ["pivot", "lacks", "added"]).select(F.xxhash64("pivot", F.lit("counts")).alias("bucket"), "doc", "component")
+    groups = sharing.union(counted)
+    open_groups = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1")
+    return groups.join(open_groups.select("bucket", "size"), "bucket").select("bucket", "doc", "component", "size")
