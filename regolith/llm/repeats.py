@@ -24,10 +24,12 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from regolith.llm import text as tx
-from regolith.session import checkpoint_dir, stage
+from regolith.session import checkpoint_dir, delete_on_exit, stage
 
-#: Segments of one anchor in one block, and blocks of one anchor, from which its windows go to shards by their own hashes.
-HOT = 24
+#: Segments of one anchor in all documents from which its windows go to shards by their own hashes.
+HOT = 4096
+#: Bytes of an anchor's hash that are sent, besides what its shard tells. A false match only sends a segment for nothing.
+SENT = 5
 #: Blocks that an input partition is dealt to.
 SPLIT = 4
 
@@ -185,7 +187,8 @@ def removed_runs(docs: DataFrame, length: int, gram: int, outside: np.ndarray |
     shards = max(1, whole.rdd.getNumPartitions()) * SPLIT
     name = f"blocks_{uuid.uuid4().hex}"
     place = F.spark_partition_id() * SPLIT + F.pmod(F.xxhash64("ord", F.length("text")), F.lit(SPLIT)).cast("int")
-    whole.withColumn("block", place).write.bucketBy(shards, "block").option("path", f"{checkpoint_dir(spark)}/{name}").saveAsTable(name)
+    whole.withColumn("block", place).write.bucketBy(shards, "block").option("compression", "zstd").option("path", f"{checkpoint_dir(spark)}/{name}").saveAsTable(name)
+    delete_on_exit(spark, f"{checkpoint_dir(spark)}/{name}")
     blocks = spark.table(name)
 
     def block_of(table: pa.Table) -> Block:
@@ -196,32 +199,34 @@ def removed_runs(docs: DataFrame, length: int, gram: int, outside: np.ndarray |
         shard = (block.unique % tx.U64(shards)).astype(np.int64)
         by = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[by], np.arange(shards + 1))
-        rows = np.full(len(block.unique), -1, np.int64)
         several = np.zeros(len(block.unique), bool)
         if len(block.unique):
-            lowest, highest = np.full(len(block.unique), 1 << 62), np.full(len(block.unique), -1)
+            lowest, highest = np.full(len(block.unique), (1 << 63) - 1), np.full(len(block.unique), -(1 << 63))
             order = block.table.column("ord").to_numpy()[block.row]
             np.minimum.at(lowest, block.at, order)
             np.maximum.at(highest, block.at, order)
             several = lowest < highest
-            rows = np.bincount(block.at, minlength=len(block.unique))
+        doublings = np.ceil(np.log2(np.bincount(block.at, minlength=len(block.unique)) + 1)).astype(np.uint8)
+        sent = block.unique.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - SENT :]
         out = [(s, by[cuts[s] : cuts[s + 1]]) for s in range(shards) if cuts[s + 1] > cuts[s]]
         number = table.column("block")[0].as_py()
         return pa.table({
             "shard": pa.array([s for s, _ in out], pa.int32()), "block": pa.array([number] * len(out), pa.int32()),
-            "anchors": pa.array([block.unique[x].tobytes() for _, x in out], pa.binary()),
+            "anchors": pa.array([sent[x].tobytes() for _, x in out], pa.binary()),
             "several": pa.array([np.packbits(several[x]).tobytes() for _, x in out], pa.binary()),
-            "many": pa.array([np.packbits(rows[x] > HOT).tobytes() for _, x in out], pa.binary()),
+            "many": pa.array([doublings[x].tobytes() for _, x in out], pa.binary()),
         })
 
     def judge_anchors(table: pa.Table) -> pa.Table:
-        anchors = [np.frombuffer(x, tx.U64) for x in table.column("anchors").to_pylist()]
-        every = np.concatenate(anchors)
-        unique, place, count = np.unique(every, return_inverse=True, return_counts=True)
-        bits = lambda c: np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(a)) for x, a in zip(table.column(c).to_pylist(), anchors, strict=True)])
-        seen, hot = count > 1, count > HOT
-        np.logical_or.at(seen, place, bits("several").astype(bool))
-        np.logical_or.at(hot, place, bits("many").astype(bool))
+        anchors = [np.frombuffer(x, np.uint8).reshape(-1, SENT) for x in table.column("anchors").to_pylist()]
+        every = np.zeros((sum(map(len, anchors)), 8), np.uint8)
+        every[:, 8 - SENT :] = np.concatenate(anchors)
+        _, place, count = np.unique(every.view("<u8").ravel(), return_inverse=True, return_counts=True)
+        several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(a)) for x, a in zip(table.column("several").to_pylist(), anchors, strict=True)])
+        seen = count > 1
+        np.logical_or.at(seen, place, several.astype(bool))
+        doublings = np.frombuffer(b"".join(table.column("many").to_pylist()), np.uint8)
+        hot = np.bincount(place, np.exp2(doublings) - 1, len(count)) > HOT
         cuts = np.cumsum([0] + [len(a) for a in anchors])
         pack = lambda x: [np.packbits(x[place[a:b]]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return pa.table({"block": table.column("block"), "shard": table.column("shard"), "a": pa.array(pack(seen), pa.binary()), "b": pa.array(pack(hot), pa.binary()), "c": pa.array([None] * len(anchors), pa.binary())})

@@ -6,12 +6,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from regolith.llm.repeats import Tokens, removed_runs
-from regolith.llm.text import repeat_ranges
+from regolith.llm.text import byte_windows, repeat_ranges
 
 #: Bytes in one suffix array; a larger shard has several, merged by binary search.
 MOST = 4 << 20
 #: Bytes of an anchor.
-GRAM = 20
+GRAM = 16
 
 
 class SuffixArray:
@@ -34,28 +34,30 @@ class SuffixArray:
         for k in range(7):
             key = key << np.uint64(8) | np.where(rest > k, self.data[k : k + n], 0).astype(np.uint64)
         key = key << np.uint64(8) | np.minimum(rest, 7).astype(np.uint64)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         head = np.ones(n, bool)
-        head[1:] = key[order][1:] != key[order][:-1]
+        sorted_key = key[order]
+        head[1:] = sorted_key[1:] != sorted_key[:-1]
         rank = np.empty(n, np.int64)  # the place of the first suffix of its group
         rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
         reach, longest = 7, int(rest.max(initial=0))
         while reach < longest:
-            alone = head & np.append(head[1:], True)
-            slot = np.flatnonzero(~alone)  # only groups of several suffixes are sorted further
+            slot = np.flatnonzero(~(head & np.append(head[1:], True)))  # only groups of several suffixes are sorted further
             if not len(slot):
                 break
             own = order[slot]
-            ahead = np.where(rest[own] > reach, rank[np.minimum(own + reach, n - 1)] + 1, 0)
-            by = np.lexsort((ahead, rank[own]))
-            own, ahead = own[by], ahead[by]
-            group = rank[own]
+            both = rank[own] * (n + 1) + np.where(rest[own] > reach, rank[np.minimum(own + reach, n - 1)] + 1, 0)
+            by = np.argsort(both)
+            own, both = own[by], both[by]
             order[slot] = own
             new = np.ones(len(own), bool)
-            new[1:] = (group[1:] != group[:-1]) | (ahead[1:] != ahead[:-1])
+            new[1:] = both[1:] != both[:-1]
             head[slot] = new
             rank[own] = slot[np.maximum.accumulate(np.where(new, np.arange(len(own)), 0))]
             reach *= 2
+        slot = np.flatnonzero(~(head & np.append(head[1:], True)))  # equal to their ends: the earlier string comes first
+        own = order[slot]
+        order[slot] = own[np.argsort(rank[own] * (n + 1) + own)]
         return order
 
     def _kasai(self, size: np.ndarray) -> np.ndarray:
@@ -123,6 +125,10 @@ def locate(a: SuffixArray, wanted: np.ndarray, b: SuffixArray, sorted_windows: n
 def first_documents(texts: list[bytes], sizes: np.ndarray, docs: np.ndarray, length: int) -> list[tuple[int, int, int, int]]:
     """(text, window from, window to, first document) for the texts with a window that occurs elsewhere too."""
     lens = np.array([len(x) for x in texts], np.int64)
+    text, at = repeat_ranges(np.cumsum(lens) - lens, sizes)
+    _, kind, times = np.unique(byte_windows(np.frombuffer(b"".join(texts), np.uint8), length)[at], return_inverse=True, return_counts=True)
+    able = np.unique(text[times[kind.ravel()] > 1])  # equal windows have equal fingerprints: no other text can share one
+    texts, sizes, docs, lens = [texts[i] for i in able.tolist()], sizes[able], docs[able], lens[able]
     part = (np.cumsum(lens) - lens) // MOST
     arrays = []
     for p in np.unique(part).tolist():
@@ -154,7 +160,7 @@ def first_documents(texts: list[bytes], sizes: np.ndarray, docs: np.ndarray, len
         head = np.flatnonzero(new)
         stop = np.append(head[1:], len(at))
         base = sa.begin[changed][where[head]]
-        out += zip(own[changed[where[head]]].tolist(), (at[head] - base).tolist(), (at[stop - 1] - base + 1).tolist() if len(head) else [], value[head].tolist(), strict=True)
+        out += zip(able[own[changed[where[head]]]].tolist(), (at[head] - base).tolist(), (at[stop - 1] - base + 1).tolist() if len(head) else [], value[head].tolist(), strict=True)
     return out
 
 
