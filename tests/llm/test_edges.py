@@ -89,8 +89,15 @@ def test_schedule_serves_all_exactly():
 
 def test_encoder_equals_the_tokenizer():
     texts = ["a  b\n\n c\td ", "don't  stop\r\n\r\n", "<|endoftext|> x", "é\xa0ü　z 1234abc", "  ", "\n", "x\x1cy \x85 z", "\U0001f600 \U0001f600"]
-    got = [np.frombuffer(x, "<u4").tolist() + [1] for x in packing.Encoder(q.tokenizer())(texts)]
-    assert got == brute.encode(texts)
+    encode = packing.Encoder(q.tokenizer())
+    assert encode.fast is not None
+    assert [[*encode(x), 1] for x in texts] == brute.encode(texts)
+    encode.compared = packing.COMPARED  # without the comparison
+    rng = random.Random(1)
+    more = texts + ["".join(rng.choice("ab Z09.'\n\t é\u3000\u0301\u4e2d\U0001f600\x1c\x85_-") for _ in range(300)) for _ in range(200)] + [" " * 50_000 + "x", "a" * 50_000]
+    assert [[*encode(x), 1] for x in more] == brute.encode(more) and encode.fast is not None
+    encode.fast = None
+    assert [[*encode(x), 1] for x in texts] == brute.encode(texts)
 
 
 @pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
