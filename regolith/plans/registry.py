@@ -216,10 +216,10 @@ d AS (SELECT *, sqrt((tl * cos(radians(la)) - tr * cos(radians(ra))) ** 2 + (tl
 """
 
 
-@query("images", "roi", sql=_STEREO + "SELECT l_product_id, r_product_id, round(overlap_percent, 4) AS overlap_percent, round(roi_overlap_percent, 4) AS roi_overlap_percent, round(least(dp, 1000), 4) AS dp, round(least(dsh, 1000), 4) AS dsh FROM d")
+@query("images", "roi", sql=_STEREO + "SELECT l_product_id, r_product_id, floor(overlap_percent * 10000 + 0.5) / 10000 AS overlap_percent, floor(roi_overlap_percent * 10000 + 0.5) / 10000 AS roi_overlap_percent, round(least(dp, 1000), 4) AS dp, round(least(dsh, 1000), 4) AS dsh FROM d")
 def find_stereo(t: Load) -> DataFrame:
     found = stereo.find_stereo(t("images"), t("roi"))
-    return found.select("l_product_id", "r_product_id", *[F.round(c, 4).alias(c) for c in ("overlap_percent", "roi_overlap_percent")], F.round(F.least("dp", F.lit(1000.0)), 4).alias("dp"), F.round(F.least("dsh", F.lit(1000.0)), 4).alias("dsh"))
+    return found.select("l_product_id", "r_product_id", *[(F.floor(F.col(c) * 10000 + 0.5) / 10000).alias(c) for c in ("overlap_percent", "roi_overlap_percent")], F.round(F.least("dp", F.lit(1000.0)), 4).alias("dp"), F.round(F.least("dsh", F.lit(1000.0)), 4).alias("dsh"))
 
 
 @query("images", "roi", sql=_STEREO + f""", q AS (SELECT l_product_id, r_product_id, least({_bounded('li', 50.0, 50.0, 40.0, 65.0)}, {_bounded('ri', 50.0, 50.0, 40.0, 65.0)}, {_bounded('le', 22.5, 22.5, 0.0, 45.0)}, {_bounded('re', 22.5, 22.5, 0.0, 45.0)},
