@@ -16,8 +16,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without their source's common lines; n_chars follows."""
-    clean = linededup.drop_common_lines(docs, queries.LINE_RATIO, queries.LINE_PAGES)
+    """All documents, without their source's common lines; n_chars follows.
+
+    Exact copies are one page here: they are the next stage's work, which needs the text of one of them.
+    """
+    clean = linededup.drop_common_lines(docs, queries.LINE_RATIO, queries.LINE_PAGES, copies=False)
     return clean.withColumn("n_chars", F.length("text").cast("long"))
 
 

@@ -56,3 +56,10 @@ def test_pipeline_takes_an_empty_table(spark):
     for _, step in corpus_pipeline.STAGES[:4]:
         docs = step(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_copies_keep_their_lines(spark):
+    rows = [(i, "first line\nsecond line", "en", "a", 22) for i in range(30)] + [(i, f"own {i}\nthe footer", "en", "a", 9) for i in range(30, 60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_lines(spark, docs, SF).collect()}
+    assert got == {i: ("first line\nsecond line", 22) if i < 30 else (f"own {i}", 6) for i in range(60)}
