@@ -25,9 +25,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group: five-word shingles, similarity 0.8."""
-    kept = minhash.near_duplicates(docs, size=5, percent=80).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One row of each group, that with the smallest id (nulls last): five-word shingles, similarity 0.8."""
+    return minhash.first_rows(docs, size=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -130,33 +130,30 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return full.mapInArrow(run, "a bigint, b bigint, pivot bigint, linked boolean, lacks bigint, adds array<bigint>, whole bigint")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: id_col, n_shingles, component_id, kept, n_links.
+def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc, n, key, component, links) of every row of ``docs`` (row, text), whose row keys are distinct and not null; doc is the row key.
 
     Documents are linked when 100 * intersection >= percent * union of their sets of ``size``-word shingles; a component
-    is all that links reach, named by its smallest id, and that document is kept. Copies of one set are one class from the
+    is all that links reach, named by its smallest row key. Copies of one set are one class from the
     start, so a group of exact copies costs one row per band. Pairs inside a bucket of at most SMALL classes are all
     compared. A larger bucket is compared with a pivot, the member with the fullest buckets. Two members that the pivot's
     links don't join can only be linked if they share enough shingles that the pivot lacks (found by their rarest ones), or
     if the numbers of shingles that they lack and add allow it (see ``_compatible``): such groups are the next round's buckets, if they hold several
     components. Each is smaller, as its pivot has left, and in groups of edited copies hardly any are left after the first
     round. No bucket is capped, and no group's pairs are all formed.
-
-    n_links counts the classes of other sets found linked to the row's class. A null or empty text has no shingles and is
-    linked with nothing; a null id has a null component; repeated ids give a row each; an empty table gives no rows.
     """
-    rows = stage(features(docs, size, id_col, text_col), "shingles")
-    sets = rows.filter("key IS NOT NULL AND doc IS NOT NULL")
+    rows = stage(features(docs, size, "row", "text"), "shingles")
+    sets = rows.filter("key IS NOT NULL")
     classes = sets.groupBy("key").agg(F.min("doc").alias("rep"))
-    reps = sets.join(classes, (sets["key"] == classes["key"]) & (sets["doc"] == F.col("rep"))).select("doc", "sig").dropDuplicates(["doc"])
+    reps = sets.join(classes, (sets["key"] == classes["key"]) & (sets["doc"] == F.col("rep"))).select("doc", "sig")
     buckets = stage(band_keys(reps), "bands")
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = stage(buckets.join(sizes, "bucket"), "members")
 
     wanted = members.select("doc").distinct()
     signed = reps.join(wanted, "doc", "left_semi")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = stage(texts.join(signed, "doc").dropDuplicates(["doc"]), "candidates")
+    texts = docs.select(F.col("row").alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = stage(texts.join(signed, "doc"), "candidates")
 
     pairs = _pairs(members.filter(F.col("size") <= SMALL))
     weight = members.groupBy("doc").agg(F.sum("size").alias("weight"))
@@ -182,9 +179,38 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     named = classes.join(components, F.col("rep") == components["id"], "left").drop("id").join(degree, F.col("rep") == degree["id"], "left")
     named = named.select("key", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
     out = rows.join(named, "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("doc")).otherwise(F.col("component"))
-    component = F.when(F.col("doc").isNotNull(), component)
-    return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc") == component).alias("kept"), F.coalesce("links", F.lit(0).cast("long")).alias("n_links"))
+    return out.select("doc", "n", "key", F.coalesce("component", "doc").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of ``docs``: id_col, n_shingles, component_id, kept, n_links.
+
+    Components are those of ``_groups``, named by their smallest id, and that document is kept. n_links counts the classes
+    of other sets found linked to the row's class. A null or empty text has no shingles and is linked with nothing; a null
+    id has a null component, but its text links others; repeated ids give a row each, and each of their texts is linked;
+    an empty table gives no rows.
+    """
+    keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    keyed = stage(keyed.withColumn("row", F.monotonically_increasing_id()), "rows")
+    groups = stage(_groups(keyed.select("row", "text"), size, percent), "groups").join(keyed.select(F.col("row").alias("doc"), "id"), "doc")
+    names = groups.groupBy("component").agg(F.min("id").alias("least"))
+    component = F.when(F.col("id").isNotNull(), F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("least")))
+    out = groups.join(names, "component").select("id", "n", component.alias("name"), "links")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("name").alias("component_id"), (F.col("id") == F.col("name")).alias("kept"), F.col("links").alias("n_links"))
+
+
+def first_rows(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of ``_groups``: that with the smallest id, nulls last, then the first in order.
+
+    Rows are told apart by a key of their own, so repeated ids are copies like others, and a row without an id is kept if
+    it is linked with nothing or all its component has none. A null or empty text is linked with nothing and always kept.
+    """
+    keyed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    groups = _groups(keyed.select(F.col("__row").alias("row"), F.col(text_col).alias("text")), size, percent)
+    ids = keyed.select(F.col("__row").alias("doc"), F.col(id_col).alias("id"))
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("doc"))
+    kept = groups.join(ids, "doc").groupBy("component").agg(F.min_by("doc", order).alias("__row")).select("__row")
+    return keyed.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _pairs(members: DataFrame, apart: str | None = None) -> DataFrame:

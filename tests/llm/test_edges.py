@@ -113,6 +113,13 @@ def test_near_duplicates_repeated_and_null_ids(spark):
     assert got == [(-1, None), (1, 1), (1, 1), (2, 1)]
 
 
+def test_near_duplicates_of_two_texts_under_one_id(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    df = spark.createDataFrame([(1, a), (1, b), (2, a + " more"), (3, b + " more")], "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept, r.n_links) for r in minhash.near_duplicates(df, 3, 85).collect())
+    assert got == [(1, 1, True, 1), (1, 1, True, 1), (2, 1, False, 1), (3, 1, False, 1)]
+
+
 def test_quality(spark, docs, empty):
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
     model = quality.train(docs, labels)

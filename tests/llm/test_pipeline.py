@@ -63,3 +63,13 @@ def test_copies_keep_their_lines(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_lines(spark, docs, SF).collect()}
     assert got == {i: ("first line\nsecond line", 22) if i < 30 else (f"own {i}", 6) for i in range(60)}
+
+
+def test_null_and_repeated_ids_in_near_duplicates(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(None, a), (1, b), (1, b), (1, c), (None, b), (None, d), (None, d), (2, c + " more"), (3, ""), (3, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 9) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    assert out.columns == docs.columns
+    assert got == Counter([(None, a), (1, b), (1, c), (None, d), (3, ""), (3, ""), (None, None)])
