@@ -23,7 +23,10 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code"
 AROUND = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "header"}
 CONTENT = {"article", "main"}
 #: Words in class, id or role that name what surrounds an article, or its readers' comments.
-SIDE = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|popup|modal|newsletter|subscri\w*|share|sharing|social|related|recommend\w*|sidebar|side|menu|nav\w*|breadcrumbs?|footer|masthead|toolbar|comments?|replies|disqus|respond|login|signup|paywall|pagination|pager|skip|complementary|banner|contentinfo|navigation|search)(?=$|[\s_-])", re.I)
+SIDE = re.compile(r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|popup|modal|newsletter|subscri\w*|share|sharing|social|related|recommend\w*|sidebar|side|menu|nav\w*|breadcrumbs?|footer|masthead|toolbar|comments?|replies|disqus|respond|login|signup|paywall|pagination|pager|skip|complementary|contentinfo|search", re.I)
+#: Words after which a name is still of what stands before them, and words before which it says only that something is there or not.
+HOLDER = re.compile(r"\d+|areas?|bars?|blocks?|box(?:es)?|buttons?|container|forms?|icons?|inner|items?|links?|list|outer|panel|posts?|section|slot|stories|thread|top|bottom|left|right|unit|widgets?|wrap(?:per)?", re.I)
+ABOUT = {"has", "no", "not", "with", "without", "hide", "show"}
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I | re.S)
 _SPACE = re.compile(r"[\s ]+")
@@ -53,15 +56,41 @@ class Weights:
     other: float = -2.0
 
 
+def names_side(names: str) -> bool:
+    """Whether one of the names means something beside an article: its last word does, but for words like "box".
+
+    "main-nav" and "share-buttons" do; "social-history", "search-results", "has-sidebar" and "sidebar-layout" don't.
+    """
+    for name in names.split():
+        words = [x for x in re.split("[_-]+", name) if x]
+        while len(words) > 1 and HOLDER.fullmatch(words[-1]):
+            words.pop()
+        if words and SIDE.fullmatch(words[-1]) and not any(x.lower() in ABOUT for x in words[:-1]):
+            return True
+    return False
+
+
 def scan(page: str) -> list[Token]:
-    """The page's tags and texts in order, in one pass; unclosed and misnested tags do no harm."""
+    """The page's tags and texts in order, in one pass; unclosed and misnested tags do no harm.
+
+    A name, or a form, condemns an element only if it holds less than half of the words of the page's articles, and a
+    name only if it holds less than half of the page's words as well.
+    """
     out: list[Token] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, side, content
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, side, content, innermost doubtful element
+    doubtful: list[list] = [[0, False, 0, 0]]  # the one around it, whether by name, words, words in articles
+    inside: list[int] = []  # innermost doubtful element of each token
     at, n = 0, len(page)
 
     def emit(text: str) -> None:
         if text:
-            out.append(Token("", text, bool(stack and stack[-1][1]), bool(stack and stack[-1][2]), any(t[0] == "a" for t in stack[-4:]), False))
+            side, content, own = stack[-1][1:] if stack else (False, False, 0)
+            out.append(Token("", text, side, content, any(t[0] == "a" for t in stack[-4:]), False))
+            inside.append(own)
+            if not side:
+                count = len(text.split())
+                doubtful[own][2] += count
+                doubtful[own][3] += count if content else 0
 
     while at < n:
         m = _TAG.search(page, at)
@@ -81,15 +110,18 @@ def scan(page: str) -> list[Token]:
                     del stack[k:]
                     break
             out.append(Token("/" + name, "", bool(stack and stack[-1][1]), bool(stack and stack[-1][2]), False, False))
+            inside.append(stack[-1][3] if stack else 0)
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|$)[^>]*>?", re.I).search(page, at)
             at = end.end() if end else (n if name in ("script", "style", "textarea", "title", "xmp", "noembed", "noframes", "iframe") else at)
             if end or name in ("script", "style"):
                 out.append(Token(name, "", False, False, False, True))
+                inside.append(0)
                 continue
         if name in VOID:
             out.append(Token(name, "", bool(stack and stack[-1][1]), bool(stack and stack[-1][2]), False, False))
+            inside.append(stack[-1][3] if stack else 0)
             continue
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in _CLOSES.get(name, ()):
@@ -106,16 +138,29 @@ def scan(page: str) -> list[Token]:
                     break
                 if stack[k][0] in _SCOPE:
                     break
-        side, content = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        side, content, own = stack[-1][1:] if stack else (False, False, 0)
         attrs = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(m[3] or "")}
         hidden = "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I)
-        named = name not in ("html", "body", "article", "main") and SIDE.search(" ".join(attrs.get(k, "") for k in ("class", "id", "role")))
+        named = name not in ("html", "body", "article", "main") and names_side(" ".join(attrs.get(k, "") for k in ("class", "id", "role")))
         around = name in AROUND and not (name == "header" and content)
         content = content or name in CONTENT or attrs.get("role", "").lower() in ("main", "article")
-        side = side or bool(around or hidden or named)
+        side = side or bool(around and name != "form" or hidden)
+        if not side and (named or name == "form"):
+            doubtful.append([own, name != "form", 0, 0])
+            own = len(doubtful) - 1
         out.append(Token(name, "", side, content, False, False))
+        inside.append(own)
         if not (m[3] or "").rstrip().endswith("/") or name not in VOID:
-            stack.append((name, side, content))
+            stack.append((name, side, content, own))
+    for around, _, words, own_words in reversed(doubtful[1:]):  # what is inside comes after what is around
+        doubtful[around][2] += words
+        doubtful[around][3] += own_words
+    total, most = doubtful[0][2:]
+    beside = [False]
+    for around, by_name, words, own_words in doubtful[1:]:
+        beside.append(beside[around] or not (most and 2 * own_words >= most or by_name and 2 * words >= total))
+    for t, own in zip(out, inside, strict=True):
+        t.side = t.side or beside[own]
     return out
 
 

@@ -268,5 +268,19 @@ def test_html(spark):
     assert html.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("wrapper", ['<div class="layout has-sidebar">', '<div class="container no-sidebar">', '<div class="sidebar">', '<form id="search">'])
+def test_html_keeps_articles_in_named_wrappers(wrapper):
+    body = "<article><h1>Title</h1><section class=social-history><p>" + "The history of a town. " * 9 + "</p></section><section class=search-results><p>What the search found.</p></section>"
+    page = f"<body><div class=main-nav>Home About</div>{wrapper}{body}<div class=share-buttons>Share this</div></article></{wrapper[1:].split()[0]}><div class=site-footer>Us</div></body>"
+    want = "Title\n\n" + ("The history of a town. " * 9).strip() + "\n\nWhat the search found."
+    assert html.extract(page, html.Weights()) == want
+
+
+def test_html_keeps_most_of_a_page_without_article():
+    text = "A long story about the sea. " * 20
+    page = f"<body><nav>Home</nav><div class='page search'><p>{text}</p></div><div class=related>Other stories</div></body>"
+    assert html.extract(page, html.Weights()) == text.strip()
+
+
 def test_crc_matches_zlib(spark):
     assert spark.range(1).select(F.crc32(F.lit("7"))).first()[0] == zlib.crc32(b"7")
