@@ -13,8 +13,11 @@ FORMATS = (
     ("access", r"AKIA[A-Z0-9]+", 0, 18),
     ("hex", r"[0-9a-f]{16,}", 0, 16),  # the maximal runs of [0-9a-f] with 16 or more
 )
-#: Strings that the tests look at, and encodings by the first pattern that fits: name, pattern, alphabet.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: Strings that the tests look at, with = only as padding (of 20 characters with it; 14 of an encoding hold enough bits).
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}+(?:=++(?![A-Za-z0-9+/_-]))?|(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{14,19}+=++(?![A-Za-z0-9+/_-])"
+#: Where a string that fits no encoding is also cut: it has + or / together with _ or -, and either kind may be between words.
+CUTS = (r"/", r"[_-]")
+#: Encodings by the first pattern that fits: name, pattern, alphabet.
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ENCODINGS = (
     ("hex", r"^[0-9a-f]+$", "0123456789abcdef"),
@@ -58,6 +61,36 @@ def _erfc(x: Column) -> Column:
     return t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * F.exp(-x * x)
 
 
+def parts(found: Column) -> Column:
+    """The array of strings, each that fits no encoding followed by its parts of 20 characters between cuts of either kind."""
+    kind = "array<struct<a:bigint,b:bigint,s:string>>"
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("out"))
+
+    def cut(x: Column, pattern: str) -> Column:
+        def step(acc, piece):
+            a = x["a"] + acc["at"]
+            one = F.struct(a.alias("a"), (a + F.length(piece)).alias("b"), piece.alias("s"))
+            kept = F.when(F.length(piece) >= 20, F.array_append(acc["out"], one)).otherwise(acc["out"])
+            return F.struct((acc["at"] + F.length(piece) + 1).alias("at"), kept.alias("out"))
+
+        return F.aggregate(F.split(x["s"], pattern, -1), start, step, lambda acc: acc["out"])
+
+    odd = lambda x: x["s"].rlike("[+/]") & x["s"].rlike("[_-]")
+    return F.flatten(F.transform(found, lambda x: F.when(odd(x), F.concat(F.array(x), *[cut(x, p) for p in CUTS])).otherwise(F.array(x))))
+
+
+def union(found: Column) -> Column:
+    """The array of spans with those that overlap as one, in order."""
+
+    def step(out, x):
+        last = F.try_element_at(out, F.lit(-1))
+        more = F.when(x["b"] > last["b"], F.concat(last["s"], F.substr(x["s"], (last["b"] - x["a"] + 1).cast("int")))).otherwise(last["s"])
+        one = F.struct(last["a"].alias("a"), F.greatest(last["b"], x["b"]).alias("b"), more.alias("s"))
+        return F.when((F.size(out) > 0) & (x["a"] < last["b"]), F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(one))).otherwise(F.array_append(out, x))
+
+    return F.aggregate(F.array_sort(found), F.array().cast("array<struct<a:bigint,b:bigint,s:string>>"), step)
+
+
 def battery(token: Column) -> Column:
     """struct<encoding, n, p>: p is the probability that random characters of the encoding look as odd as the string.
 
@@ -109,7 +142,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row for each row of ``docs``: id_col, assign, access, hex, random (arrays of struct<a, b, s>: code points, text).
 
     The first three are the fixed formats. ``random`` holds strings of 20 and more characters, outside them, whose encoding
-    can be inferred and whose randomness the battery doesn't reject. Rejection is at a false-discovery rate of ``level``
+    can be inferred and whose randomness the battery doesn't reject, and parts of those that fit no encoding (``parts``);
+    overlapping ones are one span. Rejection is at a false-discovery rate of ``level``
     (Benjamini-Hochberg over all strings of the table), apart for each doubling of length, since long strings give strong
     evidence and would drown short ones. The step-up runs over counts in a fixed number of bins, so it needs one small
     aggregate however many strings there are. Null texts are empty and have none; ties are rejected together; repeated rows
@@ -119,7 +153,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = docs.select(F.col(id_col), *[spans(text, p, g, n).alias(k) for k, p, g, n in FORMATS], spans(text, CANDIDATE, 0, 20).alias("strings"))
     base = F.concat(*[F.col(k) for k, *_ in FORMATS])
     found = found.withColumn("__base", base)
-    alone = F.filter("strings", lambda x: ~F.exists("__base", lambda y: (y["a"] < x["b"]) & (x["a"] < y["b"])))
+    alone = F.filter(parts(F.col("strings")), lambda x: ~F.exists("__base", lambda y: (y["a"] < x["b"]) & (x["a"] < y["b"])))
     tested = F.transform(alone, lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), x["s"].alias("s"), battery(x["s"]).alias("t")))
     tested = F.filter(tested, lambda x: x["t"].isNotNull())
     rows = stage(found.withColumn("tested", tested).drop("strings", "__base"), "secrets")
@@ -135,7 +169,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     limits = limits.agg(F.map_from_entries(F.collect_list(F.struct("g", "least"))).alias("__limits"))
     stays = lambda x: F.coalesce(place(x["t"]["p"]) < F.col("__limits")[group(x["t"]["n"])], F.lit(True))
     kept = F.transform(F.filter("tested", stays), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), x["s"].alias("s")))
-    return rows.crossJoin(F.broadcast(limits)).select(id_col, *[k for k, *_ in FORMATS], kept.alias("random"))
+    return rows.crossJoin(F.broadcast(limits)).select(id_col, *[k for k, *_ in FORMATS], union(kept).alias("random"))
 
 
 def joined(kinds: list[str]) -> Column:

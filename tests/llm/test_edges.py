@@ -159,6 +159,24 @@ def test_secrets_by_randomness(spark):
     assert not any(found[i] for i in range(60, 90))
 
 
+def test_secrets_after_names_and_in_paths(spark):
+    rng = random.Random(4)
+    make = lambda n, more="": "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + more) for _ in range(n))
+    frames = [("AWS_SECRET_KEY={}", "", 40), ("x &sig={}&y=1", "", 26), ("example/v1_a/{}", "", 26), ("example/v1/{}", "_-", 30), ("my_old-name_{}", "+/", 30), ("q={}", "", 18)]
+    rows = []
+    for frame, more, n in frames * 20:
+        token = make(n, more) + ("==" if n == 18 else "")
+        rows.append((len(rows), frame.format(token), token, frame.index("{")))
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    found = {r.doc_id: r.random for r in secrets.find_secrets(df).collect()}
+    for k in range(6):
+        hits = [any(x.a <= at and x.b >= at + len(token) for x in found[i]) for i, _, token, at in rows[k::6]]
+        assert sum(hits) >= 14, frames[k]
+    for i, text, *_ in rows:
+        assert all(x.s == text[x.a : x.b] for x in found[i])
+        assert all(x.b <= y.a for x, y in zip(found[i], found[i][1:], strict=False))
+
+
 def test_lines(spark, rows, docs, empty):
     shared = "the common line"
     df = docs.withColumn("text", F.when(F.col("doc_id") > 5, F.concat("text", F.lit(f"\n{shared}\n\n"))).otherwise(F.col("text")))
