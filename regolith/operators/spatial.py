@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regolith.functions import angles, geometry, ids
+from regolith.session import stage
 
 BOX = ["x0", "y0", "x1", "y1"]
 #: Cells that a footprint may cover on its level; larger footprints go to coarser levels.
 MAX_CELLS = 16
 #: Levels of cell edges, each LEVEL_STEP times the one before.
-LEVELS, LEVEL_STEP = 6, 4
+LEVELS, LEVEL_STEP = 16, 4
+#: Rows of a cell that one task joins; the rows of a fuller cell are dealt over several.
+HOT_CELL = 4096
+_KEYS = ["__at", "__i", "__j", "__key"]
 
 
 def box(prefix: str = "") -> list[Column]:
@@ -34,32 +40,70 @@ def _levelled(rows: DataFrame, size: float) -> DataFrame:
     return rows.filter("x0 <= x1 AND y0 <= y1").withColumn("__level", level)
 
 
-def _cells(rows: DataFrame, size: Column) -> DataFrame:
-    span = lambda a, b: F.sequence(F.floor(F.col(a) / size).cast("long"), F.floor(F.col(b) / size).cast("long"))
-    return rows.withColumn("__i", F.explode(span("x0", "x1"))).withColumn("__j", F.explode(span("y0", "y1")))
+def _edge(size: float) -> Column:
+    return F.lit(size) * F.pow(F.lit(float(LEVEL_STEP)), F.col("__at"))
 
 
-def cell_join(left: DataFrame, right: DataFrame, size: float, condition: Column | None = None) -> DataFrame:
-    """All pairs of a left and a right box that meet, borders included; columns get the prefixes ``l_`` and ``r_``.
+def _covered(rows: DataFrame, size: float, p: str, columns: list[str]) -> DataFrame:
+    """A row for each cell of the grid of level ``__at`` that the box covers."""
+    place = lambda a: F.floor(F.col(a) / _edge(size)).cast("long")
+    cells = rows.withColumn("__i0", place("x0")).withColumn("__j0", place("y0"))
+    cells = cells.withColumn("__i", F.explode(F.sequence("__i0", place("x1")))).withColumn("__j", F.explode(F.sequence("__j0", place("y1"))))
+    return cells.select(*[F.col(c).alias(p + c) for c in columns], F.col("__i0").alias(p + "__i0"), F.col("__j0").alias(p + "__j0"), *_KEYS)
 
-    Both sides are exploded to the cells that they cover on the coarser of the two levels and joined by equality of cells.
-    A pair is kept only in the cell that holds the lower left corner of the common part, so it comes once without a
-    distinct. A side of a finer level joins each coarser level that the other side uses.
-    """
 
-    def side(rows: DataFrame, p: str) -> DataFrame:
-        up = _levelled(rows, size).withColumn("__at", F.explode(F.sequence(F.col("__level"), F.lit(LEVELS - 1))))
-        edge = F.lit(size) * F.pow(F.lit(float(LEVEL_STEP)), F.col("__at"))
-        covered = _cells(up.withColumn("__edge", edge), F.col("__edge"))
-        return covered.select(*[F.col(c).alias(p + c) for c in rows.columns], "__level", "__at", "__i", "__j", "__edge")
+def cell_sides(left: DataFrame, right: DataFrame, size: float, key: tuple[Column, Column] | None = None) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The two pairs of sides that ``cell_join`` joins by equality of level, cell and key.
+
+    Every pair of boxes meets on the coarser of their levels. First the left boxes stay on their own level and the right ones
+    go up to those levels that left boxes have; then the right ones stay, and the left ones go up to strictly coarser levels.
+    A box is on few cells of its own level and on no more of a coarser one, so rows grow by a bounded factor.
+    """
+    a, b = _levelled(left, size), _levelled(right, size)
+    a = a.withColumn("__key", F.lit(0) if key is None else key[0])
+    b = b.withColumn("__key", F.lit(0) if key is None else F.explode(key[1]))
+    levels = lambda rows: sorted(r[0] for r in rows.select("__level").distinct().collect())  # noqa: E731  (at most LEVELS)
+    in_a, in_b = levels(a), levels(b)
+    up = lambda rows, of, least: rows.withColumn("__at", F.explode(F.filter(F.array(*map(F.lit, of)), lambda x: x >= F.col("__level") + least)))
+    own = lambda rows: rows.withColumn("__at", F.col("__level"))
+    if in_a and in_b:
+        yield _covered(own(a), size, "l_", left.columns), _covered(up(b, in_a, 0), size, "r_", right.columns)
+        coarser = [x for x in in_b if x > in_a[0]]
+        if coarser:
+            yield _covered(up(a, coarser, 1), size, "l_", left.columns), _covered(own(b), size, "r_", right.columns)
+
+
+def _dealt(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The sides with a salt where cells hold more than HOT_CELL left rows: those are dealt out, the right ones copied."""
+    hot = a.groupBy(_KEYS).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > HOT_CELL)
+    hot = stage(hot.select(*_KEYS, F.ceil(F.col("__n") / HOT_CELL).cast("int").alias("__salts")), "hot_cells")
+    if hot.isEmpty():
+        return a, b, _KEYS
+    salts = F.coalesce("__salts", F.lit(1))
+    salted = a.join(hot, _KEYS, "left").withColumn("__salt", F.pmod(F.xxhash64(*[c for c in a.columns if c not in _KEYS]), salts).cast("int")).drop("__salts")
+    copied = b.join(hot, _KEYS, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts")
+    return salted, copied, [*_KEYS, "__salt"]
+
+
+def cell_join(left: DataFrame, right: DataFrame, size: float, condition: Column | None = None, key: tuple[Column, Column] | None = None) -> DataFrame:
+    """All pairs of a left and a right box that meet, borders included; columns get the prefixes ``l_`` and ``r_``.
 
-    a, b = side(left, "l_").withColumnRenamed("__level", "__la").drop("__edge"), side(right, "r_").withColumnRenamed("__level", "__lb")
-    joined = a.join(b, ["__at", "__i", "__j"])
-    l, r = box("l_"), box("r_")
-    corner = (F.floor(F.greatest(l[0], r[0]) / F.col("__edge")) == F.col("__i")) & (F.floor(F.greatest(l[1], r[1]) / F.col("__edge")) == F.col("__j"))
-    keep = (F.col("__at") == F.greatest("__la", "__lb")) & corner & geometry.box_intersects(l, r)
-    joined = joined.filter(keep if condition is None else keep & condition)
-    return joined.drop("__at", "__i", "__j", "__la", "__lb", "__edge")
+    An equi-join on grid cells (see ``cell_sides``); a pair is kept only in the cell that holds the lower left corner of the
+    common part, so it comes once without a distinct. ``key`` narrows it: a left row's key (a column) must be among the right
+    row's keys (an array without repetitions). Cells with very many rows are dealt over tasks (``HOT_CELL``). The left side is
+    dealt to a set number of partitions, since few bytes of boxes can mean many pairs.
+    """
+    keep = (F.greatest("l___i0", "r___i0") == F.col("__i")) & (F.greatest("l___j0", "r___j0") == F.col("__j")) & geometry.box_intersects(box("l_"), box("r_"))
+    keep = keep if condition is None else keep & condition
+    out, places = None, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for a, b in cell_sides(left, right, size, key):
+        a, b, on = _dealt(a, b)
+        part = a.repartition(places, *on).join(b.repartition(places, *on), on).filter(keep).drop(*on, "l___i0", "l___j0", "r___i0", "r___j0")
+        out = part if out is None else out.unionAll(part)
+    if out is None:  # one side is empty
+        named = lambda rows, p: rows.select(*[F.col(c).alias(p + c) for c in rows.columns]).limit(0)
+        out = named(left, "l_").join(named(right, "r_"))
+    return out
 
 
 def overlapping_pairs(images: DataFrame, condition: Column | None = None, size: float | None = None) -> DataFrame:
@@ -70,11 +114,18 @@ def overlapping_pairs(images: DataFrame, condition: Column | None = None, size:
     return cell_join(images, images, size, rule & geometry.box_overlaps(box("l_"), box("r_")))
 
 
+def _buckets(azimuth: str, width: float) -> tuple[Column, Column]:
+    """(a row's bucket of angles, the buckets around the circle that hold all angles less than ``width`` away)."""
+    n = max(1, int(360 // width))
+    edge = 360.0 / n  # at least the width, so neighbours hold all partners
+    bucket = F.floor(F.pmod(F.col(azimuth), F.lit(360.0)) / edge).cast("int") % n
+    return bucket, F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(bucket + d, F.lit(n))))
+
+
 def intersecting_pairs(images: DataFrame, max_separation: float | None = 2.0, exclude_same_observation: bool = True, azimuth: str = "roi_sub_solar_ground_azimuth", size: float | None = None) -> DataFrame:
     """Pairs (l_id < r_id) whose boxes meet and whose azimuths are less than ``max_separation`` apart around the circle.
 
-    The azimuth is part of the join key: buckets of the separation's width, each row also in its two neighbours on one
-    side, with wraparound.
+    The azimuth is part of the join key: buckets of at least the separation's width, the right rows also in the two next to theirs.
     """
     size = size or cell_size(images)
     rule = F.col("l_product_id") < F.col("r_product_id")
@@ -83,16 +134,13 @@ def intersecting_pairs(images: DataFrame, max_separation: float | None = 2.0, ex
     if max_separation is None:
         return cell_join(images, images, size, rule)
     apart = angles.angular_separation(F.col(f"l_{azimuth}"), F.col(f"r_{azimuth}"))
-    return cell_join(images, images, size, rule & (apart < max_separation)).withColumn("separation", apart)
+    return cell_join(images, images, size, rule & (apart < max_separation), _buckets(azimuth, max_separation)).withColumn("separation", apart)
 
 
 def circular_pairs(rows: DataFrame, key: str, azimuth: str, width: float) -> DataFrame:
     """(l_key, r_key) of rows whose azimuths are less than ``width`` degrees apart, by buckets around the circle."""
-    n = max(1, int(360 // width))
-    edge = 360.0 / n  # at least the width, so neighbours hold all partners
-    bucket = F.floor(F.pmod(F.col(azimuth), F.lit(360.0)) / edge).cast("int") % n
+    bucket, near = _buckets(azimuth, width)
     one = rows.select(F.col(key).alias("l"), F.col(azimuth).alias("la"), bucket.alias("b"))
-    near = F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(bucket + d, F.lit(n))))
     two = rows.select(F.col(key).alias("r"), F.col(azimuth).alias("ra"), F.explode(near).alias("b"))
     return one.join(two, "b").filter((F.col("l") < F.col("r")) & (angles.angular_separation(F.col("la"), F.col("ra")) < width)).select(F.col("l").alias(f"l_{key}"), F.col("r").alias(f"r_{key}"))
 
@@ -104,9 +152,11 @@ def polygon_pairs(left: DataFrame, right: DataFrame, ring: str, size: float, pre
         return rows.withColumns(dict(zip(BOX, geometry.bounds(F.col(ring)), strict=True)))
 
     test = {"intersects": geometry.convex_intersects, "overlaps": geometry.convex_overlaps}[predicate]
-    rule = test(F.col(f"l_{ring}"), F.col(f"r_{ring}"))
-    pairs = cell_join(bounded(left), bounded(right), size, rule if condition is None else condition & rule)
-    return pairs.withColumn("common", geometry.clip(F.col(f"l_{ring}"), F.col(f"r_{ring}")))
+    pairs = cell_join(bounded(left), bounded(right), size, condition)
+    # generated, so that it is made once for each pair of boxes, after the join
+    pairs = pairs.withColumn("common", F.explode(F.array(geometry.clip(F.col(f"l_{ring}"), F.col(f"r_{ring}")))))
+    met = F.size("common") > 0
+    return pairs.filter(met & test(F.col(f"l_{ring}"), F.col(f"r_{ring}")) if predicate == "overlaps" else met | test(F.col(f"l_{ring}"), F.col(f"r_{ring}")))
 
 
 def with_roi(rows: DataFrame, roi: DataFrame) -> DataFrame:

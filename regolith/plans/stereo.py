@@ -35,7 +35,9 @@ def with_coverage(pairs: DataFrame, roi: DataFrame, roi_predicate: str = "overla
     """With the common box px0 .., its percent of the left image, and the pair's percent of the region, where it meets the region so."""
     names = ("px0", "py0", "px1", "py1")
     common = geometry.box_intersection(spatial.box("l_"), spatial.box("r_"))
-    rows = spatial.with_roi(pairs.withColumns(dict(zip(names, common, strict=True))), roi)
+    # generated, so that it is made once for each pair, after the join, and not again in every condition on it
+    once = F.inline(F.array(F.struct(*[c.alias(n) for n, c in zip(names, common, strict=True)])))
+    rows = spatial.with_roi(pairs.select("*", once), roi)
     part, region = [F.col(c) for c in names], spatial.box("roi_")
     test = {"overlaps": geometry.box_overlaps, "intersects": geometry.box_intersects}[roi_predicate]
     rows = rows.filter(test(part, region))

@@ -25,12 +25,17 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder in ``spark.checkpoint.dir``; a temporary one of our own only where it is unset."""
+    """The shared folder in ``spark.checkpoint.dir``; a temporary one of our own only where it is unset and all runs in one process.
+
+    Raises on a cluster without that setting: executors there share no local folder.
+    """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors and the driver share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="regolith-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
