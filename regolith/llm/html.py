@@ -1,4 +1,9 @@
-"""Main text of web pages: the maximum-scoring run of words and tags."""
+"""Main text of web pages: the maximum-scoring run of words and tags.
+
+Elements that never belong to an article (menus, page headers and footers, sidebars, notices, adverts, forms, scripts,
+styles, comments) leave the page first. Of what remains, words and tags score by weights that labelled pages gave to the
+places where they stand, and one linear scan finds the best contiguous region.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,7 @@ import html as _html
 import math
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,11 +27,15 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 AROUND = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "header"}
 CONTENT = {"article", "main"}
+#: Where a token stands: in an element that holds an article, beside one, or on a page without one.
+CONTENT_PLACE, OUT, FREE = "content", "out", "free"
 #: Words in class, id or role that name what surrounds an article, or its readers' comments.
 SIDE = re.compile(r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|popup|modal|newsletter|subscri\w*|share|sharing|social|related|recommend\w*|sidebar|side|menu|nav\w*|breadcrumbs?|footer|masthead|toolbar|comments?|replies|disqus|respond|login|signup|paywall|pagination|pager|skip|complementary|contentinfo|search", re.I)
 #: Words after which a name is still of what stands before them, and words before which it says only that something is there or not.
 HOLDER = re.compile(r"\d+|areas?|bars?|blocks?|box(?:es)?|buttons?|container|forms?|icons?|inner|items?|links?|list|outer|panel|posts?|section|slot|stories|thread|top|bottom|left|right|unit|widgets?|wrap(?:per)?", re.I)
 ABOUT = {"has", "no", "not", "with", "without", "hide", "show"}
+#: Names that are told apart in the weights: those above and HTML's other usual blocks.
+NAMES = VOID | INLINE | AROUND | CONTENT | set("address blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 html legend li ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I | re.S)
 _SPACE = re.compile(r"[\s ]+")
@@ -44,16 +53,24 @@ class Token:
     content: bool  # inside an element that holds them
     link: bool
     raw: bool  # not shown as text at all
+    block: str = ""  # the innermost block around a text
+    place: str = FREE
 
 
-@dataclass
+@dataclass(frozen=True)
 class Weights:
-    """Log odds of being inside main text, for tags and for words by where they stand."""
+    """Scores of a word by (place, block, whether in a link), and of a tag by (place, name); "" stands for any block or name."""
 
-    tags: dict[str, float] = field(default_factory=dict)
-    word: float = 1.0
-    link: float = -0.5
-    other: float = -2.0
+    words: dict[tuple[str, str, bool], float] = field(default_factory=lambda: {
+        (CONTENT_PLACE, "", False): 1.0, (CONTENT_PLACE, "", True): 1.0, (OUT, "", False): -1.0, (OUT, "", True): -1.0, (FREE, "", False): 1.0, (FREE, "", True): -0.5,
+    })
+    tags: dict[tuple[str, str], float] = field(default_factory=lambda: {(CONTENT_PLACE, ""): -0.05, (OUT, ""): -0.5, (FREE, ""): -0.2})
+
+    def score(self, t: Token) -> float:
+        if t.tag:
+            name = t.tag.lstrip("/")
+            return self.tags.get((t.place, name), self.tags[t.place, ""])
+        return len(t.text.split()) * self.words.get((t.place, t.block, t.link), self.words[t.place, "", t.link])
 
 
 def names_side(names: str) -> bool:
@@ -79,13 +96,16 @@ def scan(page: str) -> list[Token]:
     out: list[Token] = []
     stack: list[tuple[str, bool, bool, int]] = []  # tag, side, content, innermost doubtful element
     doubtful: list[list] = [[0, False, 0, 0]]  # the one around it, whether by name, words, words in articles
+    titled = set()  # headers that hold a page's title and no menu
+    opened: list[int] = []  # headers outside articles
     inside: list[int] = []  # innermost doubtful element of each token
     at, n = 0, len(page)
 
     def emit(text: str) -> None:
         if text:
             side, content, own = stack[-1][1:] if stack else (False, False, 0)
-            out.append(Token("", text, side, content, any(t[0] == "a" for t in stack[-4:]), False))
+            block = next((t[0] for t in reversed(stack) if t[0] not in INLINE), "")
+            out.append(Token("", text, side, content, any(t[0] == "a" for t in stack[-4:]), False, block))
             inside.append(own)
             if not side:
                 count = len(text.split())
@@ -142,7 +162,17 @@ def scan(page: str) -> list[Token]:
         attrs = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(m[3] or "")}
         hidden = "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I)
         named = name not in ("html", "body", "article", "main") and names_side(" ".join(attrs.get(k, "") for k in ("class", "id", "role")))
-        around = name in AROUND and not (name == "header" and content)
+        around = name in AROUND and name != "header"
+        if name == "header" and not content and not side:
+            doubtful.append([own, False, 0, 0])
+            own = len(doubtful) - 1
+            opened.append(own)
+        elif opened and own == opened[-1]:
+            if name == "h1":
+                titled.add(own)
+            elif name in ("nav", "ul", "form", "menu"):
+                titled.discard(own)
+                opened.pop()
         content = content or name in CONTENT or attrs.get("role", "").lower() in ("main", "article")
         side = side or bool(around and name != "form" or hidden)
         if not side and (named or name == "form"):
@@ -157,32 +187,63 @@ def scan(page: str) -> list[Token]:
         doubtful[around][3] += own_words
     total, most = doubtful[0][2:]
     beside = [False]
-    for around, by_name, words, own_words in doubtful[1:]:
-        beside.append(beside[around] or not (most and 2 * own_words >= most or by_name and 2 * words >= total))
+    for k, (around, by_name, words, own_words) in enumerate(doubtful[1:], 1):
+        beside.append(beside[around] or not (k in titled and not most or most and 2 * own_words >= most or by_name and 2 * words >= total))
     for t, own in zip(out, inside, strict=True):
         t.side = t.side or beside[own]
+    marked = any(t.content and not t.side and not t.tag and t.text.strip() for t in out)
+    for t in out:
+        t.place = FREE if not marked else CONTENT_PLACE if t.content else OUT
     return out
 
 
-def learn(pages: list[str]) -> Weights:
-    """Log odds from pages whose own markup labels the article: words and tags in ``article`` or ``main`` against the rest."""
-    inside, outside = Counter(), Counter()
-    for page in pages:
-        tokens = scan(page)
-        if not any(t.content for t in tokens):
+def counts(page: str | None) -> Counter:
+    """Of a page whose markup labels its article: numbers of words and tags as (place or "", kind, name, link, inside).
+
+    Each is counted where it stands, and once more with the label hidden (place FREE), for pages without such markup.
+    """
+    out: Counter = Counter()
+    for t in scan(page or ""):
+        if t.place == FREE:
+            break
+        if t.side or t.raw:
             continue
-        for t in tokens:
-            where = inside if t.content and not t.side else outside
+        inside = t.place == CONTENT_PLACE
+        for place in (t.place, FREE):
             if t.tag:
-                where[t.tag.lstrip("/")] += 1
-            elif not t.raw:
-                where["word", t.link] += len(t.text.split())
-    if not inside:
+                out[place, "tag", t.tag.lstrip("/"), False, inside] += 1
+            elif n := len(t.text.split()):
+                out[place, "word", t.block, t.link, inside] += n
+    return out
+
+
+def learn(seen: Counter) -> Weights:
+    """Weights from the summed ``counts`` of labelled pages: log odds of being inside, by frequency inside and outside.
+
+    Words in articles always score above zero and words beside them below, tags never above zero; on pages without labels
+    words score by their blocks, links below zero. Without labelled pages the weights are the standard ones.
+    """
+    total = {side: sum(n for (place, *_, inside), n in seen.items() if place == FREE and inside == side) for side in (True, False)}
+    if not total[True]:
         return Weights()
-    total = (sum(inside.values()) + 2, sum(outside.values()) + 2)
-    odds = lambda k: math.log((inside[k] + 1) / total[0]) - math.log((outside[k] + 1) / total[1])
-    names = {k for k in (*inside, *outside) if isinstance(k, str)}
-    return Weights({k: min(-0.05, odds(k)) for k in names}, max(0.1, odds(("word", False))), min(-0.1, odds(("word", True))), -2.0)
+
+    def odds(place: str, kind: str, name: str | None = None, link: bool | None = None) -> float:
+        n = {side: sum(n for (p, k, b, a, inside), n in seen.items() if p == place and k == kind and name in (None, b) and link in (None, a) and inside == side) for side in (True, False)}
+        return math.log((n[True] + 1) / (total[True] + 2)) - math.log((n[False] + 1) / (total[False] + 2))
+
+    words, tags = dict(Weights().words), dict(Weights().tags)
+    for link in (False, True):
+        words[CONTENT_PLACE, "", link] = max(0.5, odds(CONTENT_PLACE, "word"))
+        words[OUT, "", link] = min(-0.5, odds(OUT, "word"))
+    tags[CONTENT_PLACE, ""], tags[OUT, ""] = min(-0.05, odds(CONTENT_PLACE, "tag")), min(-0.5, odds(OUT, "tag"))
+    for place, kind, name, link, _ in seen:
+        if place == FREE:
+            if kind == "tag":
+                tags[FREE, name] = max(-0.5, min(-0.05, odds(FREE, "tag", name)))
+            else:
+                value = odds(FREE, "word", name, link)
+                words[FREE, name, link] = min(-0.1, value) if link else max(0.2, value)
+    return replace(Weights(), words=words, tags=tags)
 
 
 def best_region(tokens: list[Token], w: Weights) -> tuple[int, int]:
@@ -191,71 +252,69 @@ def best_region(tokens: list[Token], w: Weights) -> tuple[int, int]:
     for i, t in enumerate(tokens):
         if run <= 0:
             run, start = 0.0, i
-        if t.tag:
-            run += 0.0 if t.raw else -6.0 if t.side else w.tags.get(t.tag.lstrip("/"), w.other) if not t.content else -0.05
-        else:
-            n = len(t.text.split())
-            run += n * (-6.0 if t.side else w.link if t.link and not t.content else w.word)
+        run += w.score(t)
         if run > best:
             best, region = run, (start, i + 1)
     return region
 
 
+def _ends_block(t: Token) -> bool:
+    return bool(t.tag) and t.tag.lstrip("/") not in INLINE
+
+
 def extract(page: str | None, w: Weights) -> str:
-    """The main text of a page: the text blocks of the best region that don't stand in surrounding elements."""
-    tokens = scan(page or "")
-    if any(t.content and not t.side and not t.tag and t.text.strip() for t in tokens):
-        a, b = _widen(tokens, *best_region(tokens, w))
-        chosen = [t for t in tokens[a:b] if t.content or t.tag]
-    else:
-        a, b = _widen(tokens, *best_region(tokens, w))
-        chosen = tokens[a:b]
+    """The main text of a page: the text blocks of the best region of what is left without surrounding elements.
+
+    A block that the region cuts is taken whole.
+    """
+    tokens = [t for t in scan(page or "") if not t.side and not t.raw or _ends_block(t)]
+    shown = [t for t in tokens if not t.side and not t.raw]
+    a, b = best_region(shown, w)
+    if a == b:
+        return ""
+    first, last = (next(i for i, t in enumerate(tokens) if t is x) for x in (shown[a], shown[b - 1]))
+    while first > 0 and not _ends_block(tokens[first - 1]):
+        first -= 1
+    while last + 1 < len(tokens) and not _ends_block(tokens[last + 1]):
+        last += 1
     blocks, now = [], []
-    for t in chosen:
-        if t.tag:
-            name = t.tag.lstrip("/")
-            if name == "br":
-                now.append(" ")
-            elif name not in INLINE and not t.raw:
-                blocks.append("".join(now))
-                now = []
-        elif not t.side and not t.raw:
+    for t in tokens[first : last + 1]:
+        if t.tag == "br":
+            now.append(" ")
+        elif _ends_block(t) and not t.raw:
+            blocks.append("".join(now))
+            now = []
+        elif not t.tag and not t.side:
             now.append(t.text)
     blocks.append("".join(now))
     clean = (_SPACE.sub(" ", _html.unescape(x)).strip() for x in blocks)
     return "\n\n".join(x for x in clean if x)
 
 
-def _widen(tokens: list[Token], a: int, b: int) -> tuple[int, int]:
-    """The region widened to the borders of the content elements that it lies in, or, without such, to its blocks."""
-    if a == b:
-        return a, b
-    if any(t.content for t in tokens[a:b]):
-        while a > 0 and (tokens[a - 1].content or tokens[a - 1].side):
-            a -= 1
-        while b < len(tokens) and (tokens[b].content or tokens[b].side):
-            b += 1
-        return a, b
-    while a > 0 and not (tokens[a - 1].tag and tokens[a - 1].tag.lstrip("/") not in INLINE):
-        a -= 1
-    while b < len(tokens) and not (tokens[b].tag and tokens[b].tag.lstrip("/") not in INLINE):
-        b += 1
-    return a, b
-
-
 def main_text(pages: DataFrame, html_col: str = "html", out_col: str = "text", max_pages: int = MAX_PAGES, labelled: DataFrame | None = None) -> DataFrame:
     """``pages`` with ``out_col`` (replaced if there): the main text, "" if a page has none or its html is null.
 
-    The weights come from ``labelled`` pages, or from pages of the table itself whose markup names the article, at most
-    ``max_pages`` of them, spread by a hash of the page. Words score their log odds, tags theirs (never above zero),
-    and a linear scan finds the best contiguous region; elements in it that surround articles (menus, notices, adverts,
-    forms, comments) are left out. Pages are independent rows of one pass; long and empty pages, repeated rows and empty
-    tables need no special case.
+    The weights come from ``labelled`` pages, or from pages of the table itself, whose markup names the article: at most
+    ``max_pages`` of any length, spread by a hash of the page; tasks count their words and tags, and only sums by place
+    and name reach the driver (names of elements beyond the standard's count as one). Pages are independent rows of one
+    pass; long and empty pages, repeated rows and empty tables need no special case.
     """
     if out_col != html_col:
         pages = pages.drop(out_col)
-    known = (pages if labelled is None else labelled).select(F.col(html_col).alias("h")).filter("h IS NOT NULL AND length(h) < 1000000")
-    weights = learn([r["h"] for r in some(known, max_pages, "h").collect()])
+    known = (pages if labelled is None else labelled).select(F.col(html_col).cast("string").alias("h")).filter("h IS NOT NULL")
+
+    def count(batches):
+        seen: Counter = Counter()
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                seen.update({(p, k, n if n in NAMES else "", a, i): c for (p, k, n, a, i), c in counts(x).items()})
+        keys = list(seen)
+        kinds = [pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([*[pa.array([k[i] for k in keys], kinds[i]) for i in range(5)], pa.array(list(seen.values()), pa.int64())], ["place", "kind", "name", "link", "inside", "n"])
+
+    seen = some(known, max_pages, "h").mapInArrow(count, "place string, kind string, name string, link boolean, inside boolean, n bigint")
+    seen = seen.groupBy("place", "kind", "name", "link", "inside").agg(F.sum("n").alias("n")).collect()  # 3 places x 2 kinds x NAMES x 4 at most
+    weights = learn(Counter({(r["place"], r["kind"], r["name"], r["link"], r["inside"]): r["n"] for r in seen}))
     place = pages.columns.index(html_col)
 
     def run(batches):

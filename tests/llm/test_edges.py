@@ -302,3 +302,46 @@ def test_html_keeps_most_of_a_page_without_article():
 
 def test_crc_matches_zlib(spark):
     assert spark.range(1).select(F.crc32(F.lit("7"))).first()[0] == zlib.crc32(b"7")
+
+
+def test_html_best_region_is_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        tokens = [html.Token("p", "", False, False, False, False) if x < 0.5 else html.Token("", "word " * int(9 * x), False, False, x > 0.9, False) for x in rng.random(30)]
+        w = html.Weights(tags={("free", ""): -float(rng.integers(1, 8)), ("content", ""): 0.0, ("out", ""): 0.0})
+        score = [w.score(t) for t in tokens]
+        best = max(sum(score[i:j]) for i in range(31) for j in range(i, 31))
+        a, b = html.best_region(tokens, w)
+        assert abs(sum(score[a:b]) - best) < 1e-9
+
+
+def test_html_region_follows_the_weights():
+    page = "<body><div>beside it</div><article><h1>T</h1><p>one two three</p><p>four <b>five</b></p></article><div>more</div></body>"
+    learned = html.learn(html.counts(page))
+    assert html.extract(page, learned) == html.extract(page, html.Weights()) == "T\n\none two three\n\nfour five"
+    absurd = html.Weights(words={k: 0.1 for k in learned.words}, tags={k: -50.0 for k in learned.tags})
+    assert html.extract(page, absurd) == "one two three"
+
+
+def test_html_learns_from_hidden_labels():
+    page = "<body><ul><li><a>Home</a></li><li><a>News</a></li></ul>{}<h1>Title</h1><p>one two three</p><p>four</p>{}<ul><li><a>Next</a></li></ul></body>"
+    w = html.learn(html.counts(page.format("<article>", "</article>")))
+    assert html.extract(page.format("", ""), w) == html.extract(page.format("<article>", "</article>"), w) == "Title\n\none two three\n\nfour"
+
+
+@pytest.mark.parametrize("inner", ['<div class="share-price">1 2</div>', '<section class="notice-of-results">1 2</section>', "<header><p>1 2</p></header>"])
+def test_html_drops_nothing_else_inside_articles(inner):
+    page = f"<nav>menu</nav><article><h1>T</h1>{inner}<aside>no</aside><div class='comments'><p>Nice</p></div><p>end</p></article><footer>x</footer>"
+    assert html.extract(page, html.Weights()) == "T\n\n1 2\n\nend"
+
+
+def test_html_short_articles_and_pages_without_one():
+    assert html.extract("<nav>a b c</nav><article><h1>T</h1><p><b>T<br></article><footer>long foot of many words</footer>", html.Weights()) == "T\n\nT"
+    assert html.extract("<h1>A heading</h1><p>First para words words words words.</p><p>Second one</p>", html.Weights()) == "A heading\n\nFirst para words words words words.\n\nSecond one"
+    assert html.extract("<header class=site><a href=/>Home</a><nav>x</nav></header><div class=post><header><h1>T</h1></header><p>Body text</p></div>", html.Weights()) == "T\n\nBody text"
+
+
+def test_html_long_and_repeated_pages(spark):
+    long = "<nav>x</nav><article>" + "<p>word &amp; word</p>" * 60_000 + "</article>"
+    got = [r.text for r in html.main_text(spark.createDataFrame([(1, long), (1, long), (2, "<article>a</article>")], "page_id bigint, html string")).collect()]
+    assert sorted(got) == sorted(["\n\n".join(["word & word"] * 60_000)] * 2 + ["a"])
