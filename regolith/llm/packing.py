@@ -8,31 +8,55 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regolith.llm import text as tx
+from regolith.operators.windows import global_rank
 from regolith.session import stage
 
-#: Queues at most. With more sources, sources share queues by hash.
-MAX_QUEUES = 1024
+#: Sources at most: each is one number on the driver and in the tasks. With more, ``pack`` raises.
+MAX_SOURCES = 10_000_000
 #: How byte-level BPE splits texts (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Texts of each task whose ids are made by both libraries and compared.
-COMPARED = 8
 
 
 class Encoder:
     """ids of texts as the ``tokenizers`` library makes them from its JSON file.
 
-    For a byte-level BPE whose merges are numbered in their order, the same file is also loaded into ``tiktoken``, which is
-    several times as fast; each task compares the two on its first texts and goes on with ``tokenizers`` alone if they
-    ever differ, if the file is of another kind, or for a text that the faster one refuses.
+    For a byte-level BPE the same file is also loaded into ``tiktoken``, which is several times as fast, if ``agrees`` has
+    shown that both give the same ids for every text. A text that holds an added token's content, or that the faster
+    library refuses, is left to ``tokenizers``.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, fast: bool):
+        import json
+
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
-        self.fast = self._ranked(path)
-        self.compared = 0
+        self.fast = self._ranked(path) if fast else None
+        with open(path, encoding="utf-8") as f:
+            self.added = [t["content"] for t in json.load(f).get("added_tokens", ())]
+
+    @staticmethod
+    def agrees(path: str) -> bool:
+        """Whether merging any two neighbours whose joint bytes are a token, lowest number first, is what the merges do.
+
+        It is if every token has one merge, merges are numbered in their order, and the bytes of each token alone become
+        that token. Say the two ways part at neighbours a, b that form token t other than by its merge: no merge below t's is
+        open between the borders of a and b, and none has crossed them, so a and b are what those merges make of
+        t's bytes alone. But alone they end in t, so its merge must be (a, b). How texts are split before is
+        compared by a test over all code points.
+        """
+        from tokenizers import Tokenizer
+
+        ranked = Encoder._ranked(path)
+        if ranked is None:
+            return False
+        alone = Tokenizer.from_file(path).model
+        import json
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        special = {t["content"] for t in spec.get("added_tokens", ())}
+        return all([x.id for x in alone.tokenize(t)] == [i] for t, i in spec["model"]["vocab"].items() if t not in special)
 
     @staticmethod
     def _ranked(path: str):
@@ -52,7 +76,7 @@ class Encoder:
         ranks = {bytes(byte_of[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         numbers = [model["vocab"][a + b] for a, b in pairs]
-        if numbers != sorted(numbers) or any(i > numbers[0] for t, i in ranks.items() if len(t) == 1):
+        if numbers != sorted(set(numbers)) or any(i > numbers[0] for t, i in ranks.items() if len(t) == 1):
             return None
         return tiktoken.Encoding("ranked", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
@@ -60,7 +84,7 @@ class Encoder:
         return self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def __call__(self, text: str) -> list[int]:
-        if self.fast is None:
+        if self.fast is None or any(x in text for x in self.added):
             return self._sure(text)
         try:
             ids = self.fast.encode_ordinary(text)
@@ -68,77 +92,99 @@ class Encoder:
             if isinstance(refused, (KeyboardInterrupt, SystemExit)):
                 raise
             return self._sure(text)
-        if self.compared < COMPARED:
-            self.compared += 1
-            if ids != self._sure(text):
-                self.fast = None
-                return self._sure(text)
         return ids
 
 
 def tokenize(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, group_col: str, end_id: int) -> DataFrame:
-    """(doc, queue, ids, n) for every row; ids are stored in two bytes where the vocabulary allows."""
+    """(doc, source, ids, n, block, inside) for every row; ids are stored in two bytes where the vocabulary allows.
+
+    A block is an input partition; ``inside`` is the number of tokens of the same source before the row in its block.
+    """
+    fast = Encoder.agrees(tokenizer)
 
     def run(batches):
-        encode = Encoder(tokenizer)
+        from pyspark import TaskContext
+
+        encode = Encoder(tokenizer, fast)
+        block = TaskContext.get().partitionId()
         small = encode.model.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
+        sums: dict = {}
         for batch in batches:
             offsets = tx.column(batch.column(1))[1]
             for i, j in tx.slices(offsets):
                 ids = [np.array([*encode(x or ""), end_id], "<u2" if small else "<u4") for x in batch.column(1).slice(i, j - i).to_pylist()]
+                inside = []
+                for source, x in zip(batch.column(2).slice(i, j - i).to_pylist(), ids, strict=True):
+                    inside.append(sums.get(source, 0))
+                    sums[source] = inside[-1] + len(x)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())],
-                    ["doc", "source", "ids", "n"],
-                )
+                    [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64()), pa.array([block] * (j - i), pa.int32()), pa.array(inside, pa.int64())],
+                    ["doc", "source", "ids", "n", "block", "inside"],
+                )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string"), F.col(group_col).cast("string")).mapInArrow(run, f"doc {kind}, source string, ids binary, n bigint")
+    return docs.select(id_col, F.col(text_col).cast("string"), F.col(group_col).cast("string")).mapInArrow(run, f"doc {kind}, source string, ids binary, n bigint, block int, inside bigint")
+
+
+def part_of(a: np.ndarray, b: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """floor(a * b / whole) for b <= whole and a below 2**50, though a * b may not fit: the quotient of floats is off by
+    one at most, which the remainder modulo 2**64 shows."""
+    q = (a * (b / whole)).astype(np.int64)
+    with np.errstate(over="ignore"):
+        rest = a * b - q * whole
+    return q + (rest >= whole) - (rest < 0)
 
 
 class Schedule:
     """How far each queue has been served when a sequence begins: deficit round-robin in closed form.
 
-    Of the first x tokens, queue 1 has floor(x * its share); the rest goes on to queue 2, which has its share of that
-    rest, and so on. What a queue misses by rounding is its deficit, and it is carried to the next sequences, in whatever
-    task they are packed, because the rule is a function of x alone. Shares hold in phases: a queue that runs dry leaves,
-    and the others' shares grow. All arithmetic is exact integers; every queue is served whole.
+    Queues are leaves of a balanced tree. Of the first x tokens that a node gets, its left half gets floor(x * its
+    share), the right half the rest; so a queue gets its share of every sequence within a few tokens. What it misses by
+    rounding is its deficit, and it is carried to the next sequences, in whatever task they are packed, because the rule is a
+    function of x alone, grows with x, and needs only the totals on the way down to the queue. Shares hold in phases: a queue
+    that runs dry leaves, and the others' shares grow. Every queue is served whole.
     """
 
-    def __init__(self, totals: list[int], weights: list[float] | None, length: int):
-        self.length, self.total = length, sum(totals)
-        self.served = [[0] * len(totals)]
-        left = list(totals)
-        self.phases = []
-        while any(left):
-            rates = [w if n else 0 for w, n in zip(weights or totals, left, strict=True)]
-            if not any(rates):
-                rates = [float(n) for n in left]
-            until = min(n / r for n, r in zip(left, rates, strict=True) if r)
-            took = [n if r and n / r <= until else min(n, int(r * until)) for n, r in zip(left, rates, strict=True)]
-            self.phases.append(took)
-            left = [a - b for a, b in zip(left, took, strict=True)]
-            self.served.append([a + b for a, b in zip(self.served[-1], took, strict=True)])
-        exact = np.int64 if self.total**2 < 1 << 62 else object
-        self.took = np.array(self.phases or [[0] * len(totals)], dtype=exact)
-        self.before = np.array(self.served[: len(self.took)], dtype=exact)
-        self.begins = np.concatenate([[0], np.cumsum([sum(p) for p in self.phases])]).astype(np.int64)
+    def __init__(self, totals, weights: list[float] | None, length: int):
+        totals = np.asarray(totals, np.int64)
+        self.length, self.total = length, int(totals.sum())
+        if self.total >= 1 << 50:
+            raise ValueError("more than 2**50 tokens")
+        left, phases = totals.copy(), []
+        rated = np.asarray(weights, float) if weights is not None else totals.astype(float)
+        while left.any():
+            rates = np.where(left > 0, rated, 0.0)
+            if weights is None or not rates.any():  # natural shares: all run dry together
+                phases.append(left)
+                break
+            until = (left[rates > 0] / rates[rates > 0]).min()
+            dry = (rates > 0) & (left <= until * rates)
+            phases.append(np.where(dry, left, np.minimum(left, (rates * until).astype(np.int64))))
+            left = left - phases[-1]
+        took = np.array(phases or [np.zeros(len(totals), np.int64)])
+        zero = np.zeros((len(took), 1), np.int64)
+        self.cum = np.concatenate([zero, np.cumsum(took, axis=1)], axis=1)  # by phase, of all queues before
+        self.done = np.concatenate([np.zeros((1, len(totals)), np.int64), np.cumsum(took, axis=0)])[:-1]  # of a queue, in earlier phases
+        self.done_before = np.concatenate([zero, np.cumsum(self.done, axis=1)], axis=1)
+        self.begins = np.concatenate([[0], np.cumsum(took.sum(axis=1))])
         self.sequences = -(-self.total // length)
-        self.exact = exact
+        self.queues = len(totals)
 
     def at(self, sequence: np.ndarray, queue: int) -> tuple[np.ndarray, np.ndarray]:
         """(tokens that this queue, tokens that the queues before it have given) when the sequence begins."""
         x = np.minimum(sequence.astype(np.int64) * self.length, self.total)
-        phase = np.clip(np.searchsorted(self.begins, x, "right") - 1, 0, len(self.took) - 1)
-        rest = (x - self.begins[phase]).astype(self.exact)
-        size = np.diff(self.begins)[phase].astype(self.exact) if len(self.phases) else np.ones(len(x), self.exact)
-        earlier = np.zeros(len(x), self.exact)
-        for q in range(queue):
-            share = self.took[phase, q]
-            gave = rest * share // np.maximum(size, 1)
-            rest, size = rest - gave, size - share
-            earlier = earlier + gave + self.before[phase, q]
-        own = rest * self.took[phase, queue] // np.maximum(size, 1) + self.before[phase, queue]
-        return own.astype(np.int64), earlier.astype(np.int64)
+        phase = np.clip(np.searchsorted(self.begins, x, "right") - 1, 0, len(self.cum) - 1)
+        rest, earlier = x - self.begins[phase], self.done_before[phase, queue]
+        low, high = 0, self.queues
+        while high - low > 1:
+            middle = (low + high) // 2
+            a, b, c = (self.cum[phase, k] for k in (low, middle, high))
+            gave = part_of(rest, b - a, np.maximum(c - a, 1))
+            if queue < middle:
+                rest, high = gave, middle
+            else:
+                rest, earlier, low = rest - gave, earlier + gave, middle
+        return rest + self.done[phase, queue], earlier
 
     def find(self, token: np.ndarray, queue: int) -> np.ndarray:
         """The sequence that holds each token of the queue."""
@@ -180,31 +226,37 @@ def pack(
     """Every token of every document in exactly one piece of one sequence.
 
     Sources are queues of documents in the order of the staged token table. Each sequence takes from every queue its
-    share of ``length`` tokens: its weight, or its part of all tokens where ``weights`` is None, and documents are cut
-    there; only the last sequence may be short. Two passes: ids are made once and staged, then cut where the schedule
-    says, from prefix sums by (queue, staged partition), so no queue is ever gathered, however hot.
+    share of ``length`` tokens: its weight (0 where ``weights`` has no such source; they follow when the others are dry),
+    or its part of all tokens where ``weights`` is None, and documents are cut there; only the last sequence may be short.
+    Two passes: ids are made once and staged with running sums of their partition, then cut where the schedule says, from
+    sums by (source, partition): no queue is gathered, however hot, and ids are not sorted.
 
     Returns id_col, start, length, doc_tokens, sequence_id, offset (long) and ids (binary, little-endian unsigned
     32-bit). Null and empty texts are the end id alone; a null source is a queue of its own; repeated rows are packed
     each; an empty table gives no rows; other columns are ignored.
     """
-    tokens = tokenize(docs, tokenizer, id_col, text_col, group_col, end_id)
-    tokens = stage(tokens.withColumn("row", F.monotonically_increasing_id()).withColumn("block", F.shiftright("row", 33)), "tokens")
-    few = tokens.groupBy("source").count().limit(MAX_QUEUES + 1).count() <= MAX_QUEUES
-    name = F.col("source") if few else F.pmod(F.xxhash64("source"), F.lit(MAX_QUEUES)).cast("string")
-    tokens = tokens.withColumn("queue", F.coalesce(F.concat(F.lit("="), name), F.lit("")))
-    totals = sorted((r["queue"], r["n"]) for r in tokens.groupBy("queue").agg(F.sum("n").alias("n")).collect())  # MAX_QUEUES + 1 rows at most
-    schedule = Schedule([n for _, n in totals], weights and [float(weights.get(q[1:], 0)) for q, _ in totals], length)
-    number = {q: i for i, (q, _) in enumerate(totals)}
-
-    blocks = tokens.groupBy("queue", "block").agg(F.sum("n").alias("n"))
-    before = blocks.select("queue", "block", (F.sum("n").over(Window.partitionBy("queue").orderBy("block")) - F.col("n")).alias("base"))
-    inside = F.sum("n").over(Window.partitionBy("queue", "block").orderBy("row")) - F.col("n")
-    placed = tokens.withColumn("inside", inside).join(before, ["queue", "block"]).select("doc", "queue", (F.col("base") + F.col("inside")).alias("begin"), "n", "ids")
+    tokens = stage(tokenize(docs, tokenizer, id_col, text_col, group_col, end_id), "tokens")
+    blocks = stage(tokens.groupBy("source", "block").agg(F.sum("n").alias("n")), "token_sums")
+    totals = blocks.groupBy("source").agg(F.sum("n").alias("n"))
+    if totals.count() > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
+    ranked = stage(global_rank(totals, ["source"], "queue").withColumn("queue", F.col("queue") - 1), "queues")
+    totals = ranked.select("queue", "n").toPandas().sort_values("queue")["n"].to_numpy()
+    named = None
+    if weights:
+        rows = ranked.filter(F.col("source").isin(list(weights))).select("queue", "source").collect()
+        named = np.zeros(len(totals))
+        for r in rows:
+            named[r["queue"]] = float(weights[r["source"]])
+    schedule = Schedule(totals, named, length)
+
+    base = F.sum("n").over(Window.partitionBy("source").orderBy("block")) - F.col("n")
+    before = stage(blocks.withColumn("base", base).join(ranked.select(F.col("source").alias("s"), "queue"), F.col("source").eqNullSafe(F.col("s"))).select(F.col("source").alias("s"), F.col("block").alias("b"), "queue", "base"), "token_bases")
+    placed = tokens.join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).select("doc", "queue", (F.col("base") + F.col("inside")).alias("begin"), "n", "ids")
 
     def run(batches):
         for batch in batches:
-            queue = np.array([number[q] for q in batch.column(1).to_pylist()], np.int64)
+            queue = batch.column(1).to_numpy().astype(np.int64)
             begin, count = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (2, 3))
             ids = batch.column(4)
             for q in np.unique(queue):
