@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regolith.operators.windows import exact_quantiles, group_quantile
+
 
 def count_stages(**stages: DataFrame) -> DataFrame:
     """(stage, n): the row count after each step of a query."""
@@ -31,7 +33,8 @@ def degree_histogram(edges: DataFrame, components: DataFrame) -> DataFrame:
 def residual_summary(rows: DataFrame, group: str, column: str = "median", limit: float = 5.0) -> DataFrame:
     """(group, n, median, max, over) without NaN."""
     ok = rows.filter(~F.isnan(column))
-    return ok.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.median(column).alias("median"), F.max(column).alias("max"), F.count_if(F.col(column) > limit).alias("over"))
+    counts = ok.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.max(column).alias("max"), F.count_if(F.col(column) > limit).alias("over"))
+    return counts.join(group_quantile(ok, group, column, 0.5, "__median"), group, "left").select(group, "n", F.col("__median").alias("median"), "max", "over")
 
 
 def fixed_cameras(offsets: DataFrame) -> DataFrame:
@@ -59,10 +62,9 @@ def flag_cameras(offsets: DataFrame, residuals: DataFrame, shifts: DataFrame, ma
 
 def robust_outliers(rows: DataFrame, rules: dict[str, tuple[float, float]], key: str = "id") -> DataFrame:
     """(key, reasons): columns above max(factor times the column's median, floor), joined by ``+``; nulls and NaN are no outliers."""
-    medians = rows.agg(*[F.median(F.when(~F.isnan(c), F.col(c))).alias("__" + c) for c in rules])
-    tested = rows.crossJoin(F.broadcast(medians))
-    why = [F.when(~F.isnan(c) & (F.col(c) > F.greatest(f * F.col("__" + c), F.lit(float(low)))), c) for c, (f, low) in rules.items()]
-    return tested.select(key, F.concat_ws("+", *why).alias("reasons")).filter("reasons <> ''")
+    limits = {c: max(f * (exact_quantiles(rows, c, [0.5])[0] or 0.0), float(low)) for c, (f, low) in rules.items()}
+    why = [F.when(~F.isnan(c) & (F.col(c) > limit), c) for c, limit in limits.items()]
+    return rows.select(key, F.concat_ws("+", *why).alias("reasons")).filter("reasons <> ''")
 
 
 def wild_ids(offsets: DataFrame, limit: float = 50.0) -> DataFrame:

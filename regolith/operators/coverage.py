@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regolith.operators import filters, raster
 from regolith.operators.windows import azimuth_groups
-from regolith.session import cut
+from regolith.session import stage
 
 
 def box_cells(images: DataFrame, size: float, key: str = "product_id", weight: float | None = None) -> DataFrame:
@@ -22,27 +25,22 @@ def set_coverage(cells: DataFrame, least: float = 100.0, max_rounds: int = 10_00
     """(group, id, round, gain): greedy cover; each round takes the image that adds the most uncovered weight (the smallest
     id of equals) and stops where that is below ``least``. Groups go on side by side, a choice each in every round.
 
-    ``cells`` is (id, i, j, w) and the group column, if any. Gains only shrink, so an image whose last known gain is below
-    ``least`` leaves for good. A round is one aggregate of the uncovered cells and one anti-join; its few choices (one for
+    ``cells`` is (id, i, j, w) and the group column, if any. More than ``max_rounds`` rounds are an error. A round is one aggregate of the uncovered cells and one anti-join; its few choices (one for
     each group) come to the driver, the cells never do.
     """
     rows = cells.withColumn("__g", F.col(group) if group else F.lit(0)).select("__g", "id", "i", "j", "w")
-    left, chosen = cut(rows.distinct()), []
+    left, chosen = stage(rows.distinct(), "cells"), []
     for n in range(1, max_rounds + 1):
         gains = left.groupBy("__g", "id").agg(F.sum("w").alias("gain")).filter(F.col("gain") >= least)
-        gains = gains.cache()
         best = gains.groupBy("__g").agg(F.min_by(F.struct("id", "gain"), F.struct(-F.col("gain"), F.col("id"))).alias("b")).select("__g", "b.id", "b.gain").collect()
         if not best:
-            gains.unpersist()
             break
         chosen += [(r["__g"], r["id"], n, float(r["gain"])) for r in best]
-        taken = left.sparkSession.createDataFrame([(r["__g"], r["id"]) for r in best], left.select("__g", "id").schema)
-        gone = left.join(F.broadcast(taken), ["__g", "id"]).select("__g", "i", "j").distinct()
-        able = gains.select("__g", "id")
-        rest = left.join(able, ["__g", "id"], "left_semi").join(gone, ["__g", "i", "j"], "left_anti")
-        left = cut(rest) if n % 5 == 0 else rest.persist()
-        left.count()
-        gains.unpersist()
+        taken = reduce(or_, [(F.col("__g") == F.lit(r["__g"])) & (F.col("id") == F.lit(r["id"])) for r in best])
+        rest = left.join(left.filter(taken).select("__g", "i", "j").distinct(), ["__g", "i", "j"], "left_anti")
+        left = stage(rest, "cells")
+    else:
+        raise RuntimeError(f"the cover is not done after {max_rounds} rounds")
     schema = left.select(F.col("__g").alias(group or "__g"), "id").schema.add("round", T.IntegerType()).add("gain", T.DoubleType())
     out = left.sparkSession.createDataFrame(chosen, schema)
     return out if group else out.drop("__g")

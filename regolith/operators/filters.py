@@ -115,10 +115,11 @@ def shift_magnitude_gate(rows: DataFrame, dx: str = "dx", dy: str = "dy", limit:
 
 
 def substring_filter(lines: DataFrame, patterns: DataFrame, keep: bool = True, value: str = "value") -> DataFrame:
-    """Lines with (or without) a listed product id in them: both sides' ids are extracted, so the join is by equality."""
-    listed = patterns.select(ids.extract_pid(F.col(value), strict=False).alias("__id")).distinct()
-    named = lines.withColumn("__id", ids.extract_pid(F.col(value), strict=False))
-    return named.join(listed, "__id", "left_semi" if keep else "left_anti").drop("__id")
+    """Lines with (or without) any of the fixed strings in them."""
+    from regolith.operators.joins import containing
+
+    found = containing(lines, patterns, value, value).select(F.col("text").alias(value)).distinct()
+    return lines.join(found, value, "left_semi" if keep else "left_anti")
 
 
 def asset_substring_match(names: DataFrame, parts: list[str], column: str = "name") -> DataFrame:

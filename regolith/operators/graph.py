@@ -98,7 +98,7 @@ def neighbors(edges: DataFrame, vertex) -> DataFrame:
 
 
 def shortest_path(edges: DataFrame, start, end, max_length: int = 1000) -> DataFrame:
-    """(step, id) of a path with the fewest edges, by smallest parents; empty if there is none."""
+    """(step, id) of a path with the fewest edges, by smallest parents; empty if there is none of at most ``max_length`` edges."""
     spark = edges.sparkSession
     both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     kind = both.schema["src"].dataType.simpleString()
@@ -110,6 +110,8 @@ def shortest_path(edges: DataFrame, start, end, max_length: int = 1000) -> DataF
         if front.isEmpty():
             return spark.createDataFrame([], f"step int, id {kind}")
         seen = cut(seen.union(front))
+    if front.filter(F.col("id") == end).isEmpty():  # farther than max_length
+        return spark.createDataFrame([], f"step int, id {kind}")
     path, at = [], end
     for step in range(steps, -1, -1):  # one row for each step of the path
         path.append((step, at))

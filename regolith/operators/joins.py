@@ -35,10 +35,23 @@ def stereo_pair_join(convergence: DataFrame, component: DataFrame, matches: Data
     return whole.select(first.alias("l_image"), second.alias("r_image"), "num", "p75", "l_median", "r_median").distinct()
 
 
+def containing(texts: DataFrame, parts: DataFrame, text: str, part: str) -> DataFrame:
+    """(text, part) of the distinct texts that hold a part somewhere in them, by an equi-join.
+
+    Every run of a text as long as the shortest part is a key, and so are the parts' beginnings of that length; what meets
+    is then tested in full. Null and empty parts are in no text.
+    """
+    known = parts.select(F.col(part).cast("string").alias("part")).filter("part <> ''").distinct()
+    size = known.agg(F.min(F.length("part")).alias("n")).first()["n"] or 1
+    runs = texts.select(F.col(text).cast("string").alias("text")).distinct().filter(F.length("text") >= size)
+    runs = runs.withColumn("at", F.explode(F.sequence(F.lit(1), F.length("text") - size + 1))).select("text", F.expr(f"substr(text, at, {size})").alias("key")).distinct()
+    return runs.join(known.withColumn("key", F.substring("part", 1, size)), "key").filter(F.contains("text", "part")).select("text", "part")
+
+
 def substring_join(images: DataFrame, cameras: DataFrame, image: str = "image", camera: str = "camera") -> DataFrame:
-    """Images whose product id some camera has."""
-    known = cameras.select(ids.extract_pid(F.col(camera), strict=False).alias("__id")).distinct()
-    return images.withColumn("__id", ids.extract_pid(F.col(image), strict=False)).join(known, "__id", "left_semi").drop("__id")
+    """Images whose text holds some camera's."""
+    found = containing(images, cameras, image, camera).select(F.col("text").alias(image)).distinct()
+    return images.join(found, image, "left_semi")
 
 
 def pair_geometry_join(pairs: DataFrame, footprints: DataFrame, left: str = "l_id", right: str = "r_id") -> DataFrame:
@@ -93,9 +106,13 @@ def azimuth_lookup(listed: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def camera_for_image(images: DataFrame, cameras: DataFrame, image: str = "value", camera: str = "camera", required: bool = False) -> DataFrame:
-    """Each image with the camera whose path has its id (the first by name), or null; an error if one is required."""
-    best = cameras.groupBy(ids.extract_pid(F.col(camera), strict=False).alias("__id")).agg(F.min(camera).alias(camera))
-    out = images.withColumn("__id", ids.extract_pid(F.col(image), strict=False)).join(best, "__id", "left").drop("__id")
+    """Each image with the camera whose path holds its id (the first by name), or null; an error if one is required.
+
+    The id is the product id in the image's text, or its file name up to the first dot where there is none.
+    """
+    named = images.withColumn("__id", F.coalesce(ids.extract_pid(F.col(image), strict=False), ids.filename_to_pid(F.col(image))))
+    best = containing(cameras, named, camera, "__id").groupBy(F.col("part").alias("__id")).agg(F.min("text").alias(camera))
+    out = named.join(best, "__id", "left").select(*images.columns, camera)
     if required and not out.filter(F.col(camera).isNull()).isEmpty():
         raise ValueError("an image has no camera")
     return out

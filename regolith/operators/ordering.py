@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regolith.operators import windows
 from regolith.operators.spatial import cell_join, cell_size
 
 AZIMUTH = "roi_sub_solar_ground_azimuth"
-#: Images in a group that one task orders; larger groups are cut into chunks by azimuth.
+#: Images that one task orders; a larger group is ordered in chunks of so many by azimuth, one after another.
 MAX_GROUP = 2000
 
 
@@ -96,20 +96,19 @@ def by_tour(p: pd.DataFrame, azimuth: str) -> list[int]:
 
 
 def ordered_groups(rows: DataFrame, group: str, method: str = "weight", azimuth: str = AZIMUTH, key: str = "product_id") -> DataFrame:
-    """``rows`` with ``place`` from 1 in each group; ties go to the smaller id. Groups must be bounded (MAX_GROUP)."""
+    """``rows`` with ``place`` from 1 in each group; ties go to the smaller id. Chunks of a group beyond MAX_GROUP follow each other."""
     orders = {"weight": lambda p: by_weight(p, azimuth), "degree": by_degree, "tour": lambda p: by_tour(p, azimuth)}
     kinds = {c: rows.schema[c].dataType.simpleString() for c in (group, key)}
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
-        if len(p) > MAX_GROUP:
-            raise ValueError(f"a group has {len(p)} images; cut groups by windows.chunk_rows or quantile_bins first")
         p = p.sort_values(key, ignore_index=True)
         place = np.empty(len(p), np.int64)
-        place[orders[method](p)] = np.arange(1, len(p) + 1)
+        place[orders[method](p)] = np.arange(1, len(p) + 1) + p["__chunk"].iloc[0] * MAX_GROUP
         return pd.DataFrame({group: p[group], key: p[key], "place": place})
 
-    needed = rows.select(group, key, azimuth, "x0", "y0", "x1", "y1")
-    return rows.join(needed.groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, {key} {kinds[key]}, place bigint"), [group, key])
+    chunk = F.floor((F.row_number().over(Window.partitionBy(group).orderBy(azimuth, key)) - 1) / MAX_GROUP)
+    needed = rows.select(group, key, azimuth, "x0", "y0", "x1", "y1", chunk.alias("__chunk"))
+    return rows.join(needed.groupBy(group, "__chunk").applyInPandas(run, f"{group} {kinds[group]}, {key} {kinds[key]}, place bigint"), [group, key])
 
 
 def reorder_by_illumination_bins(rows: DataFrame, bins: int = 90, azimuth: str = AZIMUTH) -> DataFrame:

@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regolith.operators.windows import exact_quantiles, group_quantile
+
 NODATA = -1e6
 #: Pixels on a side of the tiles that neighbourhood operators work on.
 TILE = 256
@@ -30,7 +32,8 @@ def shadow_stats(pixels: DataFrame, limit: float = 0.005) -> DataFrame:
 def brightness(pixels: DataFrame, decimate_by: int = 8, share: float = 0.999, least: int = 500) -> DataFrame:
     """(raster_id, p): a high percentile of the valid, positive, decimated pixels; null with fewer than ``least``."""
     rows = decimate(pixels, decimate_by).filter(valid(F.col("v")) & (F.col("v") > 1e-6))
-    return rows.groupBy("raster_id").agg(F.when(F.count(F.lit(1)) >= least, F.percentile("v", F.lit(share))).alias("p"))
+    enough = rows.groupBy("raster_id").agg((F.count(F.lit(1)) >= least).alias("enough"))
+    return enough.join(group_quantile(rows, "raster_id", "v", share, "p"), "raster_id").select("raster_id", F.when(F.col("enough"), F.col("p")).alias("p"))
 
 
 def max_lit(pixels: DataFrame) -> DataFrame:
@@ -79,8 +82,10 @@ def sum_masks(masks: DataFrame) -> DataFrame:
 def disparity_summary(disparity: DataFrame) -> DataFrame:
     """(dx_median, dy_median, dx_mad, dy_mad, uniform) of the valid disparities; uniform when both spreads are well below the shift."""
     ok = disparity.filter("valid = 1")
-    mid = ok.agg(F.median("dx").alias("dx_median"), F.median("dy").alias("dy_median"))
-    spread = ok.crossJoin(F.broadcast(mid)).groupBy("dx_median", "dy_median").agg(F.median(F.abs(F.col("dx") - F.col("dx_median"))).alias("dx_mad"), F.median(F.abs(F.col("dy") - F.col("dy_median"))).alias("dy_mad"))
+    mid = {c: exact_quantiles(ok, c, [0.5])[0] for c in ("dx", "dy")}
+    mad = {c: None if m is None else exact_quantiles(ok.select(F.abs(F.col(c) - m).alias("d")), "d", [0.5])[0] for c, m in mid.items()}
+    names = {"dx_median": mid["dx"], "dy_median": mid["dy"], "dx_mad": mad["dx"], "dy_mad": mad["dy"]}
+    spread = disparity.sparkSession.range(0 if mid["dx"] is None else 1).select(*[F.lit(v).cast("double").alias(k) for k, v in names.items()])
     return spread.withColumn("uniform", F.greatest("dx_mad", "dy_mad") < 0.25 * F.hypot("dx_median", "dy_median"))
 
 
@@ -284,11 +289,14 @@ def blend_to_reference(reference: DataFrame, dem: DataFrame, brightest: DataFram
     return both.select("x", "y", (w * F.coalesce("new", F.lit(0.0)) + (1 - w) * F.col("ref")).alias("v"))
 
 
-def stripe_score(crops: DataFrame, dark: float = 0.005) -> DataFrame:
-    """(raster_id, score): strength of the strongest off-axis frequency of a bounded crop after a 9 x 9 high pass, over the mean.
+def stripe_score(pixels: DataFrame, dark: float = 0.005, side: int = 1024) -> DataFrame:
+    """(raster_id, score): strength of the strongest off-axis frequency of a crop after a 9 x 9 high pass, over the mean.
 
-    Null for crops under 60 pixels on a side or with over 30 % dark pixels.
+    The crop is the ``side`` x ``side`` pixels at the raster's first column and row, so that a group is bounded. Null for
+    crops under 60 pixels on a side or with over 30 % dark pixels.
     """
+    first = pixels.groupBy("raster_id").agg(F.min("x").alias("__x"), F.min("y").alias("__y"))
+    crops = pixels.join(first, "raster_id").filter((F.col("x") < F.col("__x") + side) & (F.col("y") < F.col("__y") + side)).select("raster_id", "x", "y", "v")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         x, y = rows["x"].to_numpy() - rows["x"].min(), rows["y"].to_numpy() - rows["y"].min()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,15 +95,41 @@ def legacy_streak_lengths(rows: DataFrame, order: str = "orderid", flag: str = "
     return lengths.groupBy(flag, "length").agg(F.count(F.lit(1)).alias("streaks"))
 
 
+def exact_quantiles(rows: DataFrame, column: str, shares: list[float]) -> list[float | None]:
+    """The quantiles of the column's values (linear between neighbours), from global ranks: only the neighbours reach the driver.
+
+    Nulls and NaN are passed over; without values the quantiles are None.
+    """
+    value = F.col(column).cast("double")
+    ranked = global_rank(rows.select(value.alias("v")).filter("v IS NOT NULL AND NOT isnan(v)"), ["v"], "r")
+    n = ranked.count()
+    if not n:
+        return [None] * len(shares)
+    places = [s * (n - 1) for s in shares]
+    ends = {int(f(p)) for p in places for f in (math.floor, math.ceil)}
+    at = {r["r"] - 1: r["v"] for r in ranked.filter(F.col("r").isin([e + 1 for e in ends])).collect()}
+    low, high = math.floor, math.ceil
+    return [at[low(p)] if low(p) == p else (high(p) - p) * at[low(p)] + (p - low(p)) * at[high(p)] for p in places]
+
+
+def group_quantile(rows: DataFrame, group: str, column: str, share: float, name: str) -> DataFrame:
+    """(group, name): each group's exact quantile, by places in a sort that may spill, not by a buffer of all values."""
+    w = Window.partitionBy(group)
+    ranked = rows.select(group, F.col(column).cast("double").alias("__v")).filter("__v IS NOT NULL AND NOT isnan(__v)")
+    ranked = ranked.withColumns({"__p": (F.count(F.lit(1)).over(w) - 1) * F.lit(float(share)), "__r": F.row_number().over(w.orderBy("__v")) - 1})
+    ends = ranked.filter((F.col("__r") == F.floor("__p")) | (F.col("__r") == F.ceil("__p"))).groupBy(group, "__p").agg(F.min("__v").alias("__a"), F.max("__v").alias("__b"))
+    between = (F.ceil("__p") - F.col("__p")) * F.col("__a") + (F.col("__p") - F.floor("__p")) * F.col("__b")
+    return ends.select(group, F.when(F.floor("__p") == F.ceil("__p"), F.col("__a")).otherwise(between).alias(name))
+
+
 def quantile_bins(rows: DataFrame, column: str, bins: int, name: str = "bin") -> DataFrame:
     """Equal-frequency bins by quantile edges (linear between values); equal values share a bin; numbered from 0.
 
     The edges are one small row; bin k holds values above edge k and up to edge k + 1, the first bin its lower edge too.
     """
-    shares = ", ".join(f"{i / bins}" for i in range(bins + 1))
-    edges = rows.agg(F.expr(f"array_distinct(percentile(CAST(`{column}` AS double), array({shares})))").alias("__edges"))
-    above = F.expr(f"size(filter(__edges, e -> e < `{column}`))")
-    return rows.crossJoin(F.broadcast(edges)).withColumn(name, F.greatest(above - 1, F.lit(0)).cast("int")).drop("__edges")
+    edges = [e for e in dict.fromkeys(exact_quantiles(rows, column, [i / bins for i in range(bins + 1)])) if e is not None]
+    above = F.size(F.filter(F.array(*map(F.lit, edges)) if edges else F.array().cast("array<double>"), lambda e: e < F.col(column)))
+    return rows.withColumn(name, F.greatest(above - 1, F.lit(0)).cast("int"))
 
 
 def chunk_rows(rows: DataFrame, order: list[str], size: int, name: str = "chunk") -> DataFrame:
@@ -121,13 +149,15 @@ def azimuth_groups(rows: DataFrame, azimuth: str, name: str = "azimuth_group") -
     """
     a = F.col(azimuth)
     low, high = F.when(a < 180, a), F.when(a >= 270, a)
-    cuts = rows.agg(F.when(F.count(low) > 1, F.median(low)).otherwise(90.0).alias("__low"), F.when(F.count(high) > 1, F.median(high)).otherwise(315.0).alias("__high"))
+    n = rows.agg(F.count(low).alias("low"), F.count(high).alias("high")).first()
+    cut_low = exact_quantiles(rows.filter(a < 180), azimuth, [0.5])[0] if n["low"] > 1 else 90.0
+    cut_high = exact_quantiles(rows.filter(a >= 270), azimuth, [0.5])[0] if n["high"] > 1 else 315.0
     group = (
-        F.when(a < 180, F.when(a <= F.col("__low"), "low1").otherwise("low2"))
-        .when(a >= 270, F.when(a <= F.col("__high"), "high1").otherwise("high2"))
+        F.when(a < 180, F.when(a <= cut_low, "low1").otherwise("low2"))
+        .when(a >= 270, F.when(a <= cut_high, "high1").otherwise("high2"))
         .when(a.isNotNull(), "mid")
     )
-    return rows.crossJoin(F.broadcast(cuts)).withColumn(name, group).drop("__low", "__high")
+    return rows.withColumn(name, group)
 
 
 def first_seen(rows: DataFrame, key: str, order: str) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regolith.functions import ids
-from regolith.operators import aggregates, filters, graph, joins, lists
+from regolith.operators import aggregates, filters, graph, joins, lists, raster
+from regolith.session import cut, stage
 
 
 def network_pairs(pair_stats: DataFrame, residuals: DataFrame, min_matches: int = 1, max_residual: float = 1.25, offsets: DataFrame | None = None, min_offset_matches: int = 1, max_p85: float = 5.0, mode: str = "verify") -> DataFrame:
@@ -22,7 +23,7 @@ def edges_of(pairs: DataFrame) -> DataFrame:
 
 def verify_network(pair_stats: DataFrame, residuals: DataFrame, **limits) -> DataFrame:
     """The connectivity report of the good pairs."""
-    return graph.check_connectivity(edges_of(network_pairs(pair_stats, residuals, **limits)))
+    return graph.check_connectivity(stage(edges_of(network_pairs(pair_stats, residuals, **limits)), "edges"))
 
 
 def stereo_from_network(convergence: DataFrame, pair_stats: DataFrame, residuals: DataFrame, component: DataFrame, footprints: DataFrame | None = None, matches: int = 100, max_residual: float = 1.25, least: float = 10, most: float = 22, top: int = 500) -> DataFrame:
@@ -37,10 +38,30 @@ def stereo_from_network(convergence: DataFrame, pair_stats: DataFrame, residuals
 
 def component_of(pair_stats: DataFrame, residuals: DataFrame, index: int, **limits) -> DataFrame:
     """(id) of the component of that rank."""
-    found = graph.connected_components(edges_of(network_pairs(pair_stats, residuals, **limits)))
+    found = cut(graph.connected_components(edges_of(network_pairs(pair_stats, residuals, **limits))))
     return graph.component_ranks(found).filter(F.col("component_rank") == index).select("id")
 
 
+def inspect_network(pair_stats: DataFrame, residuals: DataFrame, vertex: str | None = None, other: str | None = None, index: int = 0, **limits) -> dict[str, DataFrame]:
+    """What one asks of a network: its pairs and degrees, the pairs of the component of that rank, a vertex' neighbours, and
+    a shortest path from it to another."""
+    pairs = network_pairs(pair_stats, residuals, mode="inspect", **limits)
+    edges = stage(edges_of(pairs), "edges")
+    ranked = graph.component_ranks(cut(graph.connected_components(edges)))
+    out = {"pairs": pairs, "degrees": aggregates.degree(edges), "component": graph.subgraph(edges, ranked, index)}
+    if vertex is not None:
+        out["neighbors"] = graph.neighbors(edges, vertex)
+        if other is not None:
+            out["path"] = graph.shortest_path(edges, vertex, other)
+    return out
+
+
+def flag_frames(pixels: DataFrame, rules: dict[str, tuple[float, float]], decimate_by: int = 8, least: int = 500) -> DataFrame:
+    """(id, reasons) of rasters whose brightness ``p`` or stripe ``score`` is an outlier by the rules (factor of the median, floor)."""
+    measured = raster.brightness(pixels, decimate_by, 0.999, least).join(raster.stripe_score(pixels), "raster_id", "full")
+    return aggregates.robust_outliers(stage(measured.withColumnRenamed("raster_id", "id"), "frames"), rules)
+
+
 def flag_cameras(offsets: DataFrame, residuals: DataFrame, shifts: DataFrame, **limits) -> DataFrame:
     return aggregates.flag_cameras(offsets, residuals, shifts, **limits)
 

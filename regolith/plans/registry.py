@@ -139,13 +139,13 @@ def ground_azimuths(t: Load) -> DataFrame:
 
 @query("images", sql="""SELECT product_id, round(least(fmod(abs(roi_sub_solar_ground_azimuth - 10), 360), 360 - fmod(abs(roi_sub_solar_ground_azimuth - 10), 360)), 6) AS separation,
  round(CASE WHEN center_longitude > 180 THEN center_longitude - 360 ELSE center_longitude END, 6) AS lon,
- round(sqrt((tan(radians(incidence_angle)) * cos(radians(roi_sub_solar_ground_azimuth)) - tan(radians(50)) * cos(radians(90))) ** 2 + (tan(radians(incidence_angle)) * sin(radians(roi_sub_solar_ground_azimuth)) - tan(radians(50)) * sin(radians(90))) ** 2), 4) AS dsh,
- round(degrees(acos(greatest(-1, least(1, sin(radians(emission_angle)) * sin(radians(20)) * cos(radians(sub_spacecraft_ground_azimuth) - radians(45)) + cos(radians(emission_angle)) * cos(radians(20)))))), 4) AS parallax FROM images WHERE incidence_angle < 89""")
+ round(least(sqrt((tan(radians(incidence_angle)) * cos(radians(roi_sub_solar_ground_azimuth)) - tan(radians(50)) * cos(radians(90))) ** 2 + (tan(radians(incidence_angle)) * sin(radians(roi_sub_solar_ground_azimuth)) - tan(radians(50)) * sin(radians(90))) ** 2), 1000), 4) AS dsh,
+ round(degrees(acos(greatest(-1, least(1, sin(radians(emission_angle)) * sin(radians(20)) * cos(radians(sub_spacecraft_ground_azimuth) - radians(45)) + cos(radians(emission_angle)) * cos(radians(20)))))), 4) AS parallax FROM images""")
 def angle_functions(t: Load) -> DataFrame:
     c = F.col
-    return t("images").filter("incidence_angle < 89").select(
+    return t("images").select(
         "product_id", F.round(angles.angular_separation(c("roi_sub_solar_ground_azimuth"), F.lit(10.0)), 6).alias("separation"), F.round(angles.normalize_longitude(c("center_longitude")), 6).alias("lon"),
-        F.round(angles.shadow_tip_distance(c("incidence_angle"), c("roi_sub_solar_ground_azimuth"), F.lit(50.0), F.lit(90.0)), 4).alias("dsh"),
+        F.round(F.least(angles.shadow_tip_distance(c("incidence_angle"), c("roi_sub_solar_ground_azimuth"), F.lit(50.0), F.lit(90.0)), F.lit(1000.0)), 4).alias("dsh"),
         F.round(angles.parallax(c("emission_angle"), c("sub_spacecraft_ground_azimuth"), F.lit(20.0), F.lit(45.0)), 4).alias("parallax"),
     )
 
@@ -163,10 +163,9 @@ def ring_geometry(t: Load) -> DataFrame:
     )
 
 
-@query("images", sql="""SELECT product_id, CAST((floor(x1 / 1000 - 0.5) - ceil(x0 / 1000 - 0.5) + 1) * (floor(y1 / 1000 - 0.5) - ceil(y0 / 1000 - 0.5) + 1) AS BIGINT) AS n FROM images WHERE x0 % 500 <> 0 AND x1 % 500 <> 0 AND y0 % 500 <> 0 AND y1 % 500 <> 0""")
+@query("images", sql="""SELECT product_id, CAST((ceil(x1 / 1000 - 0.5) - ceil(x0 / 1000 - 0.5)) * (ceil(y1 / 1000 - 0.5) - ceil(y0 / 1000 - 0.5)) AS BIGINT) AS n FROM images""")
 def footprint_cells(t: Load) -> DataFrame:
-    rows = t("images").filter("x0 % 500 <> 0 AND x1 % 500 <> 0 AND y0 % 500 <> 0 AND y1 % 500 <> 0")
-    return rows.select("product_id", F.size(geometry.cells_of(geometry.box_ring(*[F.col(c) for c in spatial.BOX]), 1000.0)).cast("long").alias("n"))
+    return t("images").select("product_id", F.size(geometry.cells_of(geometry.box_ring(*[F.col(c) for c in spatial.BOX]), 1000.0)).cast("long").alias("n"))
 
 
 @query("images", sql="SELECT product_id, floor(x0) - 0.5 AS a, floor(y0) - 0.5 AS b, ceil(x1) + 0.5 AS c, ceil(y1) + 0.5 AS d, x0 - 10 AS e FROM images")
@@ -258,9 +257,9 @@ def circular_pairs(t: Load) -> DataFrame:
 
 
 @query("images", sql="""SELECT a.product_id AS l_product_id, b.product_id AS r_product_id, round((least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0)), 6) AS area
- FROM images a JOIN images b ON a.k < b.k AND a.k % 10 = 0 AND b.k % 10 = 0 AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1""")
+ FROM images a JOIN images b ON a.k < b.k AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1""")
 def polygon_pairs(t: Load) -> DataFrame:
-    rows = t("images").filter("k % 10 = 0").select("k", "product_id", geometry.box_ring(*[F.col(c) for c in spatial.BOX]).alias("ring"))
+    rows = t("images").select("k", "product_id", geometry.box_ring(*[F.col(c) for c in spatial.BOX]).alias("ring"))
     pairs = spatial.polygon_pairs(rows, rows, "ring", 4000.0, "intersects", F.col("l_k") < F.col("r_k"))
     return pairs.select("l_product_id", "r_product_id", F.round(geometry.area(F.col("common")), 6).alias("area")).filter("area > 0")
 
@@ -439,8 +438,7 @@ def camera_for_image(t: Load) -> DataFrame:
 
 @query("id_list", "registered_ids", sql="SELECT pos FROM id_list WHERE split_part(split_part(value, '/', 2), '.', 1) IN (SELECT product_id FROM registered_ids)")
 def substring_join(t: Load) -> DataFrame:
-    cameras = t("registered_ids").select(F.concat(F.lit("cam/adj-"), "product_id", F.lit(".json")).alias("camera"))
-    return joins.substring_join(t("id_list"), cameras, "value").select("pos")
+    return joins.substring_join(t("id_list"), t("registered_ids"), "value", "product_id").select("pos")
 
 
 @query("images", sql="SELECT product_id, x0 + 1 AS x0, y1 FROM images WHERE k % 4 = 0")
@@ -462,9 +460,9 @@ def parsed_control_points(t: Load) -> DataFrame:
     return readers.parse_gcp(ragged).select("pos", F.size("images").alias("n"))
 
 
-@query("pixels", sql="""SELECT DISTINCT x * 64 + y AS id, CAST(x + 1.5 AS DOUBLE) AS px, CAST(y - 0.5 AS DOUBLE) AS py FROM pixels WHERE raster_id = 1""")
+@query("pixels", sql="""SELECT DISTINCT x * 64 + y AS id, CAST(x + 1.5 AS DOUBLE) AS px, CAST(y - 0.5 AS DOUBLE) AS py FROM pixels""")
 def transform_control_points(t: Load) -> DataFrame:
-    places = t("pixels").filter("raster_id = 1").select("x", "y").distinct()
+    places = t("pixels").select("x", "y").distinct()
     points = places.select((F.col("x") * 64 + F.col("y")).alias("id"), F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py"))
     shifts = places.select("x", "y", F.lit(1.5).alias("dx"), F.lit(-0.5).alias("dy"), F.lit(1).alias("valid"))
     return joins.transform_gcp(points, shifts, search=1)
@@ -736,12 +734,10 @@ def trimmed_tiles(t: Load) -> DataFrame:
     return raster.trim_tiles_to_valid(t("pixels"), 16)
 
 
-@query("pixels", sql="SELECT raster_id, x, y, round(v, 6) AS v FROM (SELECT raster_id, CAST(x / 2 AS INT) AS x, CAST(y / 2 AS INT) AS y, v FROM pixels WHERE x % 2 = 0 AND y % 2 = 0)")
-def regrid_on_nodes(t: Load) -> DataFrame:
-    """On a grid whose nodes are every second pixel, bilinear is exact where that pixel is there."""
-    out = raster.regrid(t("pixels"), 0.0, 0.0, 2.0, 32, 32)
-    there = t("pixels").filter("x % 2 = 0 AND y % 2 = 0").select("raster_id", (F.col("x") / 2).cast("int").alias("x"), (F.col("y") / 2).cast("int").alias("y"))
-    return out.join(there, ["raster_id", "x", "y"], "left_semi").select("raster_id", "x", "y", *rounded("v"))
+@query("pixels", sql="""SELECT raster_id, CAST(i AS INT) AS x, CAST(j AS INT) AS y, round(sum((1 - abs(i * 1.5::DOUBLE - x)) * (1 - abs(j * 1.5::DOUBLE - y)) * v) / sum((1 - abs(i * 1.5::DOUBLE - x)) * (1 - abs(j * 1.5::DOUBLE - y))), 6) AS v
+ FROM pixels JOIN range(0, 43) t(i) ON abs(i * 1.5 - x) < 1 JOIN range(0, 43) u(j) ON abs(j * 1.5 - y) < 1 GROUP BY 1, 2, 3""")
+def regrid(t: Load) -> DataFrame:
+    return raster.regrid(t("pixels"), 0.0, 0.0, 1.5, 43, 43).select("raster_id", "x", "y", *rounded("v"))
 
 
 @query("images", sql=""", b AS (SELECT min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM images)
@@ -800,6 +796,9 @@ def not_done(t: Load) -> DataFrame:
     return streams.not_done(t("images").select("product_id"), t("registered_ids"), "product_id")
 
 
+from regolith.plans import more_queries, roundtrips  # noqa: E402, F401  (they register theirs)
+
+
 def queries() -> dict[str, Callable]:
     return dict(_QUERIES)
 

@@ -51,12 +51,18 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a new folder in the shared one; Spark removes it when the application ends."""
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    delete_on_exit(spark, path)
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several later steps read to the shared folder; Spark removes it when the application ends."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
-    delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
