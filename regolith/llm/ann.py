@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from regolith.llm.text import repeat_ranges
 
-#: Vectors in a shard, on average; the number of shards grows with the table.
-SHARD = 4096
+#: Vectors in a shard, on average. Up to SHARDS shards are small, so that small tables have several tasks; then shards grow to
+#: LARGE vectors (a beam search hardly takes longer in a larger graph), and beyond that their number grows.
+SHARD, SHARDS, LARGE = 4096, 16, 32768
 
 
 def search(vectors: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,17 +126,80 @@ def build(vectors: np.ndarray, degree: int = 24, beam: int = 48, alpha: float =
     return graph, entry
 
 
+class Shard:
+    """The vectors of a shard, with a graph for each length of vectors, built when the first query of that length comes."""
+
+    def __init__(self, degree: int, beam: int, k: int):
+        self.degree, self.beam, self.k = degree, beam, k
+        self.ids: list[np.ndarray] = []
+        self.vectors: list[tuple[np.ndarray, np.ndarray]] = []  # components, numbers of them
+        self.graphs: dict[int, tuple | None] = {}
+
+    def add(self, ids: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.vectors.append((flat, sizes))
+
+    def _graph(self, d: int):
+        if d not in self.graphs:
+            own, whole = [], []
+            for ids, (flat, sizes) in zip(self.ids, self.vectors, strict=True):
+                at = np.flatnonzero(sizes == d)
+                starts = np.cumsum(sizes) - sizes
+                own.append(ids[at])
+                whole.append(flat[starts[at][:, None] + np.arange(d)])
+            own, whole = np.concatenate(own or [np.zeros(0, np.int64)]), np.concatenate(whole or [np.zeros((0, d))])
+            if len(own):
+                unique, group = np.unique(whole, axis=0, return_inverse=True)
+                by = np.lexsort((own, group.ravel()))
+                first = np.searchsorted(group.ravel()[by], np.arange(len(unique) + 1))
+                unit = _unit(unique)
+                self.graphs[d] = (unit, own[by], first, *build(unit.astype(np.float32), self.degree, self.beam))
+            else:
+                self.graphs[d] = None
+        return self.graphs[d]
+
+    def answer(self, ids: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, float]]:
+        """(query, found, cosine) of up to 2 k found for each query."""
+        out, starts = [], np.cumsum(sizes) - sizes
+        for d in np.unique(sizes).tolist():
+            graph = self._graph(d)
+            if graph is None:
+                continue
+            unit, own, first, edges, entry = graph
+            them = np.flatnonzero(sizes == d)
+            most = max(1, min(512, (64 << 20) // len(unit)))  # what a search marks as seen stays below 64 MB
+            for low in range(0, len(them), most):
+                part = them[low : low + most]
+                q = _unit(flat[starts[part][:, None] + np.arange(d)])
+                place, _ = search(unit.astype(np.float32), edges, entry, q.astype(np.float32), max(self.beam, 4 * self.k))
+                for r, row in enumerate(part.tolist()):
+                    found = place[r][place[r] >= 0]
+                    best = []
+                    for c, f in zip((unit[found] @ q[r]).tolist(), found.tolist(), strict=True):
+                        best += [(c, x) for x in own[first[f] : first[f + 1]][: self.k + 1].tolist() if x != ids[row]]
+                    best.sort(key=lambda x: (-x[0], x[1]))
+                    out += [(int(ids[row]), x, c) for c, x in best[: 2 * self.k]]
+        return out
+
+
+def _unit(v: np.ndarray) -> np.ndarray:
+    v = v / np.abs(v).max(axis=1, keepdims=True)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
 def nearest(
-    table: DataFrame, query: DataFrame, k: int = 5, degree: int = 24, beam: int = 64, shard: int = SHARD, id_col: str = "vec_id", vector_col: str = "embedding"
+    table: DataFrame, query: DataFrame, k: int = 5, degree: int = 24, beam: int = 64, shard: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest by cosine found for each row of ``query`` among all rows of ``table``.
 
-    Rows fall into shards by a hash of id and vector; each shard holds a graph over its distinct vectors. Every query is
-    searched in every shard, in blocks of rows, and the shards' best are merged by a window per query. Copies of a vector
-    are one vertex of the graph whose ids are listed up to k + 1, which is all that a list of k can need. Scores are
-    cosines in double precision of the original vectors; ties go to the smaller id; a query's own id is no answer.
-    Vectors that are null, zero, or hold null or non-finite components, or null ids take no part; repeated ids count once;
-    vectors of another length than the query's aren't compared.
+    Rows fall into shards by a hash of id and vector, of ``shard`` vectors on average if given; each shard holds a graph over
+    its distinct vectors. Every query is searched in every shard: a task reads a shard's vectors, builds the graph, and then
+    lets the queries stream through it, so that it never holds more than one shard and one batch of queries, however many
+    there are. The shards' best are merged by a window per query. Copies of a vector are one vertex of the graph whose ids are
+    listed up to k + 1, which is all that a list of k can need. Scores are cosines in double precision of the original
+    vectors; ties go to the smaller id; a query's own id is no answer. Vectors that are null, zero, or hold null or non-finite
+    components, or null ids take no part; repeated ids count once, in the table by their best vector and among queries
+    by the best answers of all their vectors; vectors of another length than the query's aren't compared.
     """
 
     def valid(df):
@@ -144,44 +208,31 @@ def nearest(
         return df.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(ok)
 
     base, asked = valid(table), valid(query)
-    shards = max(1, -(-base.count() // shard))
+    n = base.count()
+    shards = max(1, -(-n // shard)) if shard else max(1, min(SHARDS, -(-n // SHARD)), -(-n // LARGE))
     rows = base.select("id", "v", F.pmod(F.xxhash64("v", "id"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("ask"))
     asks = asked.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("ask"))
 
-    def run(batch: pa.Table) -> pa.Table:
-        ids, ask = batch.column("id").to_numpy(), batch.column("ask").to_numpy(zero_copy_only=False)
-        lists = batch.column("v").combine_chunks()
-        sizes = np.diff(lists.offsets.to_numpy())
-        flat = lists.flatten().to_numpy()
-        out = []
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        for d in np.unique(sizes[ask]).tolist():
-            own, them = np.flatnonzero(~ask & (sizes == d)), np.flatnonzero(ask & (sizes == d))
-            if not len(own):
-                continue
-            whole = flat[starts[own][:, None] + np.arange(d)]
-            unique, group = np.unique(whole, axis=0, return_inverse=True)
-            group = group.ravel()
-            by = np.lexsort((ids[own], group))
-            first = np.searchsorted(group[by], np.arange(len(unique) + 1))
-            unit = unique / np.abs(unique).max(axis=1, keepdims=True)
-            unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
-            graph, entry = build(unit.astype(np.float32), degree, beam)
-            for part in np.array_split(them, -(-len(them) // 512)):
-                q = flat[starts[part][:, None] + np.arange(d)]
-                q = q / np.abs(q).max(axis=1, keepdims=True)
-                q = q / np.linalg.norm(q, axis=1, keepdims=True)
-                place, _ = search(unit.astype(np.float32), graph, entry, q.astype(np.float32), max(beam, 4 * k))
-                for r, row in enumerate(part.tolist()):
-                    found = place[r][place[r] >= 0]
-                    cosine = unit[found] @ q[r]
-                    best = []
-                    for c, f in zip(cosine.tolist(), found.tolist(), strict=True):
-                        best += [(c, x) for x in ids[own[by[first[f] : first[f + 1]]]][: k + 1].tolist() if x != ids[row]]
-                    best.sort(key=lambda x: (-x[0], x[1]))
-                    out += [(int(ids[row]), x, c) for c, x in best[: 2 * k]]
-        return pa.table({"query_id": pa.array([x[0] for x in out], pa.int64()), "vec_id": pa.array([x[1] for x in out], pa.int64()), "near": pa.array([x[2] for x in out], pa.float64())})
-
-    found = rows.union(asks).groupBy("shard").applyInArrow(run, "query_id bigint, vec_id bigint, near double").dropDuplicates(["query_id", "vec_id"])
+    def run(batches):
+        number, now = None, None
+        for batch in batches:
+            key = batch.column("shard").to_numpy().astype(np.int64) * 2 + batch.column("ask").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if key[a] // 2 != number:
+                    number, now = key[a] // 2, Shard(degree, beam, k)
+                part = batch.slice(a, b - a)
+                lists = part.column("v")
+                ids, flat, sizes = part.column("id").to_numpy(), lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+                if key[a] % 2 == 0:
+                    now.add(ids, flat, sizes)
+                    continue
+                out = now.answer(ids, flat, sizes)
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.float64())], ["query_id", "vec_id", "near"])
+
+    dealt = rows.union(asks).repartition(shards, "shard").sortWithinPartitions("shard", "ask")
+    found = dealt.mapInArrow(run, "query_id bigint, vec_id bigint, near double").groupBy("query_id", "vec_id").agg(F.max("near").alias("near"))
     order = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", F.col("near").alias("score"))

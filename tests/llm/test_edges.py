@@ -384,3 +384,25 @@ def test_html_long_and_repeated_pages(spark):
     long = "<nav>x</nav><article>" + "<p>word &amp; word</p>" * 60_000 + "</article>"
     got = [r.text for r in html.main_text(spark.createDataFrame([(1, long), (1, long), (2, "<article>a</article>")], "page_id bigint, html string")).collect()]
     assert sorted(got) == sorted(["\n\n".join(["word & word"] * 60_000)] * 2 + ["a"])
+
+
+def test_nearest_over_many_shards(spark):
+    rng = np.random.default_rng(11)
+    v = rng.normal(size=(1200, 24))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)] + [(7, v[8].tolist())], "vec_id bigint, embedding array<double>")
+    got = ann.nearest(df, df.filter("vec_id % 20 = 0"), k=5, shard=100).collect()
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    hits = 0
+    for i in range(0, 1200, 20):
+        s = u @ u[i]
+        s[i] = -2
+        s[7] = max(s[7], s[8]) if i != 7 else s[7]
+        hits += len({r.vec_id for r in got if r.query_id == i} & set(np.lexsort((np.arange(1200), -s))[:5].tolist()))
+    assert len(got) == 300 and hits / 300 >= 0.9
+
+
+def test_nearest_takes_repeated_queries_with_other_vectors(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.1])], "vec_id bigint, embedding array<double>")
+    asked = spark.createDataFrame([(9, [1.0, 0.0]), (9, [0.0, 1.0])], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.score for r in ann.nearest(df, asked, k=3).collect()}
+    assert got[1] == got[2] == 1.0 and len(got) == 3
