@@ -31,6 +31,8 @@ ENCODINGS = (
 )
 #: Level of the false-discovery control; bits that a string must be able to hold; bins of -log p.
 LEVEL, MIN_BITS, BINS_PER_UNIT, BINS = 0.05, 80.0, 10, 600
+#: The last bin of p above 0.1: strings up to it tell how many are random, and are reported.
+SURE = 22
 
 
 def spans(text: Column, pattern: str, group: int, least: int) -> Column:
@@ -142,11 +144,12 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row for each row of ``docs``: id_col, assign, access, hex, random (arrays of struct<a, b, s>: code points, text).
 
     The first three are the fixed formats. ``random`` holds strings of 20 and more characters, outside them, whose encoding
-    can be inferred and whose randomness the battery doesn't reject, and parts of those that fit no encoding (``parts``);
-    overlapping ones are one span. Rejection is at a false-discovery rate of ``level``
-    (Benjamini-Hochberg over all strings of the table), apart for each doubling of length, since long strings give strong
-    evidence and would drown short ones. The step-up runs over counts in a fixed number of bins, so it needs one small
-    aggregate however many strings there are. Null texts are empty and have none; ties are rejected together; repeated rows
+    can be inferred and that the battery finds random, and parts of those that fit no encoding (``parts``); overlapping
+    ones are one span. At most a share of ``level`` of those reported is false, as estimated from all strings of the table,
+    apart for each doubling of length, since short strings give weak evidence: random strings have p spread evenly, so those
+    with p above 0.1 tell how many there are at any p; what exceeds that further down is structured. Strings are reported
+    down to the smallest p where the excess is no more than ``level`` of them, and always above 0.1. The step runs over
+    counts in a fixed number of bins, so it needs one small aggregate however many strings there are. Null texts are empty and have none; ties are rejected together; repeated rows
     give a row each; an empty table gives none; other columns are ignored.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -162,12 +165,14 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     place = lambda p: F.least(F.floor(-F.log(F.greatest(p, F.lit(1e-300))) * BINS_PER_UNIT), F.lit(BINS)).cast("int")
     each = rows.select(F.explode("tested").alias("x")).select(group(F.col("x.t.n")).alias("g"), place(F.col("x.t.p")).alias("bin"))
     counts = each.groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n"))  # at most 60 groups of BINS + 1
-    limits = counts.groupBy("g").agg(F.sum("n").alias("m"), F.collect_list(F.struct("bin", "n")).alias("bins"))
-    tail = lambda b: F.aggregate("bins", F.lit(0).cast("long"), lambda t, y: t + F.when(y["bin"] >= b["bin"], y["n"]).otherwise(0))
-    passed = F.filter("bins", lambda b: F.exp(-b["bin"] / BINS_PER_UNIT) <= level * tail(b) / F.col("m"))
-    limits = limits.select("g", F.array_min(F.transform(passed, lambda b: b["bin"])).alias("least"))
-    limits = limits.agg(F.map_from_entries(F.collect_list(F.struct("g", "least"))).alias("__limits"))
-    stays = lambda x: F.coalesce(place(x["t"]["p"]) < F.col("__limits")[group(x["t"]["n"])], F.lit(True))
+    limits = counts.groupBy("g").agg(F.collect_list(F.struct("bin", "n")).alias("bins"))
+    up_to = lambda last: F.aggregate("bins", F.lit(0).cast("long"), lambda t, y: t + F.when(y["bin"] <= last, y["n"]).otherwise(0))
+    share = lambda last: 1 - F.exp(-(last + 1) / F.lit(float(BINS_PER_UNIT)))  # noqa: E731  (of random strings with p in bins up to the last)
+    limits = limits.withColumn("random", up_to(F.lit(SURE)) / share(F.lit(SURE)))
+    fine = F.filter("bins", lambda b: up_to(b["bin"]) - F.col("random") * share(b["bin"]) <= level * up_to(b["bin"]))
+    limits = limits.select("g", F.greatest(F.array_max(F.transform(fine, lambda b: b["bin"])), F.lit(SURE)).alias("last"))
+    limits = limits.agg(F.map_from_entries(F.collect_list(F.struct("g", "last"))).alias("__limits"))
+    stays = lambda x: F.coalesce(place(x["t"]["p"]) <= F.col("__limits")[group(x["t"]["n"])], F.lit(True))
     kept = F.transform(F.filter("tested", stays), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), x["s"].alias("s")))
     return rows.crossJoin(F.broadcast(limits)).select(id_col, *[k for k, *_ in FORMATS], union(kept).alias("random"))
 

@@ -406,3 +406,22 @@ def test_nearest_takes_repeated_queries_with_other_vectors(spark):
     asked = spark.createDataFrame([(9, [1.0, 0.0]), (9, [0.0, 1.0])], "vec_id bigint, embedding array<double>")
     got = {r.vec_id: r.score for r in ann.nearest(df, asked, k=3).collect()}
     assert got[1] == got[2] == 1.0 and len(got) == 3
+
+
+def test_secrets_reported_are_seldom_false(spark):
+    """Structured strings far outnumber random ones; hardly any is reported, and most random ones are."""
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    real = ["".join(rng.choice(letters) for _ in range(24)) for _ in range(200)]
+    words = ["item", "page", "View", "Model", "data", "Index", "file", "Name", "user", "Test"]
+    false = ["".join(rng.choice(words) for _ in range(6))[:22] + f"{rng.randrange(100):02}" for _ in range(2000)]
+    rows = [(i, x) for i, x in enumerate(real + false)]
+    got = {r.doc_id for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect() if r.random}
+    wrong = len([i for i in got if i >= 200])
+    assert len(got) - wrong >= 170 and wrong <= 0.15 * len(got)
+
+
+def test_secrets_in_a_long_text_of_many_matches(spark):
+    text = "token=abcdefghijkl012345 0123456789abcdef0123 " * 3000
+    r = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert [len(r[k]) for k in ("assign", "access", "hex")] == [3000, 0, 3000]
