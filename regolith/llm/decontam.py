@@ -1,4 +1,9 @@
-"""Benchmark decontamination with a positional inverted index over the documents."""
+"""Benchmark decontamination with a stored positional inverted index over the documents.
+
+The index has a row for each word and block of documents: the positions of the word in the block. It is written once, dealt by
+word, and holds all words, so it serves any benchmark. A benchmark's windows start from their rarest word: its list meets the
+next rarest one, shifted by their distance, by joins on the index, and what is left is compared with the document's own words.
+"""
 
 from __future__ import annotations
 
@@ -11,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regolith.llm import text as tx
+from regolith.session import stage
 
-#: Benchmark words that one pass over the documents looks for; a larger benchmark takes more passes.
-BLOCK_WORDS = 2_000_000
+#: Bytes of text in a block of the index; a longer document is a block of its own.
+BLOCK = 16 * tx.SLICE
 
 
 def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -23,221 +29,217 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return tx.word_hashes(data, starts, ends), first
 
 
-@dataclass
-class Phrases:
-    """The windows of a block of benchmark items."""
-
-    items: list  # item ids
-    terms: np.ndarray  # sorted distinct word hashes
-    window: np.ndarray  # of each phrase, the places of its terms in ``terms``, padded with -1
-    item: np.ndarray  # of each phrase, the index of its item
-    size: np.ndarray  # of each phrase, the number of its words
-
-    @classmethod
-    def of(cls, items: list, texts: list[str], length: int) -> Phrases:
-        hashes, first = hashed_words(*tx.column(pa.array(texts, pa.string())))
-        terms, place = np.unique(hashes, return_inverse=True)
-        rows, owner, size = [], [], []
-        for k, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
-            for s in range(a, max(b - length, a) + 1 if b > a else a):
-                words = place[s : min(s + length, b)]
-                rows.append(np.pad(words, (0, length - len(words)), constant_values=-1))
-                owner.append(k)
-                size.append(len(words))
-        return cls(items, terms, np.array(rows, np.int64).reshape(len(rows), length), np.array(owner, np.int64), np.array(size, np.int64))
-
-
-class PostingIndex:
-    """Positions of the benchmark's terms in a shard of documents, as one sorted array of (term, position) keys.
-
-    Words of other texts can never take part in a match, so their postings are not stored. Positions number the shard's
-    words; those of one document are consecutive.
-    """
+def words_of(text: str) -> list[bytes]:
+    data, offsets = tx.column(pa.array([text], pa.string()))
+    data = tx.LOWER[data[offsets[0] : offsets[1]]]
+    starts, ends, _ = tx.words(data, np.array([0, len(data)]), tx.NON_WORDS)
+    return [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
-    def __init__(self, hashes: np.ndarray, first: np.ndarray, terms: np.ndarray):
-        place = np.searchsorted(terms, hashes)
-        place[place == len(terms)] = 0
-        known = np.flatnonzero(terms[place] == hashes) if len(terms) else np.zeros(0, np.int64)
-        self.first = first
-        term = place[known]
-        order = np.argsort(term, kind="stable")
-        self.position = known[order]
-        self.bounds = np.searchsorted(term[order], np.arange(len(terms) + 1))
-        self.keys = term[order].astype(np.int64) << 40 | self.position
-        self.counts = np.diff(self.bounds)
-
-    def postings(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index into ``terms``, position) of all postings of the terms."""
-        which, at = tx.repeat_ranges(self.bounds[terms], self.counts[terms])
-        return which, self.position[at]
-
-    def has(self, term: np.ndarray, position: np.ndarray) -> np.ndarray:
-        """Whether each position holds the term."""
-        key = term.astype(np.int64) << 40 | np.maximum(position, 0)
-        at = np.searchsorted(self.keys, key)
-        at[at == len(self.keys)] = 0
-        return (self.keys[at] == key) & (position >= 0) if len(self.keys) else np.zeros(len(key), bool)
-
-    def document(self, position: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.first, position, "right") - 1
-
-    def phrases(self, what: Phrases) -> tuple[np.ndarray, np.ndarray]:
-        """(phrase, position of its first word) of every exact occurrence.
-
-        Each phrase starts with the postings of its rarest term and meets the offset-adjusted lists of the others, from
-        the next rarest on; what is left after the last is exact.
-        """
-        window, size = what.window, what.size
-        count = np.where(window >= 0, self.counts[np.maximum(window, 0)], np.iinfo(np.int64).max) if len(what.terms) else window
-        able = np.flatnonzero((count > 0).all(axis=1)) if len(window) else np.zeros(0, np.int64)
-        order = np.argsort(count[able], axis=1, kind="stable")
-        rare = window[able, order[:, 0]] if len(able) else np.zeros(0, np.int64)
-        which, position = self.postings(rare)
-        start = position - order[which, 0] if len(which) else position
-        for k in range(1, window.shape[1] if len(window) else 0):
-            if not len(which):
-                break
-            off = order[which, k]
-            term = window[able[which], off]
-            fits = (term < 0) | self.has(np.maximum(term, 0), start + off)
-            which, start = which[fits], start[fits]
-        phrase = able[which]
-        inside = (start >= 0) & (self.document(np.maximum(start, 0)) == self.document(np.maximum(start, 0) + size[phrase] - 1))
-        return phrase[inside], start[inside]
-
-    def near(self, what: Phrases, slop: int, missing: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(phrase, position, terms found) where all but ``missing`` terms lie within ``slop`` words of their places.
-
-        One of any missing + 1 terms must be there, so the postings of the missing + 1 rarest give all places to look at.
-        """
-        window, size = what.window, what.size
-        if not len(window) or not len(self.keys):
-            return (np.zeros(0, np.int64),) * 3
-        count = np.where(window >= 0, self.counts[np.maximum(window, 0)], np.iinfo(np.int64).max)
-        order = np.argsort(count, axis=1, kind="stable")
-        found = []
-        for k in range(min(missing + 1, window.shape[1])):
-            able = np.flatnonzero(size > k)
-            off = order[able, k]
-            which, position = self.postings(window[able, off])
-            for d in range(-slop, slop + 1):
-                found.append(np.stack([able[which], position - off[which] + d]))
-        pair = np.unique(np.concatenate(found, axis=1), axis=1)
-        pair = pair[:, (pair[1] >= 0) & (pair[1] < self.first[-1])]
-        phrase, start = pair
-        doc = self.document(start)
-        total = np.zeros(len(phrase), np.int64)
-        for off in range(window.shape[1]):
-            term = window[phrase, off]
-            hit = np.zeros(len(phrase), bool)
-            for d in range(-slop, slop + 1):
-                at = start + off + d
-                hit |= (term >= 0) & self.has(np.maximum(term, 0), at) & (self.document(np.maximum(at, 0)) == doc)
-            total += hit
-        enough = total >= size[phrase] - missing
-        return phrase[enough], start[enough], total[enough]
-
-
-def blocks(benchmark: DataFrame, length: int, item_col: str, text_col: str, most_words: int = BLOCK_WORDS):
-    """The benchmark's phrases in blocks of bounded size, one block on the driver at a time. Null items are passed over."""
-    rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text")).filter("item IS NOT NULL AND text IS NOT NULL")
-    items, texts, words = [], [], 0
-    for r in rows.toLocalIterator():
-        items.append(r["item"])
-        texts.append(r["text"])
-        words += len(r["text"]) // 2 + 1
-        if words >= most_words:
-            yield Phrases.of(items, texts, length)
-            items, texts, words = [], [], 0
-    if items:
-        yield Phrases.of(items, texts, length)
+
+@dataclass
+class Index:
+    """``postings`` (term, block, n, positions: little-endian 32-bit numbers of the block's words) and ``bounds`` (block, rows,
+    first: the documents of a block and the numbers of their first words, with the number of all words last)."""
+
+    postings: DataFrame
+    bounds: DataFrame
+
+
+def build_index(docs: DataFrame, row: str, text_col: str) -> Index:
+    """The index of ``docs``, whose ``row`` numbers are distinct; written to the shared folder, sorted by word in parts by word."""
+
+    def run(batches):
+        for batch in batches:
+            rows = batch.column(0)
+            for i, j, data, offsets in tx.parts(batch.column(1), BLOCK):
+                hashes, first = hashed_words(data, offsets)
+                order = np.argsort(hashes, kind="stable")
+                sorted_terms = hashes[order]
+                head = np.flatnonzero(np.concatenate([[True], sorted_terms[1:] != sorted_terms[:-1]])) if len(order) else np.zeros(0, np.int64)
+                cuts = np.append(head, len(order))
+                block = rows[i].as_py()
+                m = len(head)
+                for low in range(0, m, 50_000):
+                    high = min(m, low + 50_000)
+                    at = (cuts[low : high + 1] - cuts[low]).astype(np.int32) * 4
+                    lists = order[cuts[low] : cuts[high]].astype("<u4")
+                    positions = pa.Array.from_buffers(pa.binary(), high - low, [None, pa.py_buffer(at), pa.py_buffer(lists)])
+                    none = pa.nulls(high - low, pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(sorted_terms[head[low:high]].view(np.int64)), pa.array(np.full(high - low, block)), pa.array(np.diff(cuts[low : high + 1])), positions, none, none], names)
+                last = [pa.array([x], k) for x, k in zip((None, block, 0, None, rows.slice(i, j - i).to_pylist(), first.tolist()), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(last, names)
+
+    names = ["term", "block", "n", "positions", "rows", "first"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    made = docs.select(F.col(row).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "term bigint, block bigint, n bigint, positions binary, rows array<bigint>, first array<bigint>")
+    place = F.coalesce("term", F.xxhash64("block"))
+    index = stage(made.withColumn("place", place).repartition("place").sortWithinPartitions("place").drop("place"), "index")
+    return Index(index.filter("term IS NOT NULL").select("term", "block", "n", "positions"), index.filter("rows IS NOT NULL").select("block", "rows", "first"))
+
+
+def benchmark_windows(benchmark: DataFrame, length: int, item_col: str, text_col: str) -> DataFrame:
+    """(wid, item, words, terms) of every window of every item, staged; null items are passed over."""
+
+    def run(batches):
+        for batch in batches:
+            items, words, terms = [], [], []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = words_of(text)
+                hashes, _ = hashed_words(*tx.column(pa.array([text], pa.string())))
+                for s in range(max(len(own) - length, 0) + 1 if own else 0):
+                    items.append(item)
+                    words.append(b" ".join(own[s : s + length]))
+                    terms.append(hashes[s : s + length].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(words, pa.binary()), pa.array(terms, pa.list_(pa.int64()))], ["item", "words", "terms"])
+
+    rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).filter("item IS NOT NULL AND text IS NOT NULL")
+    made = rows.mapInArrow(run, "item string, words binary, terms array<bigint>")
+    return stage(made.select(F.monotonically_increasing_id().alias("wid"), "item", "words", "terms"), "windows")
+
+
+def _ranked(index: Index, windows: DataFrame) -> DataFrame:
+    """(wid, size, ends): each window's words as (n, off, term), the rarest in the documents first."""
+    each = windows.select("wid", F.posexplode("terms").alias("off", "term"))
+    often = index.postings.select("term", "n").join(each.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n"))
+    known = each.join(stage(often, "frequencies"), "term", "left").select("wid", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "term").alias("end"))
+    return stage(known.groupBy("wid").agg(F.count(F.lit(1)).alias("size"), F.array_sort(F.collect_list("end")).alias("ends")), "ranked")
+
+
+def _documents(index: Index, found: DataFrame) -> DataFrame:
+    """(row, wid, start, kind) of places (wid, block, start, size, kind) that lie in one document; start counts its words."""
+
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        none = np.zeros(0, np.int64)
+        if not right.num_rows or not left.num_rows:
+            return pa.table({"row": pa.array(none), "wid": pa.array(none), "start": pa.array(none), "kind": pa.array([], pa.string())})
+        rows, first = np.array(right.column("rows")[0].as_py(), np.int64), np.array(right.column("first")[0].as_py(), np.int64)
+        start, size = left.column("start").to_numpy(), left.column("size").to_numpy()
+        doc = np.searchsorted(first, start, "right") - 1
+        inside = (start >= 0) & (start < first[-1])
+        doc = np.clip(doc, 0, len(rows) - 1)
+        exact = np.array(left.column("kind").to_pylist()) == "phrase"
+        inside &= ~exact | (start + size <= first[doc + 1])
+        keep = pa.array(np.flatnonzero(inside))
+        return pa.table({"row": pa.array(rows[doc[inside]]), "wid": left.column("wid").take(keep), "start": pa.array((start - first[doc])[inside]), "kind": left.column("kind").take(keep)})
+
+    return found.groupBy("block").cogroup(index.bounds.groupBy("block")).applyInArrow(run, "row bigint, wid bigint, start bigint, kind string")
+
+
+def _exact_places(index: Index, ranked: DataFrame) -> DataFrame:
+    """Places where a window's two rarest words stand at their distance; of a single word, where it stands."""
+    able = ranked.filter("ends[0].n > 0").select("wid", "size", *[F.get("ends", F.lit(k))[c].alias(f"{c}{k}") for k in (0, 1) for c in ("off", "term")])
+    lists = index.postings.select("term", "block", "positions")
+    one = able.join(lists.select(F.col("term").alias("term0"), "block", F.col("positions").alias("p0")), "term0")
+    two = one.filter("size > 1").join(lists.select(F.col("term").alias("term1"), "block", F.col("positions").alias("p1")), ["term1", "block"])
+    columns = ["wid", "size", "block", "off0", "p0", "off1", "p1"]
+    both = two.select(*columns).unionAll(one.filter("size = 1").withColumn("p1", F.lit(None).cast("binary")).select(*columns))
+
+    def meet(batches):
+        for batch in batches:
+            wid, size, block, off0, p0, off1, p1 = (batch.column(k).to_pylist() for k in range(7))
+            starts = []
+            for a, x, b, y in zip(off0, p0, off1, p1, strict=True):
+                s = np.frombuffer(x, "<u4").astype(np.int64) - a
+                starts.append(s if y is None else np.intersect1d(s, np.frombuffer(y, "<u4").astype(np.int64) - b, assume_unique=True))
+            n = np.array([len(s) for s in starts], np.int64)
+            repeat = lambda v: pa.array(np.repeat(np.array(v, np.int64), n))
+            yield pa.RecordBatch.from_arrays([repeat(wid), repeat(size), repeat(block), pa.array(np.concatenate(starts) if starts else np.zeros(0, np.int64))], ["wid", "size", "block", "start"])
+
+    return both.mapInArrow(meet, "wid bigint, size bigint, block bigint, start bigint").withColumn("kind", F.lit("phrase"))
+
+
+def _near_places(index: Index, ranked: DataFrame, slop: int, missing: int) -> DataFrame:
+    """Places within ``slop`` of where one of the missing + 1 rarest words puts the window: one of them must be there."""
+    ends = ranked.select("wid", "size", F.explode(F.slice("ends", 1, missing + 1)).alias("end")).select("wid", "size", "end.off", "end.term")
+    lists = ends.join(index.postings.select("term", "block", "positions"), "term")
+
+    def spread(batches):
+        for batch in batches:
+            wid, size, off, block, p = (batch.column(k).to_pylist() for k in range(5))
+            starts = [np.unique(np.add.outer(np.frombuffer(x, "<u4").astype(np.int64) - a, np.arange(-slop, slop + 1))) for a, x in zip(off, p, strict=True)]
+            n = np.array([len(s) for s in starts], np.int64)
+            repeat = lambda v: pa.array(np.repeat(np.array(v, np.int64), n))
+            yield pa.RecordBatch.from_arrays([repeat(wid), repeat(size), repeat(block), pa.array(np.concatenate(starts) if starts else np.zeros(0, np.int64))], ["wid", "size", "block", "start"])
+
+    made = lists.select("wid", "size", "off", "block", "positions").mapInArrow(spread, "wid bigint, size bigint, block bigint, start bigint")
+    return made.distinct().withColumn("kind", F.lit("proximity"))
+
+
+def _candidates(keyed: DataFrame, benchmark: DataFrame, length: int, text_col: str, item_col: str, slop: int | None = None, missing: int = 0) -> DataFrame:
+    """(__row, __found): for each document with any, the places to compare, as array<struct<start, kind, item, words>>, staged."""
+    index = build_index(keyed, "__row", text_col)
+    windows = benchmark_windows(benchmark, length, item_col, text_col)
+    ranked = _ranked(index, windows)
+    places = _exact_places(index, ranked)
+    if slop is not None:
+        places = places.unionByName(_near_places(index, ranked, slop, missing))
+    found = _documents(index, places).join(windows.select("wid", "item", "words"), "wid")
+    return stage(found.groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("start", "kind", "item", "words")).alias("__found")), "places")
 
 
 def match_phrases(docs: DataFrame, benchmark: DataFrame, length: int = 13, slop: int | None = None, missing: int = 2, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """(id_col, item_col, start, length, kind, n_terms) of each occurrence of a benchmark window in a document.
 
     kind is ``phrase`` for exact occurrences and, if ``slop`` is given, ``proximity`` for places where all but ``missing``
-    words of a window of ``length`` lie within ``slop`` words of where the phrase has them. start counts words.
+    words of a window of ``length`` lie within ``slop`` words of where the phrase has them. start counts words. Null texts
+    and items match nothing; repeated rows match each.
     """
-    out = None
-    doc_kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType
-    arrow_item = pa.int64() if isinstance(item_kind, (T.LongType, T.IntegerType)) else pa.string()
-    for what in blocks(benchmark, length, item_col, text_col):
-
-        def run(batches, what=what):
-            items = pa.array(what.items, arrow_item)
-            for batch in batches:
-                for i, j, data, offsets in tx.parts(batch.column(1), 16 * tx.SLICE):
-                    index = PostingIndex(*hashed_words(data, offsets), what.terms)
-                    found = [(*index.phrases(what), None)]
-                    if slop is not None:
-                        found.append(index.near(what, slop, missing))
-                    for phrase, start, terms in found:
-                        doc = index.document(start)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                batch.column(0).slice(i, j - i).take(pa.array(doc)), items.take(pa.array(what.item[phrase])), pa.array(start - index.first[doc]), pa.array(what.size[phrase]),
-                                pa.array(["phrase" if terms is None else "proximity"] * len(doc), pa.string()), pa.array(what.size[phrase] if terms is None else terms),
-                            ],
-                            [id_col, item_col, "start", "length", "kind", "n_terms"],
-                        )
-
-        one = docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"`{id_col}` {doc_kind}, `{item_col}` {'bigint' if arrow_item == pa.int64() else 'string'}, start bigint, length bigint, kind string, n_terms bigint")
-        out = one if out is None else out.union(one)
-    if out is None:
-        out = docs.sparkSession.createDataFrame([], f"`{id_col}` {doc_kind}, `{item_col}` {item_kind.simpleString()}, start bigint, length bigint, kind string, n_terms bigint")
-    return out
+    keyed = stage(docs.select(id_col, text_col, F.monotonically_increasing_id().alias("__row")), "documents")
+    found = keyed.join(_candidates(keyed, benchmark, length, text_col, item_col, slop, missing), "__row")
+    doc_kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            out: dict[str, list] = {k: [] for k in ("doc", "item", "start", "length", "kind", "n_terms")}
+            for doc, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = words_of(text)
+                for p in places:
+                    want, s = p["words"].split(b" "), p["start"]
+                    if p["kind"] == "phrase":
+                        n = len(want) if own[s : s + len(want)] == want else 0
+                    else:
+                        n = sum(w in own[max(0, s + k - slop) : max(0, s + k + slop + 1)] for k, w in enumerate(want))
+                    if n >= len(want) - (0 if p["kind"] == "phrase" else missing) and n:
+                        for k, v in zip(out, (doc, p["item"], s, len(want), p["kind"], n), strict=True):
+                            out[k].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), (batch.column(0).type, pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()), strict=True)], list(out))
+
+    made = found.select(id_col, text_col, "__found").mapInArrow(run, f"doc {doc_kind}, item string, start bigint, length bigint, kind string, n_terms bigint")
+    return made.select(F.col("doc").alias(id_col), F.col("item").cast(item_kind).alias(item_col), "start", "length", "kind", "n_terms")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 13, per_hit: int = 20, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """``docs`` with n_words, n_hit (long), items (array of the item ids with occurring windows, sorted as strings), contaminated.
 
     A word inside any occurrence of a window is hit; a document is contaminated if n_hit > 0 and per_hit * n_hit >= n_words.
-    One pass over the rows for each block of the benchmark, without a shuffle: each task indexes its own documents.
-    Null and empty texts have no words; repeated rows are judged each; with an empty benchmark nothing is hit; columns of
-    these names are replaced; null items are passed over.
+    Documents are staged with row numbers, indexed, and compared with the places that the index finds; nothing of the
+    documents or the benchmark goes through the driver. Null and empty texts have no words; repeated rows are judged each;
+    with an empty benchmark nothing is hit; columns of these names are replaced; null items are passed over.
     """
     added = ["n_words", "n_hit", "items", "contaminated"]
-    docs = docs.drop(*added, "__hits")
-    out = docs.withColumn("items", F.array().cast("array<string>")).withColumn("__hits", F.array().cast("array<struct<a:bigint,b:bigint>>")).withColumn("n_words", F.lit(0).cast("long"))
-    place = docs.columns.index(text_col)
-    none = Phrases([], np.zeros(0, np.uint64), np.zeros((0, length), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    schema = T.StructType([*docs.schema.fields, *out.schema.fields[len(docs.columns) :]])
-    for what in [*blocks(benchmark, length, item_col, text_col)] or [none]:
-
-        def run(batches, what=what):
-            names = [str(x) for x in what.items]
-            for batch in batches:
-                n = len(batch)
-                had_items, had_hits = batch.column(n_cols).to_pylist(), batch.column(n_cols + 1).to_pylist()
-                total = np.zeros(n, np.int64)
-                for i, j, data, offsets in tx.parts(batch.column(place), 16 * tx.SLICE):
-                    index = PostingIndex(*hashed_words(data, offsets), what.terms)
-                    total[i:j] = np.diff(index.first)
-                    phrase, start = index.phrases(what)
-                    doc = index.document(start)
-                    for d, p, s in zip(doc.tolist(), phrase.tolist(), (start - index.first[doc]).tolist(), strict=True):
-                        had_items[i + d].append(names[what.item[p]])
-                        had_hits[i + d].append({"a": s, "b": s + int(what.size[p])})
-                merged = [sorted(set(x)) for x in had_items]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:n_cols], pa.array(merged, pa.list_(pa.string())), pa.array([_merge(x) for x in had_hits], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array(total)],
-                    [*batch.schema.names[:n_cols], "items", "__hits", "n_words"],
-                )
-
-        n_cols = len(docs.columns)
-        out = out.mapInArrow(run, schema)
-    hit = F.aggregate("__hits", F.lit(0).cast("long"), lambda t, x: t + x["b"] - x["a"])
-    out = out.withColumn("n_hit", hit).withColumn("contaminated", (F.col("n_hit") > 0) & (per_hit * F.col("n_hit") >= F.col("n_words")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *added)
-
-
-def _merge(spans: list[dict]) -> list[dict]:
-    """The union of the spans as disjoint ones."""
-    out: list[dict] = []
-    for x in sorted(spans, key=lambda x: x["a"]):
-        if out and x["a"] <= out[-1]["b"]:
-            out[-1]["b"] = max(out[-1]["b"], x["b"])
-        else:
-            out.append(dict(x))
-    return out
+    docs = docs.drop(*added, "__row", "__found", "__hit")
+    keyed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "documents")
+    joined = keyed.join(_candidates(keyed, benchmark, length, text_col, item_col), "__row", "left").select(*[F.col(f"`{c}`") for c in docs.columns], "__found")
+    place, n_cols = docs.columns.index(text_col), len(docs.columns)
+    schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType()))])
+
+    def run(batches):
+        for batch in batches:
+            found = batch.column(n_cols)
+            total, hits, items = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64), [[] for _ in range(len(batch))]
+            for i, j, data, offsets in tx.parts(batch.column(place)):
+                total[i:j] = np.diff(tx.words(tx.LOWER[data], offsets, tx.NON_WORDS)[2])
+            for r in np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                own = words_of(batch.column(place)[r].as_py())
+                covered, names = np.zeros(len(own) + 1, np.int64), set()
+                for p in found[r].as_py():
+                    want, s = p["words"].split(b" "), p["start"]
+                    if own[s : s + len(want)] == want:
+                        covered[s] += 1
+                        covered[s + len(want)] -= 1
+                        names.add(p["item"])
+                hits[r], items[r] = int((np.cumsum(covered) > 0).sum()), sorted(names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n_cols], pa.array(total), pa.array(hits), pa.array(items, pa.list_(pa.string()))], [*batch.schema.names[:n_cols], "n_words", "n_hit", "items"])
+
+    out = joined.mapInArrow(run, schema)
+    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (per_hit * F.col("n_hit") >= F.col("n_words"))).select(*[F.col(f"`{c}`") for c in docs.columns], *added)

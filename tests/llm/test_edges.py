@@ -425,3 +425,29 @@ def test_secrets_in_a_long_text_of_many_matches(spark):
     text = "token=abcdefghijkl012345 0123456789abcdef0123 " * 3000
     r = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
     assert [len(r[k]) for k in ("assign", "access", "hex")] == [3000, 0, 3000]
+
+
+def test_contamination_of_random_words_is_brute_force(spark):
+    """Few words, so that rare and frequent terms, repeats, short items and overlaps all come; also proximity."""
+    rng = random.Random(9)
+    text = lambda n: " ".join(rng.choice("ABCdef") for _ in range(n))
+    rows = [{"doc_id": i, "text": text(rng.randrange(0, 60))} for i in range(60)] + [{"doc_id": 60, "text": None}]
+    items = [{"item_id": i, "text": text(rng.choice([0, 1, 2, 4, 5, 6]))} for i in range(12)] + [{"item_id": 12, "text": "a zz b"}]
+    docs, bench = (spark.createDataFrame([tuple(r.values()) for r in x], f"{k} bigint, text string") for x, k in ((rows, "doc_id"), (items, "item_id")))
+    got = {r.doc_id: (r.n_words, r.n_hit, len(r["items"]), r.contaminated) for r in decontam.contamination(docs, bench, length=4).collect()}
+    want = brute.contamination(rows, items, length=4)
+    assert got == {k: (a, b, c, e) for k, (a, b, c, _, e) in want.items()}
+
+    near = {(r.doc_id, r.item_id, r.start, r.n_terms) for r in decontam.match_phrases(docs, bench, length=4, slop=1, missing=1).collect() if r.kind == "proximity"}
+    told = set()
+    for d in rows:
+        own = brute.lower(d["text"]).split()
+        for b in items:
+            words = brute.lower(b["text"]).split()
+            for i in range(max(len(words) - 4, 0) + 1 if words else 0):
+                w = words[i : i + 4]
+                for s in range(len(own)):
+                    n = sum(x in own[max(0, s + k - 1) : max(0, s + k + 2)] for k, x in enumerate(w))
+                    if n and n >= len(w) - 1:
+                        told.add((d["doc_id"], b["item_id"], s, n))
+    assert near == told
