@@ -58,11 +58,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write a table that several later steps read to the shared folder; Spark removes it when the application ends."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
