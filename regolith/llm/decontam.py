@@ -1,7 +1,7 @@
 """Benchmark decontamination with a stored positional inverted index over the documents.
 
-The index has a row for each word and block of documents: the positions of the word in the block. It is written once, dealt by
-word, and holds all words, so it serves any benchmark. A benchmark's windows start from their rarest word: its list meets the
+The index holds, for each word and block of documents, the positions of the word in the block. It is written once, dealt by
+word (in buckets, a row for each bucket and block), and holds all words, so it serves any benchmark. A benchmark's windows start from their rarest word: its list meets the
 next rarest one, shifted by their distance, by joins on the index, and what is left is compared with the document's own words.
 """
 
@@ -20,6 +20,8 @@ from regolith.session import stage
 
 #: Bytes of text in a block of the index; a longer document is a block of its own.
 BLOCK = 16 * tx.SLICE
+#: Words fall into 2**BUCKET_BITS buckets.
+BUCKET_BITS = 10
 
 
 def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -38,15 +40,45 @@ def words_of(text: str) -> list[bytes]:
 
 @dataclass
 class Index:
-    """``postings`` (term, block, n, positions: little-endian 32-bit numbers of the block's words) and ``bounds`` (block, rows,
-    first: the documents of a block and the numbers of their first words, with the number of all words last)."""
+    """``buckets`` (bucket, block, terms, counts, gaps): sorted words as 64-bit hashes, how often each is there, and the gaps
+    between its positions, all little-endian; ``bounds`` (block, rows, first): the documents of a block and the numbers of their
+    first words, with the number of all words last."""
 
-    postings: DataFrame
+    buckets: DataFrame
     bounds: DataFrame
 
+    def lists(self, terms: DataFrame, positions: bool = True) -> DataFrame:
+        """(term, block, n, positions: 32-bit numbers of the block's words, null if not asked for) of the distinct ``terms``."""
+        wanted = terms.select("term").distinct().groupBy(_bucket(F.col("term")).alias("bucket")).agg(F.sort_array(F.collect_list("term")).alias("wanted"))
+
+        def pick(batches):
+            for batch in batches:
+                term, at_block, n, found = [], [], [], []
+                for wanted, block, terms, counts, gaps in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    own, want = np.frombuffer(terms, "<u8"), np.array(wanted, np.int64).view(np.uint64)
+                    at = np.minimum(np.searchsorted(own, want), len(own) - 1)
+                    hit = own[at] == want
+                    count = np.frombuffer(counts, "<u4").astype(np.int64)
+                    term.append(want[hit].view(np.int64))
+                    n.append(count[at[hit]])
+                    at_block.append(np.full(int(hit.sum()), block))
+                    if positions:
+                        gap, ends = np.frombuffer(gaps, "<u4"), np.cumsum(count)
+                        found += [np.cumsum(gap[ends[k] - count[k] : ends[k]]).astype("<u4").tobytes() for k in at[hit].tolist()]
+                whole = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (term, at_block, n)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, whole), pa.array(found, pa.binary()) if positions else pa.nulls(len(whole[0]), pa.binary())], ["term", "block", "n", "positions"])
+
+        gaps = F.col("gaps") if positions else F.lit(None).cast("binary").alias("gaps")
+        return self.buckets.join(wanted, "bucket").select("wanted", "block", "terms", "counts", gaps).mapInArrow(pick, "term bigint, block bigint, n bigint, positions binary")
+
+
+def _bucket(term):
+    """The first bits of the hash."""
+    return F.shiftrightunsigned(term, 64 - BUCKET_BITS).cast("int")
+
 
 def build_index(docs: DataFrame, row: str, text_col: str) -> Index:
-    """The index of ``docs``, whose ``row`` numbers are distinct; written to the shared folder, sorted by word in parts by word."""
+    """The index of ``docs``, whose ``row`` numbers are distinct; written to the shared folder, dealt by bucket."""
 
     def run(batches):
         for batch in batches:
@@ -54,27 +86,30 @@ def build_index(docs: DataFrame, row: str, text_col: str) -> Index:
             for i, j, data, offsets in tx.parts(batch.column(1), BLOCK):
                 hashes, first = hashed_words(data, offsets)
                 order = np.argsort(hashes, kind="stable")
-                sorted_terms = hashes[order]
-                head = np.flatnonzero(np.concatenate([[True], sorted_terms[1:] != sorted_terms[:-1]])) if len(order) else np.zeros(0, np.int64)
-                cuts = np.append(head, len(order))
+                by_term = hashes[order]
+                new = np.ones(len(order), bool)
+                new[1:] = by_term[1:] != by_term[:-1]
+                gaps = np.where(new, order, np.diff(order, prepend=0)).astype("<u4")
+                head = np.flatnonzero(new)
+                counts = np.diff(np.append(head, len(order))).astype("<u4")
+                terms = by_term[head].astype("<u8")
+                bucket = (terms >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+                used, begin = np.unique(bucket, return_index=True)
+                cuts, words = np.append(begin, len(terms)), np.append(head, len(order))
+                parts = [
+                    (int(b), terms[x:y].tobytes(), counts[x:y].tobytes(), gaps[words[x] : words[y]].tobytes(), None, None)
+                    for b, x, y in zip(used.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+                ]
+                parts.append((None, None, None, None, rows.slice(i, j - i).to_pylist(), first.tolist()))
                 block = rows[i].as_py()
-                m = len(head)
-                for low in range(0, m, 50_000):
-                    high = min(m, low + 50_000)
-                    at = (cuts[low : high + 1] - cuts[low]).astype(np.int32) * 4
-                    lists = order[cuts[low] : cuts[high]].astype("<u4")
-                    positions = pa.Array.from_buffers(pa.binary(), high - low, [None, pa.py_buffer(at), pa.py_buffer(lists)])
-                    none = pa.nulls(high - low, pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(sorted_terms[head[low:high]].view(np.int64)), pa.array(np.full(high - low, block)), pa.array(np.diff(cuts[low : high + 1])), positions, none, none], names)
-                last = [pa.array([x], k) for x, k in zip((None, block, 0, None, rows.slice(i, j - i).to_pylist(), first.tolist()), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(last, names)
-
-    names = ["term", "block", "n", "positions", "rows", "first"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    made = docs.select(F.col(row).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "term bigint, block bigint, n bigint, positions binary, rows array<bigint>, first array<bigint>")
-    place = F.coalesce("term", F.xxhash64("block"))
-    index = stage(made.withColumn("place", place).repartition("place").sortWithinPartitions("place").drop("place"), "index")
-    return Index(index.filter("term IS NOT NULL").select("term", "block", "n", "positions"), index.filter("rows IS NOT NULL").select("block", "rows", "first"))
+                columns = [pa.array([p[k] for p in parts], t) for k, t in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(parts), pa.int64()), *columns], ["block", "bucket", "terms", "counts", "gaps", "rows", "first"])
+
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    made = docs.select(F.col(row).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "block bigint, bucket int, terms binary, counts binary, gaps binary, rows array<bigint>, first array<bigint>")
+    place = F.coalesce(F.col("bucket").cast("long"), F.xxhash64("block"))
+    index = stage(made.withColumn("place", place).repartition("place").drop("place"), "index", "zstd")
+    return Index(index.filter("bucket IS NOT NULL").select("bucket", "block", "terms", "counts", "gaps"), index.filter("bucket IS NULL").select("block", "rows", "first"))
 
 
 def benchmark_windows(benchmark: DataFrame, length: int, item_col: str, text_col: str) -> DataFrame:
@@ -100,7 +135,7 @@ def benchmark_windows(benchmark: DataFrame, length: int, item_col: str, text_col
 def _ranked(index: Index, windows: DataFrame) -> DataFrame:
     """(wid, size, ends): each window's words as (n, off, term), the rarest in the documents first."""
     each = windows.select("wid", F.posexplode("terms").alias("off", "term"))
-    often = index.postings.select("term", "n").join(each.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n"))
+    often = index.lists(each, positions=False).groupBy("term").agg(F.sum("n").alias("n"))
     known = each.join(stage(often, "frequencies"), "term", "left").select("wid", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "term").alias("end"))
     return stage(known.groupBy("wid").agg(F.count(F.lit(1)).alias("size"), F.array_sort(F.collect_list("end")).alias("ends")), "ranked")
 
@@ -128,9 +163,9 @@ def _documents(index: Index, found: DataFrame) -> DataFrame:
 def _exact_places(index: Index, ranked: DataFrame) -> DataFrame:
     """Places where a window's two rarest words stand at their distance; of a single word, where it stands."""
     able = ranked.filter("ends[0].n > 0").select("wid", "size", *[F.get("ends", F.lit(k))[c].alias(f"{c}{k}") for k in (0, 1) for c in ("off", "term")])
-    lists = index.postings.select("term", "block", "positions")
-    one = able.join(lists.select(F.col("term").alias("term0"), "block", F.col("positions").alias("p0")), "term0")
-    two = one.filter("size > 1").join(lists.select(F.col("term").alias("term1"), "block", F.col("positions").alias("p1")), ["term1", "block"])
+    lists = lambda k: index.lists(able.select(F.col(f"term{k}").alias("term")).filter("term IS NOT NULL")).select(F.col("term").alias(f"term{k}"), "block", F.col("positions").alias(f"p{k}"))
+    one = able.join(lists(0), "term0")
+    two = one.filter("size > 1").join(lists(1), ["term1", "block"])
     columns = ["wid", "size", "block", "off0", "p0", "off1", "p1"]
     both = two.select(*columns).unionAll(one.filter("size = 1").withColumn("p1", F.lit(None).cast("binary")).select(*columns))
 
@@ -151,7 +186,7 @@ def _exact_places(index: Index, ranked: DataFrame) -> DataFrame:
 def _near_places(index: Index, ranked: DataFrame, slop: int, missing: int) -> DataFrame:
     """Places within ``slop`` of where one of the missing + 1 rarest words puts the window: one of them must be there."""
     ends = ranked.select("wid", "size", F.explode(F.slice("ends", 1, missing + 1)).alias("end")).select("wid", "size", "end.off", "end.term")
-    lists = ends.join(index.postings.select("term", "block", "positions"), "term")
+    lists = ends.join(index.lists(ends), "term")
 
     def spread(batches):
         for batch in batches:
@@ -218,7 +253,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 13, per_h
     """
     added = ["n_words", "n_hit", "items", "contaminated"]
     docs = docs.drop(*added, "__row", "__found", "__hit")
-    keyed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "documents")
+    keyed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "documents", "zstd")
     joined = keyed.join(_candidates(keyed, benchmark, length, text_col, item_col), "__row", "left").select(*[F.col(f"`{c}`") for c in docs.columns], "__found")
     place, n_cols = docs.columns.index(text_col), len(docs.columns)
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType()))])
