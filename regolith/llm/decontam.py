@@ -254,7 +254,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 13, per_h
     added = ["n_words", "n_hit", "items", "contaminated"]
     docs = docs.drop(*added, "__row", "__found", "__hit")
     keyed = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "documents", "zstd")
-    joined = keyed.join(_candidates(keyed, benchmark, length, text_col, item_col), "__row", "left").select(*[F.col(f"`{c}`") for c in docs.columns], "__found")
+    # the places grow with the documents: one plan at every size, without a broadcast that would do for small tables only
+    places = _candidates(keyed, benchmark, length, text_col, item_col).hint("merge")
+    joined = keyed.join(places, "__row", "left").select(*[F.col(f"`{c}`") for c in docs.columns], "__found")
     place, n_cols = docs.columns.index(text_col), len(docs.columns)
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType()))])
 
