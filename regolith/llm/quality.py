@@ -165,10 +165,12 @@ def fit(features: np.ndarray, length: np.ndarray, first: np.ndarray, label: np.n
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = MAX_DOCS, max_lines: int = MAX_LINES) -> LineCrf | None:
     """Fit on at most ``max_docs`` labelled documents, spread by a hash of their ids, so on bounded data whatever
-    the input's size; documents of more than ``max_lines`` lines are left to scoring. Null labels and ids are passed over.
+    the input's size; documents of more than ``max_lines`` lines are left to scoring. Null labels and ids are passed over, and so are
+    ids that are labelled both good and bad.
     Without documents of both labels there is no model (None), and every score is 0.5.
     """
-    known = labels.select(F.col(id_col).alias("doc"), F.col(label_col).cast("int").alias("label")).filter("doc IS NOT NULL AND label IN (0, 1)").dropDuplicates(["doc"])
+    known = labels.select(F.col(id_col).alias("doc"), F.col(label_col).cast("int").alias("label")).filter("doc IS NOT NULL AND label IN (0, 1)")
+    known = known.groupBy("doc").agg(F.min("label").alias("label"), F.max("label").alias("most")).filter("label = most").drop("most")
     known = F.broadcast(some(known, max_docs, "doc"))  # max_docs rows at most, so no text is shuffled
     text = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     chosen = text.join(known, "doc").filter(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) < max_lines).limit(max_docs)

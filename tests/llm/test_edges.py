@@ -451,3 +451,14 @@ def test_contamination_of_random_words_is_brute_force(spark):
                     if n and n >= len(w) - 1:
                         told.add((d["doc_id"], b["item_id"], s, n))
     assert near == told
+
+
+def test_quality_with_null_and_conflicting_labels_and_long_texts(spark):
+    good, bad = "A plain line of words, as people write them.\n" * 8, "$$$ !!! ### 1234\n@@@ %%% ^^^\n" * 8
+    rows = [(i, good if i % 2 else bad) for i in range(60)] + [(60, good * 4000), (61, None), (None, good)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 0), (2, None), (None, 1), (60, 1)], "doc_id bigint, quality int")
+    model = quality.train(docs, labels)
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    assert len(got) == 63 and all(0 <= x <= 1 for x in got.values())
+    assert all((got[i] > 0.5) == bool(i % 2) for i in range(40, 60)) and got[60] > 0.5

@@ -47,6 +47,8 @@ def test_quality(spark, docs):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got.values())
     known = [(got[k].predicted, y) for k, y in labels.items() if k in got]
     assert np.mean([p == y for p, y in known]) > 0.9
+    unseen = [(got[k].predicted, y) for k, y in labels.items() if k in got and got[k].held_out]
+    assert len(unseen) > 5 and np.mean([p == y for p, y in unseen]) > 0.9
 
 
 def test_secrets(spark, docs):
