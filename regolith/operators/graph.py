@@ -12,34 +12,43 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     """(id, component) for every vertex of ``edges``; component is the smallest id reachable.
 
     Alternating large-star and small-star: every round is two grouped minima and two joins, so no neighbourhood is
-    ever gathered in one row, and a hub's neighbours stay rows that a skewed join may split. Null endpoints and
-    self-loops link nothing; a vertex that has only self-loops is its own component; no edges give no rows.
+    ever gathered in one row, and a hub's neighbours stay rows that a skewed join may split. Rounds end at a forest of
+    stars, which both steps leave as it is. Null endpoints and self-loops link nothing; a vertex that has only self-loops
+    is its own component; no edges give no rows.
     """
     clean = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).filter("u IS NOT NULL AND v IS NOT NULL")
-    vertices = clean.select("u").union(clean.select("v")).distinct()
+    vertices = clean.select(F.explode(F.array("u", "v")).alias("u")).distinct()
     now = cut(clean.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    seen = None
     for _ in range(max_rounds):
-        now = cut(_small_star(_large_star(now)))
-        state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first()
-        if state == seen:
+        if _are_stars(now):
             break
-        seen = state
+        now = cut(_small_star(_large_star(now)))
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return vertices.join(now, "u", "left").select(F.col("u").alias("id"), F.coalesce("v", "u").alias("component"))
 
 
+def _both_ways(u: str, v: str, x: str, y: str):
+    """Two rows (u, v) and (x, y) for each row."""
+    return F.inline(F.array(F.struct(F.col(u).alias("u"), F.col(v).alias("v")), F.struct(F.col(x).alias("u"), F.col(y).alias("v"))))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every u has one edge only and is no v."""
+    ends = edges.select(F.inline(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("out")), F.struct(F.col("v").alias("id"), F.lit(0).alias("out")))))
+    odd = ends.groupBy("id").agg(F.sum("out").alias("outs"), F.min("out").alias("least")).filter("outs > 1 OR (outs = 1 AND least = 0)")
+    return odd.agg(F.count(F.lit(1))).first()[0] == 0
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.select(_both_ways("u", "v", "v", "u"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    return edges.join(least, "u").select(_both_ways("v", "m", "u", "m")).filter("u <> v").distinct()
 
 
 def component_ranks(components: DataFrame) -> DataFrame:
