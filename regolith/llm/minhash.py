@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from regolith.llm import text as tx
 from regolith.operators.graph import connected_components
-from regolith.session import cut, stage
+from regolith.session import stage
 
 #: Universal hash functions, in bands of ROWS. At a similarity of 0.85 a pair is missed with probability 4e-7, at 0.8 with 5e-5.
 HASHES, ROWS = 125, 5
@@ -158,25 +158,26 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     pairs = _pairs(members.filter(F.col("size") <= SMALL))
     weight = members.groupBy("doc").agg(F.sum("size").alias("weight"))
     state = members.filter(F.col("size") > SMALL).select("bucket", "doc")
-    links, small = None, SMALL
+    links, whole, small = None, None, SMALL
     while True:
         pivots = state.join(weight, "doc").groupBy("bucket").agg(F.max_by("doc", F.struct("weight", -F.col("doc"))).alias("pivot"))
-        spokes = state.join(pivots, "bucket").filter("doc <> pivot").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"), "pivot").distinct()
-        found = stage(verify(spokes.union(pairs.select("a", "b", F.lit(None).cast("long").alias("pivot"))), texts, size, percent), "verified")
+        spokes = state.join(pivots, "bucket").filter("doc <> pivot").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"), "pivot")
+        asked = spokes.union(pairs.select("a", "b", F.lit(None).cast("long").alias("pivot"))).distinct()
+        found = stage(verify(asked, texts, size, percent), "verified")
         fresh = found.filter("linked").select("a", "b")
         links = fresh if links is None else links.union(fresh)
+        whole = _merged(whole, fresh)
         spokes = found.filter("pivot IS NOT NULL")
         if spokes.isEmpty():
             break
-        members = stage(_unresolved(spokes, cut(connected_components(links, "a", "b")), percent), "members")
+        members = stage(_unresolved(spokes, whole, percent), "members")
         if members.isEmpty():
             break
         small *= GROWTH
         pairs = _pairs(members.filter(F.col("size") <= small), "component")
         state = members.filter(F.col("size") > small).select("bucket", "doc")
-    components = connected_components(links, "a", "b")
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
-    named = classes.join(components, F.col("rep") == components["id"], "left").drop("id").join(degree, F.col("rep") == degree["id"], "left")
+    named = classes.join(whole, F.col("rep") == whole["id"], "left").drop("id").join(degree, F.col("rep") == degree["id"], "left")
     named = named.select("key", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
     out = rows.join(named, "key", "left")
     return out.select("doc", "n", "key", F.coalesce("component", "doc").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
@@ -214,11 +215,25 @@ def first_rows(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
 
 
 def _pairs(members: DataFrame, apart: str | None = None) -> DataFrame:
-    """All pairs (a, b) inside small buckets, of different ``apart`` if given."""
+    """All pairs (a, b) inside small buckets, repeated where buckets share them, of different ``apart`` if given."""
     pairs = members.alias("x").join(members.alias("y"), "bucket").filter("x.doc < y.doc")
     if apart:
         pairs = pairs.filter(F.col(f"x.{apart}") != F.col(f"y.{apart}"))
-    return pairs.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
+    return pairs.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
+
+
+def _merged(whole: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(id, component) of all links so far: earlier components are single vertices to ``links``, so little is left of them."""
+    if whole is None:
+        return stage(connected_components(links, "a", "b"), "components")
+    name = whole.select(F.col("id").alias("a"), F.col("component").alias("ca")), whole.select(F.col("id").alias("b"), F.col("component").alias("cb"))
+    across = links.join(name[0], "a", "left").join(name[1], "b", "left").select(F.coalesce("ca", "a").alias("src"), F.coalesce("cb", "b").alias("dst"))
+    across = stage(across.filter("src <> dst").distinct(), "across")
+    if across.isEmpty():
+        return whole
+    moved = stage(connected_components(across), "moved")
+    known = whole.join(moved.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return stage(known.union(moved.join(whole, "id", "left_anti")), "components")
 
 
 def _compatible(percent: int):
