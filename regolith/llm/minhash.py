@@ -179,7 +179,8 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
     named = classes.join(whole, F.col("rep") == whole["id"], "left").drop("id").join(degree, F.col("rep") == degree["id"], "left")
     named = named.select("key", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
-    out = rows.join(named, "key", "left")
+    # one row for each class in a table of its own: Spark knows its size, and splits the many copies of a class in the join
+    out = rows.join(stage(named, "classes"), "key", "left")
     return out.select("doc", "n", "key", F.coalesce("component", "doc").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
 
 
@@ -194,7 +195,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     keyed = stage(keyed.withColumn("row", F.monotonically_increasing_id()), "rows")
     groups = stage(_groups(keyed.select("row", "text"), size, percent), "groups").join(keyed.select(F.col("row").alias("doc"), "id"), "doc")
-    names = groups.groupBy("component").agg(F.min("id").alias("least"))
+    names = stage(groups.groupBy("component").agg(F.min("id").alias("least")), "names")
     component = F.when(F.col("id").isNotNull(), F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("least")))
     out = groups.join(names, "component").select("id", "n", component.alias("name"), "links")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("name").alias("component_id"), (F.col("id") == F.col("name")).alias("kept"), F.col("links").alias("n_links"))
