@@ -147,7 +147,7 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     classes = sets.groupBy("key").agg(F.min("doc").alias("rep"))
     reps = sets.join(classes, (sets["key"] == classes["key"]) & (sets["doc"] == F.col("rep"))).select("doc", "sig")
     buckets = stage(band_keys(reps), "bands")
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    sizes = stage(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes")
     members = stage(buckets.join(sizes, "bucket"), "members")
 
     wanted = members.select("doc").distinct()
@@ -160,7 +160,7 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     state = members.filter(F.col("size") > SMALL).select("bucket", "doc")
     links, whole, small = None, None, SMALL
     while True:
-        pivots = state.join(weight, "doc").groupBy("bucket").agg(F.max_by("doc", F.struct("weight", -F.col("doc"))).alias("pivot"))
+        pivots = stage(state.join(weight, "doc").groupBy("bucket").agg(F.max_by("doc", F.struct("weight", -F.col("doc"))).alias("pivot")), "pivots")
         spokes = state.join(pivots, "bucket").filter("doc <> pivot").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"), "pivot")
         asked = spokes.union(pairs.select("a", "b", F.lit(None).cast("long").alias("pivot"))).distinct()
         found = stage(verify(asked, texts, size, percent), "verified")
