@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regolith.llm import ann, decontam, html, linededup, minhash, packing, phrases, quality, secrets, suffix
+from regolith.llm import ann, decontam, html, linededup, minhash, packing, phrases, quality, rules, secrets, suffix
 
 LINE_RATIO, LINE_PAGES = 0.02, 5
 ACCEPT = 0.3
@@ -92,10 +92,15 @@ def op10_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rules.judge(read(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    return out.select("doc_id", *rules.FEATURES[:5], "base_failed", "kept")
+
+
 def queries() -> dict:
     import corpus_pipeline
 
-    own = (op1_packing, op2_minhash, op3_quality, op4_secrets, op5_html, op6_ann, op7_lines, op8_substrings, op9_decontam, op10_phrases)
+    own = (op1_packing, op2_minhash, op3_quality, op4_secrets, op5_html, op6_ann, op7_lines, op8_substrings, op9_decontam, op10_phrases, op11_rules)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
@@ -113,8 +118,37 @@ SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(k, chr(10))
 """
 
 
+def _votes_sql() -> str:
+    """Features, base and votes by the same conditions as the operator's, then its steps as a recursion over one row."""
+    n, prior = len(rules.RULES), rules.PRIOR_VOTES
+    rate = lambda right, wrong, start: f"({right} + {start * prior}) / ({right} + {wrong} + {prior})"
+    total = lambda x, j, v: f"coalesce(sum({x}) FILTER (v[{j}] = {v}), 0)"
+    each = lambda x, right, start: ", ".join(rate(total(x, j, right), total(x, j, -right), start) for j in range(1, n + 1))
+    start = lambda x: f"[{', '.join([str(x)] * n)}]::DOUBLE[]"
+    good = "1 / (1 + exp(-(ln(share / (1 - share)) + list_sum(list_transform(v, lambda x, i: CASE WHEN x = 1 THEN ln(a[i] / (1 - b[i])) WHEN x = -1 THEN ln((1 - a[i]) / b[i]) ELSE 0 END)))))"
+    return rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+w AS (SELECT r, unnest(range(1, len(words) - 1)) AS i, words FROM l WHERE len(words) >= 3),
+again AS (SELECT r, unnest(list(i)) AS i FROM w GROUP BY r, words[i], words[i + 1], words[i + 2] HAVING count(*) > 1),
+repeated AS (SELECT r, count(DISTINCT i + k) AS n FROM again, range(3) t(k) GROUP BY r),
+f AS (SELECT l.r, doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, len(regexp_extract_all(text, '{rules.SYMBOL}')) AS n_symbols,
+  len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+  length(regexp_replace(text, '{rules.NO_LETTER}', '', 'g')) AS n_letters, len(lines) AS n_lines, len(regexp_extract_all(text, '[.!?]')) AS n_ends
+  FROM l LEFT JOIN repeated USING (r)),
+b AS (SELECT *, {rules.BASE} AS base_failed, [{", ".join(r.sql() for r in rules.RULES)}] AS v FROM f),
+entries AS (SELECT v, count(*)::DOUBLE AS n FROM b WHERE NOT base_failed GROUP BY v),
+em AS (SELECT 0 AS k, {rules.SHARE}::DOUBLE AS share, {start(rules.RIGHT_IF_GOOD)} AS a, {start(rules.RIGHT_IF_BAD)} AS b
+  UNION ALL
+  SELECT k + 1, {rate("sum(g)", "sum(h)", rules.SHARE)}, [{each("g", 1, rules.RIGHT_IF_GOOD)}], [{each("h", -1, rules.RIGHT_IF_BAD)}]
+  FROM (SELECT k, v, n * p AS g, n * (1 - p) AS h FROM (SELECT k, v, n, {good} AS p FROM em, entries WHERE k < {rules.STEPS})) GROUP BY k),
+last AS (SELECT share, a, b FROM em ORDER BY k DESC LIMIT 1)
+SELECT doc_id, {", ".join(f"{x}::BIGINT AS {x}" for x in rules.FEATURES[:5])}, base_failed, NOT base_failed AND {good.replace("b[", "last.b[")} >= 0.5 AS kept FROM b, last
+"""
+
+
 
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    return {"op7_lines": _LINES} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {"op7_lines": _LINES, "op11_rules": _votes_sql()} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
