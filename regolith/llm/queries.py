@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regolith.llm import ann, decontam, html, linededup, minhash, packing, phrases, quality, rules, secrets, suffix
+from regolith.llm import ann, collocations, decontam, html, linededup, minhash, packing, phrases, quality, resample, rules, secrets, suffix
 
 LINE_RATIO, LINE_PAGES = 0.02, 5
 ACCEPT = 0.3
@@ -97,10 +97,20 @@ def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *rules.FEATURES[:5], "base_failed", "kept")
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (read(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    out = resample.resample(docs.select("doc_id", "text"), target.select("text"), ["doc_id"], percent=25)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents").select("text", "lang"), longest=4, min_count=30, first=2000, inside=80)
+
+
 def queries() -> dict:
     import corpus_pipeline
 
-    own = (op1_packing, op2_minhash, op3_quality, op4_secrets, op5_html, op6_ann, op7_lines, op8_substrings, op9_decontam, op10_phrases, op11_rules)
+    own = (op1_packing, op2_minhash, op3_quality, op4_secrets, op5_html, op6_ann, op7_lines, op8_substrings, op9_decontam, op10_phrases, op11_rules, op12_resample, op13_collocations)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
@@ -148,7 +158,43 @@ SELECT doc_id, {", ".join(f"{x}::BIGINT AS {x}" for x in rules.FEATURES[:5])}, b
 
 
 
+#: The checksum's table is made from its polynomial, and every distinct feature's bytes are folded through it.
+_RESAMPLE = r"""
+WITH slot AS (SELECT list(list_reduce([i::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) s(i)),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+e AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+df AS (SELECT r, unnest(list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))) AS x FROM d),
+ef AS (SELECT unnest(list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))) AS x FROM e),
+x AS (SELECT x, hex(x) AS h FROM (SELECT x FROM df UNION SELECT x FROM ef)),
+bytes AS (SELECT x, list_transform(range(1, len(h), 2), lambda i: (16 * (instr('0123456789ABCDEF', h[i]) - 1) + instr('0123456789ABCDEF', h[i + 1]) - 1)::UBIGINT) AS b FROM x),
+bucket AS (SELECT x, xor(list_reduce(list_prepend(4294967295::UBIGINT, b), lambda c, y: xor(c >> 8, t[((xor(c, y) & 255) + 1)::BIGINT])), 4294967295::UBIGINT) % 10000 AS k FROM bytes, slot),
+s AS (SELECT k, count(*) AS s FROM df JOIN bucket USING (x) GROUP BY k), t AS (SELECT k, count(*) AS t FROM ef JOIN bucket USING (x) GROUP BY k),
+gain AS (SELECT k, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * ((SELECT coalesce(sum(s), 0) FROM s)::DOUBLE + 10000) / ((coalesce(s, 0)::DOUBLE + 1) * ((SELECT coalesce(sum(t), 0) FROM t)::DOUBLE + 10000))))::BIGINT AS g FROM s FULL JOIN t USING (k)),
+w AS (SELECT r, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM df JOIN bucket USING (x) JOIN gain USING (k) GROUP BY r),
+scored AS (SELECT r, doc_id, len(w) AS n, 2 * len(w) - CASE WHEN len(w) > 0 THEN 1 ELSE 0 END AS n_features, coalesce(weight, 0) AS weight,
+  list_reduce(list_transform(range(1, 9), lambda i: (instr('0123456789abcdef', sha256('7:' || doc_id)[i]) - 1)::BIGINT), lambda a, b: 16 * a + b) AS h FROM d LEFT JOIN w USING (r)),
+ranked AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored),
+able AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS many FROM ranked WHERE n >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * many // 100 THEN place END AS rank FROM ranked LEFT JOIN able USING (r)
+"""
+
+_COLLOCATIONS = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase FROM w, range(1, 5) t(k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+cuts AS (SELECT lang, k, phrase, a, j, array_to_string(string_split(phrase, ' ')[1 : j], ' ') AS head, array_to_string(string_split(phrase, ' ')[j + 1 : k], ' ') AS tail FROM f, range(1, 4) t(j) WHERE j < k),
+scored AS (SELECT c.*, x.a AS l, y.a AS r, ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score FROM cuts c JOIN f x ON c.lang = x.lang AND c.head = x.phrase JOIN f y ON c.lang = y.lang AND c.tail = y.phrase),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_parts AS (SELECT lang, a, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(string_split(phrase, ' ')[i : i + m - 1], ' '))) AS phrase FROM f, range(2, 4) t(m) WHERE m < k),
+most AS (SELECT lang, phrase, max(a) AS most FROM inner_parts GROUP BY ALL),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN most USING (lang, phrase) WHERE most IS NULL OR 100 * most::HUGEINT < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    return {"op7_lines": _LINES, "op11_rules": _votes_sql()} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {"op7_lines": _LINES, "op11_rules": _votes_sql(), "op12_resample": _RESAMPLE, "op13_collocations": _COLLOCATIONS} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

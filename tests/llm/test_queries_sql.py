@@ -16,9 +16,9 @@ def test_query(spark, name):
     c = duckdb.connect()
     for f in Path(SF).glob("*.parquet"):
         c.execute(f"CREATE VIEW {f.stem} AS SELECT * FROM '{f}'")
-    mine = q.queries()[name](spark, SF).toPandas()
-    theirs = c.execute(q.oracle_sql()[name]).df()
+    mine = q.queries()[name](spark, SF)
     columns = sorted(mine.columns)
+    theirs = c.sql(q.oracle_sql()[name])
     assert columns == sorted(theirs.columns)
-    rows = lambda df: sorted(map(tuple, df[columns].astype(object).where(df[columns].notna(), None).astype(str).to_numpy().tolist()))
-    assert rows(mine) == rows(theirs)
+    rows = lambda found: sorted(map(repr, found))
+    assert rows(map(tuple, mine.select(*columns).collect())) == rows(theirs.select(*columns).fetchall())
