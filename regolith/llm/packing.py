@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -126,6 +128,13 @@ def tokenize(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, group_
     return docs.select(id_col, F.col(text_col).cast("string"), F.col(group_col).cast("string")).mapInArrow(run, f"doc {kind}, source string, ids binary, n bigint, block int, inside bigint")
 
 
+def _equal_runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of more than one value, sorted ones, that are equal or next to it."""
+    same = np.concatenate([[False], np.diff(values) <= 1e-12 * np.abs(values[1:]), [False]])
+    edges = np.flatnonzero(np.diff(same.astype(int)))
+    return [(int(i), int(j) + 1) for i, j in zip(edges[0::2], edges[1::2], strict=True)]
+
+
 def part_of(a: np.ndarray, b: np.ndarray, whole: np.ndarray) -> np.ndarray:
     """floor(a * b / whole) for b <= whole and a below 2**50, though a * b may not fit: the quotient of floats is off by
     one at most, which the remainder modulo 2**64 shows."""
@@ -135,56 +144,92 @@ def part_of(a: np.ndarray, b: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return q + (rest >= whole) - (rest < 0)
 
 
+#: What weights are rounded to: the largest is this, and none that isn't 0 becomes 0.
+WEIGHT = 1 << 30
+
+
 class Schedule:
     """How far each queue has been served when a sequence begins: deficit round-robin in closed form.
 
     Queues are leaves of a balanced tree. Of the first x tokens that a node gets, its left half gets floor(x * its
     share), the right half the rest; so a queue gets its share of every sequence within a few tokens. What it misses by
     rounding is its deficit, and it is carried to the next sequences, in whatever task they are packed, because the rule is a
-    function of x alone, grows with x, and needs only the totals on the way down to the queue. Shares hold in phases: a queue
-    that runs dry leaves, and the others' shares grow. Every queue is served whole.
+    function of x alone, grows with x, and needs only sums on the way down to the queue. A queue that runs dry leaves, and the
+    others' shares grow: with given weights the queues stand in the order in which they run dry, so those that are left of a node are the end of
+    its range, and running sums of totals and of weights tell all shares at any time. The state is a few numbers for each queue, and
+    every sum and comparison is one of whole numbers. Queues without weight follow when the others are dry, each with its part of their
+    tokens. Every queue is served whole.
     """
 
     def __init__(self, totals, weights: list[float] | None, length: int):
         totals = np.asarray(totals, np.int64)
-        self.length, self.total = length, int(totals.sum())
+        self.length, self.total, self.queues = length, int(totals.sum()), len(totals)
         if self.total >= 1 << 50:
             raise ValueError("more than 2**50 tokens")
-        left, phases = totals.copy(), []
-        rated = np.asarray(weights, float) if weights is not None else totals.astype(float)
-        while left.any():
-            rates = np.where(left > 0, rated, 0.0)
-            if weights is None or not rates.any():  # natural shares: all run dry together
-                phases.append(left)
-                break
-            until = (left[rates > 0] / rates[rates > 0]).min()
-            dry = (rates > 0) & (left <= until * rates)
-            phases.append(np.where(dry, left, np.minimum(left, (rates * until).astype(np.int64))))
-            left = left - phases[-1]
-        took = np.array(phases or [np.zeros(len(totals), np.int64)])
-        zero = np.zeros((len(took), 1), np.int64)
-        self.cum = np.concatenate([zero, np.cumsum(took, axis=1)], axis=1)  # by phase, of all queues before
-        self.done = np.concatenate([np.zeros((1, len(totals)), np.int64), np.cumsum(took, axis=0)])[:-1]  # of a queue, in earlier phases
-        self.done_before = np.concatenate([zero, np.cumsum(self.done, axis=1)], axis=1)
-        self.begins = np.concatenate([[0], np.cumsum(took.sum(axis=1))])
         self.sequences = -(-self.total // length)
-        self.queues = len(totals)
+        order, self.weighted = np.arange(len(totals)), 0
+        given = np.asarray([] if weights is None else weights, float)
+        if not (np.isfinite(given) & (given >= 0)).all():
+            raise ValueError("a weight is negative or not a number")
+        if given.max(initial=0) > 0:
+            whole = np.where(given > 0, np.maximum(np.round(given / given.max() * WEIGHT), 1), 0).astype(np.int64)
+            first = whole > 0
+            late = totals / np.maximum(whole, 1)  # when each runs dry; of floats that are equal, exact fractions tell
+            order = np.lexsort((late, ~first))
+            self.weighted = int(first.sum())
+            for i, j in _equal_runs(late[order[: self.weighted]]):
+                order[i:j] = sorted(order[i:j].tolist(), key=lambda k: Fraction(int(totals[k]), int(whole[k])))
+            totals, whole = totals[order], whole[order]
+            self.own, self.weight = totals, whole
+            self.weights = np.concatenate([[0], np.cumsum(whole)])
+        self.place = np.empty(len(order), np.int64)
+        self.place[order] = np.arange(len(order))
+        self.sums = np.concatenate([[0], np.cumsum(totals)])  # of the queues before
+
+    def _dry(self, x: np.ndarray, low: int, high: int) -> np.ndarray:
+        """How many queues up to which place are dry when those from ``low`` to ``high`` have given x tokens."""
+        a, b = np.full(len(x), low), np.full(len(x), high)
+        while (a < b).any():
+            k = np.minimum((a + b) // 2, high - 1)
+            left = x - (self.sums[k] - self.sums[low])  # what it and those after it have given, if it has run dry
+            rest = self.weights[high] - self.weights[k]
+            one, two = left.astype(float) * self.weight[k], self.own[k].astype(float) * rest
+            dry = one >= two
+            for i in np.flatnonzero(np.abs(one - two) <= 1e-9 * np.abs(two)).tolist():
+                dry[i] = int(left[i]) * int(self.weight[k[i]]) >= int(self.own[k[i]]) * int(rest[i])
+            dry &= a < b
+            b = np.where(dry | (a >= b), b, k)
+            a = np.where(dry, k + 1, a)
+        return a
+
+    def _gives(self, x: np.ndarray, low: int, middle: int, high: int) -> np.ndarray:
+        """What those from ``low`` to ``middle`` give of the first x tokens of those from ``low`` to ``high``."""
+        whole = self.sums[high] - self.sums[low]
+        if low >= self.weighted:
+            return part_of(x, self.sums[middle] - self.sums[low], np.maximum(whole, 1))
+        p = self._dry(x, low, high)
+        before = self.sums[np.minimum(p, middle)] - self.sums[low]
+        active = p < middle
+        q = np.minimum(p, middle)
+        share = part_of(np.where(active, x - before, 0), self.weights[middle] - self.weights[q], np.maximum(self.weights[high] - self.weights[q], 1))
+        return before + share
 
     def at(self, sequence: np.ndarray, queue: int) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens that this queue, tokens that the queues before it have given) when the sequence begins."""
-        x = np.minimum(sequence.astype(np.int64) * self.length, self.total)
-        phase = np.clip(np.searchsorted(self.begins, x, "right") - 1, 0, len(self.cum) - 1)
-        rest, earlier = x - self.begins[phase], self.done_before[phase, queue]
-        low, high = 0, self.queues
+        """(tokens that this queue, tokens that the queues before it in the tree have given) when the sequence begins."""
+        rest = np.minimum(sequence.astype(np.int64) * self.length, self.total)
+        earlier, low, high, queue = np.zeros(len(rest), np.int64), 0, self.queues, int(self.place[queue])
         while high - low > 1:
-            middle = (low + high) // 2
-            a, b, c = (self.cum[phase, k] for k in (low, middle, high))
-            gave = part_of(rest, b - a, np.maximum(c - a, 1))
+            if low < self.weighted < high:  # those with weights come first
+                middle = self.weighted
+                gave = np.minimum(rest, self.sums[middle] - self.sums[low])
+            else:
+                middle = (low + high) // 2
+                gave = self._gives(rest, low, middle, high)
             if queue < middle:
                 rest, high = gave, middle
             else:
                 rest, earlier, low = rest - gave, earlier + gave, middle
-        return rest + self.done[phase, queue], earlier
+        return rest, earlier
 
     def find(self, token: np.ndarray, queue: int) -> np.ndarray:
         """The sequence that holds each token of the queue."""
@@ -226,7 +271,7 @@ def pack(
     """Every token of every document in exactly one piece of one sequence.
 
     Sources are queues of documents in the order of the staged token table. Each sequence takes from every queue its
-    share of ``length`` tokens: its weight (0 where ``weights`` has no such source; they follow when the others are dry),
+    share of ``length`` tokens: its weight (to a billionth of the largest; 0 where ``weights`` has no such source; they follow when the others are dry),
     or its part of all tokens where ``weights`` is None, and documents are cut there; only the last sequence may be short.
     Two passes: ids are made once and staged with running sums of their partition, then cut where the schedule says, from
     sums by (source, partition): no queue is gathered, however hot, and ids are not sorted.
