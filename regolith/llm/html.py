@@ -87,15 +87,47 @@ def names_side(names: str) -> bool:
     return False
 
 
+class _Open:
+    """The open elements, and where those of a name, those that bound a scope and paragraphs stand, so that no tag walks them all."""
+
+    def __init__(self):
+        self.items: list[tuple[str, bool, bool, int, str]] = []  # tag, side, content, innermost doubtful element, innermost block
+        self.of: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+
+    def top(self) -> tuple[bool, bool, int, str]:
+        return self.items[-1][1:] if self.items else (False, False, 0, "")
+
+    def push(self, name: str, side: bool, content: bool, own: int) -> None:
+        self.of.setdefault(name, []).append(len(self.items))
+        if name in _SCOPE:
+            self.scopes.append(len(self.items))
+        self.items.append((name, side, content, own, self.top()[3] if name in INLINE else name))
+
+    def last(self, names) -> int:
+        return max((self.of[x][-1] for x in names if self.of.get(x)), default=-1)
+
+    def scope(self) -> int:
+        return self.scopes[-1] if self.scopes else -1
+
+    def cut(self, at: int) -> None:
+        for name, *_ in reversed(self.items[at:]):
+            self.of[name].pop()
+            if name in _SCOPE:
+                self.scopes.pop()
+        del self.items[at:]
+
+
 def scan(page: str) -> list[Token]:
     """The page's tags and texts in order, in one pass; unclosed and misnested tags do no harm.
 
     A name, or a form, condemns an element only if it holds less than half of the words of the page's articles, and a
-    name only if it holds less than half of the page's words as well.
+    name only if it holds less than half of the page's words as well; inside an article it does unless nearly all words are in it.
     """
     out: list[Token] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, side, content, innermost doubtful element
-    doubtful: list[list] = [[0, False, 0, 0]]  # the one around it, whether by name, words, words in articles
+    stack = _Open()
+    doubtful: list[list] = [[0, False, 0, 0, False]]  # the one around it, whether by name, words, words in articles, whether inside one
+    unclosed: set[str] = set()  # names of elements that nothing further on closes
     titled = set()  # headers that hold a page's title and no menu
     opened: list[int] = []  # headers outside articles
     inside: list[int] = []  # innermost doubtful element of each token
@@ -103,9 +135,8 @@ def scan(page: str) -> list[Token]:
 
     def emit(text: str) -> None:
         if text:
-            side, content, own = stack[-1][1:] if stack else (False, False, 0)
-            block = next((t[0] for t in reversed(stack) if t[0] not in INLINE), "")
-            out.append(Token("", text, side, content, any(t[0] == "a" for t in stack[-4:]), False, block))
+            side, content, own, block = stack.top()
+            out.append(Token("", text, side, content, any(t[0] == "a" for t in stack.items[-4:]), False, block))
             inside.append(own)
             if not side:
                 count = len(text.split())
@@ -123,48 +154,37 @@ def scan(page: str) -> list[Token]:
         if not name:
             continue
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if name in INLINE and any(t[0] in _SCOPE or t[0] == "p" for t in stack[k + 1 :]):
-                        break
-                    del stack[k:]
-                    break
-            out.append(Token("/" + name, "", bool(stack and stack[-1][1]), bool(stack and stack[-1][2]), False, False))
-            inside.append(stack[-1][3] if stack else 0)
+            k = stack.last([name])
+            if k >= 0 and (name not in INLINE or k > max(stack.scope(), stack.last(["p"]))):
+                stack.cut(k)
+            side, content, own, _ = stack.top()
+            out.append(Token("/" + name, "", side, content, False, False))
+            inside.append(own)
             continue
-        if name in RAW:
+        if name in RAW and name not in unclosed:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|$)[^>]*>?", re.I).search(page, at)
+            if not end:
+                unclosed.add(name)
             at = end.end() if end else (n if name in ("script", "style", "textarea", "title", "xmp", "noembed", "noframes", "iframe") else at)
             if end or name in ("script", "style"):
                 out.append(Token(name, "", False, False, False, True))
                 inside.append(0)
                 continue
+        side, content, own, _ = stack.top()
         if name in VOID:
-            out.append(Token(name, "", bool(stack and stack[-1][1]), bool(stack and stack[-1][2]), False, False))
-            inside.append(stack[-1][3] if stack else 0)
+            out.append(Token(name, "", side, content, False, False))
+            inside.append(own)
             continue
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in _CLOSES.get(name, ()):
-                del stack[k:]
-                break
-            if stack[k][0] in _SCOPE:
-                if name not in INLINE:
-                    break
-                break
-        if name not in INLINE and stack:  # a block ends an open paragraph
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    del stack[k:]
-                    break
-                if stack[k][0] in _SCOPE:
-                    break
-        side, content, own = stack[-1][1:] if stack else (False, False, 0)
+        for closed in (_CLOSES.get(name, ()), () if name in INLINE else ("p",)):  # a block ends an open paragraph
+            if (k := stack.last(closed)) > stack.scope():
+                stack.cut(k)
+        side, content, own, _ = stack.top()
         attrs = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(m[3] or "")}
         hidden = "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I)
         named = name not in ("html", "body", "article", "main") and names_side(" ".join(attrs.get(k, "") for k in ("class", "id", "role")))
         around = name in AROUND and name != "header"
         if name == "header" and not content and not side:
-            doubtful.append([own, False, 0, 0])
+            doubtful.append([own, False, 0, 0, False])
             own = len(doubtful) - 1
             opened.append(own)
         elif opened and own == opened[-1]:
@@ -173,22 +193,24 @@ def scan(page: str) -> list[Token]:
             elif name in ("nav", "ul", "form", "menu"):
                 titled.discard(own)
                 opened.pop()
+        within = content
         content = content or name in CONTENT or attrs.get("role", "").lower() in ("main", "article")
         side = side or bool(around and name != "form" or hidden)
         if not side and (named or name == "form"):
-            doubtful.append([own, name != "form", 0, 0])
+            doubtful.append([own, name != "form", 0, 0, within])
             own = len(doubtful) - 1
         out.append(Token(name, "", side, content, False, False))
         inside.append(own)
         if not (m[3] or "").rstrip().endswith("/") or name not in VOID:
-            stack.append((name, side, content, own))
-    for around, _, words, own_words in reversed(doubtful[1:]):  # what is inside comes after what is around
+            stack.push(name, side, content, own)
+    for around, _, words, own_words, _ in reversed(doubtful[1:]):  # what is inside comes after what is around
         doubtful[around][2] += words
         doubtful[around][3] += own_words
-    total, most = doubtful[0][2:]
+    total, most = doubtful[0][2:4]
     beside = [False]
-    for k, (around, by_name, words, own_words) in enumerate(doubtful[1:], 1):
-        beside.append(beside[around] or not (k in titled and not most or most and 2 * own_words >= most or by_name and 2 * words >= total))
+    for k, (around, by_name, words, own_words, within) in enumerate(doubtful[1:], 1):
+        share = 10 * own_words >= 9 * most if within else 2 * own_words >= most or by_name and 2 * words >= total
+        beside.append(beside[around] or not (k in titled and not most or (share if most else by_name and 2 * words >= total)))
     for t, own in zip(out, inside, strict=True):
         t.side = t.side or beside[own]
     marked = any(t.content and not t.side and not t.tag and t.text.strip() for t in out)
@@ -246,16 +268,37 @@ def learn(seen: Counter) -> Weights:
     return replace(Weights(), words=words, tags=tags)
 
 
-def best_region(tokens: list[Token], w: Weights) -> tuple[int, int]:
-    """The run of tokens with the largest sum, by one scan (the first of equals)."""
-    best, run, start, region = 0.0, 0.0, 0, (0, 0)
+def regions(tokens: list[Token], w: Weights) -> list[tuple[int, int, float]]:
+    """(first, end, sum) of all maximal-scoring runs of tokens, in order, by one scan.
+
+    No part of a run, and no longer run around it that holds no other, has a larger sum; runs don't overlap, and the best one
+    is among them. A run is kept with the sums before it and up to its end; a new one joins those back to the last with a smaller sum before it, if
+    that ends below. Each run is joined once, and links to that last one are kept, so the work is linear.
+    """
+    runs: list[tuple[int, int, float, float, int]] = []  # first, end, sum before, sum up to the end, the run before it with a smaller sum before
+    total = 0.0
     for i, t in enumerate(tokens):
-        if run <= 0:
-            run, start = 0.0, i
-        run += w.score(t)
-        if run > best:
-            best, region = run, (start, i + 1)
-    return region
+        score = w.score(t)
+        before, total = total, total + score
+        if score <= 0:
+            continue
+        first, at = i, len(runs) - 1
+        while True:
+            while at >= 0 and runs[at][2] >= before:
+                at = runs[at][4]
+            if at < 0 or runs[at][3] >= total:
+                break
+            first, before = runs[at][0], runs[at][2]
+            del runs[at:]
+            at = len(runs) - 1
+        runs.append((first, i + 1, before, total, at))
+    return [(a, b, end - begin) for a, b, begin, end, _ in runs]
+
+
+def best_region(tokens: list[Token], w: Weights) -> tuple[int, int]:
+    """The run of tokens with the largest sum (the first of equals)."""
+    found = regions(tokens, w)
+    return max(found, key=lambda r: r[2])[:2] if found else (0, 0)
 
 
 def _ends_block(t: Token) -> bool:
@@ -265,28 +308,33 @@ def _ends_block(t: Token) -> bool:
 def extract(page: str | None, w: Weights) -> str:
     """The main text of a page: the text blocks of the best region of what is left without surrounding elements.
 
-    A block that the region cuts is taken whole.
+    A block that the region cuts is taken whole. On a page whose markup names articles, the other maximal regions are articles
+    too, or parts of them, and none is lost.
     """
     tokens = [t for t in scan(page or "") if not t.side and not t.raw or _ends_block(t)]
-    shown = [t for t in tokens if not t.side and not t.raw]
-    a, b = best_region(shown, w)
-    if a == b:
-        return ""
-    first, last = (next(i for i, t in enumerate(tokens) if t is x) for x in (shown[a], shown[b - 1]))
-    while first > 0 and not _ends_block(tokens[first - 1]):
-        first -= 1
-    while last + 1 < len(tokens) and not _ends_block(tokens[last + 1]):
-        last += 1
-    blocks, now = [], []
-    for t in tokens[first : last + 1]:
-        if t.tag == "br":
-            now.append(" ")
-        elif _ends_block(t) and not t.raw:
-            blocks.append("".join(now))
-            now = []
-        elif not t.tag and not t.side:
-            now.append(t.text)
-    blocks.append("".join(now))
+    places = [i for i, t in enumerate(tokens) if not t.side and not t.raw]
+    shown = [tokens[i] for i in places]
+    found = regions(shown, w)
+    if not any(t.place == CONTENT_PLACE for t in shown):
+        found = sorted(found, key=lambda r: -r[2])[:1]
+    blocks, done = [], 0
+    for a, b, _ in found:
+        first, last = places[a], places[b - 1]
+        while first > done and not _ends_block(tokens[first - 1]):
+            first -= 1
+        while last + 1 < len(tokens) and not _ends_block(tokens[last + 1]):
+            last += 1
+        now: list[str] = []
+        for t in tokens[max(first, done) : last + 1]:
+            if t.tag == "br":
+                now.append(" ")
+            elif _ends_block(t) and not t.raw:
+                blocks.append("".join(now))
+                now = []
+            elif not t.tag and not t.side:
+                now.append(t.text)
+        blocks.append("".join(now))
+        done = max(done, last + 1)
     clean = (_SPACE.sub(" ", _html.unescape(x)).strip() for x in blocks)
     return "\n\n".join(x for x in clean if x)
 
