@@ -22,7 +22,7 @@ MOST = 1 << 19
 #: Bits of a word's number that one step of a trie takes.
 BITS = 5
 #: Bytes of text that are worked on at a time; a longer document is worked on alone.
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Parts that a language's phrases are dealt to before the first of them all are sought.
 PARTS = 32
 
@@ -47,10 +47,10 @@ class Words:
         self.langs: pa.Array = langs.dictionary
         of = np.repeat(np.arange(len(texts)), np.diff(first))
         self.lang = langs.indices.to_numpy().astype(np.int64)[of] if n else np.zeros(0, np.int64)
-        broken = np.concatenate([[0], np.cumsum(PIECE_ENDS[data])])
+        breaks = np.flatnonzero(PIECE_ENDS[data])
         self.goes_on = np.zeros(n, bool)
         if n:
-            self.goes_on[:-1] = (of[1:] == of[:-1]) & (broken[starts[1:]] == broken[ends[:-1]])
+            self.goes_on[:-1] = (of[1:] == of[:-1]) & (np.searchsorted(breaks, starts[1:]) == np.searchsorted(breaks, ends[:-1]))
 
     def runs(self, k: int) -> np.ndarray:
         """The places where ``k`` words of one piece begin."""
@@ -265,7 +265,7 @@ def count_phrases(texts: DataFrame, phrases: DataFrame, min_count: int, followin
             full = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(full + first + 1), pa.nulls(len(full), pa.int64()), pa.array(counts[full])], ["id", "hash", "n"])
 
-        parts.append(stage(texts.mapInArrow(run, _COUNTS).groupBy("id", "hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count), "phrase_counts"))
+        parts.append(stage(texts.mapInArrow(run, _COUNTS).repartition("id", "hash").groupBy("id", "hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count), "phrase_counts"))
         trie.destroy()
     if not parts:
         return numbered.select("lang", "phrase", F.lit(0).cast("long").alias("n")).limit(0), None
@@ -303,7 +303,8 @@ def mine(
     ignored.
     """
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"))
-    words = stage(words_and_pairs(texts).groupBy("lang", "phrase", "hash").agg(F.sum("n").alias("n")).filter((F.col("n") >= min_count) | F.col("hash").isNull() & F.col("phrase").isNull()), "words")
+    # slices have summed already, so rows are dealt out as they are, and tasks that read texts keep no table of them
+    words = stage(words_and_pairs(texts).repartition("lang", "phrase", "hash").groupBy("lang", "phrase", "hash").agg(F.sum("n").alias("n")).filter((F.col("n") >= min_count) | F.col("hash").isNull() & F.col("phrase").isNull()), "words")
     totals = words.filter("phrase IS NULL AND hash IS NULL").select("lang", F.col("n").alias("total"))
     levels = [stage(words.filter("phrase IS NOT NULL").select("lang", "phrase", "n"), "frequent")]
     hashes = words.filter("hash IS NOT NULL").select("hash")
