@@ -70,14 +70,23 @@ def streak_numbers(rows: DataFrame, order: str, flag: str) -> DataFrame:
     return rows.join(_starts(begins, rows.select(order), order), order)
 
 
+#: Rows of a block of a scan, and blocks of a block of blocks.
+BLOCK = 4096
+
+
 def _starts(begins: DataFrame, orders: DataFrame, order: str) -> DataFrame:
-    """(order, streak): the last beginning at or before each order, by blocks of orders."""
-    size = 4096
-    marked = orders.join(begins.withColumn("__b", F.col(order)), order, "left").withColumn("__block", F.floor(F.col(order) / size))
-    w = Window.partitionBy("__block").orderBy(order)
-    inside = marked.withColumn("__in", F.max("__b").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    blocks = marked.groupBy("__block").agg(F.max("__b").alias("__last"))
-    carried = blocks.select("__block", F.max("__last").over(Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
+    """(order, streak): the last beginning at or before each order, by a scan in three levels.
+
+    Orders are scanned in blocks, the blocks' last beginnings in blocks of blocks, and these in one window of a row for each 16 million
+    orders; each level hands the last beginning before a block down to it.
+    """
+    marked = orders.join(begins.withColumn("__b", F.col(order)), order, "left").withColumn("__block", F.floor(F.col(order) / BLOCK))
+    blocks = marked.groupBy("__block").agg(F.max("__b").alias("__last")).withColumn("__group", F.floor(F.col("__block") / BLOCK))
+    groups = blocks.groupBy("__group").agg(F.max("__last").alias("__last"))
+    before = lambda w: F.max("__last").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    handed = groups.select("__group", before(Window.orderBy("__group")).alias("__far"))
+    carried = blocks.withColumn("__near", before(Window.partitionBy("__group").orderBy("__block"))).join(handed, "__group").select("__block", F.coalesce("__near", "__far").alias("__carry"))
+    inside = marked.withColumn("__in", F.max("__b").over(Window.partitionBy("__block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
     return inside.join(carried, "__block").select(order, F.coalesce("__in", "__carry").alias("streak"))
 
 
@@ -95,31 +104,65 @@ def legacy_streak_lengths(rows: DataFrame, order: str = "orderid", flag: str = "
     return lengths.groupBy(flag, "length").agg(F.count(F.lit(1)).alias("streaks"))
 
 
+#: Bins that one pass cuts a range of values into.
+BINS = 4096
+
+
+def order_statistics(values: DataFrame, targets: DataFrame) -> DataFrame:
+    """(g, rank, v): for each (g, rank) of ``targets``, the value of ``values`` (g, v) that ``rank`` others of its group come before.
+
+    Values are counted, never sorted: a pass counts those of each range in BINS bins, and a target goes on in the bin that
+    holds it, between the least and the greatest value there, until these are one. The ends of a range have bins of their own, so every pass
+    narrows it, and equal values are one count, however many they are. Neither NaN nor null values may be among them.
+    """
+    bounds = values.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    state = targets.join(bounds, "g").select("g", "rank", F.lit(0).cast("long").alias("below"), "lo", "hi")
+    width = F.col("hi") / 2 - F.col("lo") / 2
+    place = F.floor((F.col("v") / 2 - F.col("lo") / 2) / width * BINS)
+    bin_of = F.when(F.col("v") == F.col("lo"), -1).when(F.col("v") == F.col("hi"), BINS).otherwise(F.coalesce(F.least(place, F.lit(BINS - 1)), F.lit(0))).cast("int")
+    span = ["g", "lo", "hi"]
+    done = None
+    while True:
+        state = stage(state, "targets")
+        found, wide = state.filter("lo = hi"), state.filter("lo < hi")
+        done = found if done is None else done.union(found)
+        if wide.isEmpty():
+            return done.select("g", "rank", F.col("lo").alias("v"))
+        inside = values.join(wide.select(*span).distinct(), "g").filter("v BETWEEN lo AND hi")
+        counts = inside.groupBy(*span, bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+        before = counts.withColumn("before", F.sum("n").over(Window.partitionBy(*span).orderBy("bin")) - F.col("n"))  # at most BINS + 2 rows for each range
+        held = wide.join(before, span).filter("below + before <= rank AND rank < below + before + n")
+        state = held.select("g", "rank", (F.col("below") + F.col("before")).alias("below"), F.col("least").alias("lo"), F.col("most").alias("hi"))
+
+
+def _values(rows: DataFrame, group: Column, column: str) -> DataFrame:
+    return stage(rows.select(group.alias("g"), F.col(column).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)"), "values")
+
+
 def exact_quantiles(rows: DataFrame, column: str, shares: list[float]) -> list[float | None]:
-    """The quantiles of the column's values (linear between neighbours), from global ranks: only the neighbours reach the driver.
+    """The quantiles of the column's values (linear between neighbours), by ``order_statistics``: only the neighbours reach the driver.
 
     Nulls and NaN are passed over; without values the quantiles are None.
     """
-    value = F.col(column).cast("double")
-    ranked = global_rank(rows.select(value.alias("v")).filter("v IS NOT NULL AND NOT isnan(v)"), ["v"], "r")
-    n = ranked.count()
+    values = _values(rows, F.lit(0), column)
+    n = values.count()
     if not n:
         return [None] * len(shares)
-    places = [s * (n - 1) for s in shares]
-    ends = {int(f(p)) for p in places for f in (math.floor, math.ceil)}
-    at = {r["r"] - 1: r["v"] for r in ranked.filter(F.col("r").isin([e + 1 for e in ends])).collect()}
     low, high = math.floor, math.ceil
+    places = [s * (n - 1) for s in shares]
+    targets = rows.sparkSession.createDataFrame([(0, e) for e in sorted({int(f(p)) for p in places for f in (low, high)})], "g int, rank bigint")
+    at = {r["rank"]: r["v"] for r in order_statistics(values, targets).collect()}
     return [at[low(p)] if low(p) == p else (high(p) - p) * at[low(p)] + (p - low(p)) * at[high(p)] for p in places]
 
 
 def group_quantile(rows: DataFrame, group: str, column: str, share: float, name: str) -> DataFrame:
-    """(group, name): each group's exact quantile, by places in a sort that may spill, not by a buffer of all values."""
-    w = Window.partitionBy(group)
-    ranked = rows.select(group, F.col(column).cast("double").alias("__v")).filter("__v IS NOT NULL AND NOT isnan(__v)")
-    ranked = ranked.withColumns({"__p": (F.count(F.lit(1)).over(w) - 1) * F.lit(float(share)), "__r": F.row_number().over(w.orderBy("__v")) - 1})
-    ends = ranked.filter((F.col("__r") == F.floor("__p")) | (F.col("__r") == F.ceil("__p"))).groupBy(group, "__p").agg(F.min("__v").alias("__a"), F.max("__v").alias("__b"))
-    between = (F.ceil("__p") - F.col("__p")) * F.col("__a") + (F.col("__p") - F.floor("__p")) * F.col("__b")
-    return ends.select(group, F.when(F.floor("__p") == F.ceil("__p"), F.col("__a")).otherwise(between).alias(name))
+    """(group, name): each group's exact quantile (linear between neighbours), by ``order_statistics``; groups without values have none."""
+    values = _values(rows, F.col(group), column)
+    places = values.groupBy("g").agg(((F.count(F.lit(1)) - 1) * F.lit(float(share))).alias("p"))
+    targets = places.select("g", "p", F.explode(F.array_distinct(F.array(F.floor("p"), F.ceil("p")))).alias("rank"))
+    found = order_statistics(values, targets.select("g", "rank")).join(places, "g").groupBy("g", "p").agg(F.min("v").alias("a"), F.max("v").alias("b"))
+    between = (F.ceil("p") - F.col("p")) * F.col("a") + (F.col("p") - F.floor("p")) * F.col("b")
+    return found.select(F.col("g").alias(group), F.when(F.floor("p") == F.ceil("p"), F.col("a")).otherwise(between).alias(name))
 
 
 def quantile_bins(rows: DataFrame, column: str, bins: int, name: str = "bin") -> DataFrame:
