@@ -1,16 +1,12 @@
-"""Small subsets of images that cover the most: greedy cover on cells, in rounds."""
+"""Small subsets of images that cover the most: greedy cover on cells, in few passes."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from regolith.operators import filters, raster
-from regolith.operators.windows import azimuth_groups
+from regolith.operators.windows import azimuth_groups, global_rank
 from regolith.session import stage
 
 
@@ -22,27 +18,35 @@ def box_cells(images: DataFrame, size: float, key: str = "product_id", weight: f
 
 
 def set_coverage(cells: DataFrame, least: float = 100.0, max_rounds: int = 10_000, group: str | None = None) -> DataFrame:
-    """(group, id, round, gain): greedy cover; each round takes the image that adds the most uncovered weight (the smallest
-    id of equals) and stops where that is below ``least``. Groups go on side by side, a choice each in every round.
-
-    ``cells`` is (id, i, j, w) and the group column, if any. More than ``max_rounds`` rounds are an error. A round is one aggregate of the uncovered cells and one anti-join; its few choices (one for
-    each group) come to the driver, the cells never do.
+    """(group, id, round, gain): greedy cover, as if every round took the image that adds the most uncovered weight (the smallest
+    id of equals) and ended where that is below ``least``. Groups are covered each on their own; a null group is left out.
+
+    ``cells`` is (id, i, j, w) and the group column, if any. An image that adds more than every other image with which it shares an
+    uncovered cell comes before those in any case, and what it adds doesn't change until then: all such images are taken at once.
+    So the number of passes is the length of the longest chain of images that wait for one another, not the number of images chosen.
+    Gains never grow, so the order of greedy is that of gains, then ids. More than ``max_rounds`` passes are an error. Cells and
+    images stay in tables, and cells of images that add less than ``least`` leave them.
     """
-    rows = cells.withColumn("__g", F.col(group) if group else F.lit(0)).select("__g", "id", "i", "j", "w")
-    left, chosen = stage(rows.distinct(), "cells"), []
-    for n in range(1, max_rounds + 1):
-        gains = left.groupBy("__g", "id").agg(F.sum("w").alias("gain")).filter(F.col("gain") >= least)
-        best = gains.groupBy("__g").agg(F.min_by(F.struct("id", "gain"), F.struct(-F.col("gain"), F.col("id"))).alias("b")).select("__g", "b.id", "b.gain").collect()
-        if not best:
+    rows = cells.withColumn("__g", F.col(group) if group else F.lit(0)).select("__g", "id", "i", "j", "w").filter("__g IS NOT NULL")
+    left, chosen = stage(rows.distinct(), "cells"), None
+    image, place = ["__g", "id"], ["__g", "i", "j"]
+    for _ in range(max_rounds):
+        gains = stage(left.groupBy(*image).agg(F.sum("w").alias("gain")).filter(F.col("gain") >= least), "gains")
+        if gains.isEmpty():
             break
-        chosen += [(r["__g"], r["id"], n, float(r["gain"])) for r in best]
-        taken = reduce(or_, [(F.col("__g") == F.lit(r["__g"])) & (F.col("id") == F.lit(r["id"])) for r in best])
-        rest = left.join(left.filter(taken).select("__g", "i", "j").distinct(), ["__g", "i", "j"], "left_anti")
-        left = stage(rest, "cells")
+        able = left.join(gains, image)
+        first = able.groupBy(*place).agg(F.min(F.struct((-F.col("gain")).alias("less"), "id")).alias("first"))
+        beaten = able.join(first, place).filter("first.id <> id").select(*image).distinct()
+        best = stage(gains.join(beaten, image, "left_anti"), "chosen")
+        chosen = best if chosen is None else chosen.union(best)
+        covered = left.join(best, image, "left_semi").select(*place).distinct()
+        left = stage(able.drop("gain").join(covered, place, "left_anti"), "cells")
     else:
-        raise RuntimeError(f"the cover is not done after {max_rounds} rounds")
-    schema = left.select(F.col("__g").alias(group or "__g"), "id").schema.add("round", T.IntegerType()).add("gain", T.DoubleType())
-    out = left.sparkSession.createDataFrame(chosen, schema)
+        raise RuntimeError(f"the cover is not done after {max_rounds} passes")
+    chosen = gains if chosen is None else chosen
+    ranked = global_rank(chosen, ["__g", -F.col("gain"), "id"], "__r")
+    first = ranked.groupBy("__g").agg(F.min("__r").alias("__first"))
+    out = ranked.join(first, "__g").select(F.col("__g").alias(group or "__g"), "id", (F.col("__r") - F.col("__first") + 1).cast("int").alias("round"), F.col("gain").cast("double").alias("gain"))
     return out if group else out.drop("__g")
 
 
