@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regolith.functions import geometry, ids
+from regolith.session import stage
 
 
 def pairs_with(pairs: DataFrame, images: DataFrame, left: str = "l_image", right: str = "r_image", key: str = "image") -> DataFrame:
@@ -35,17 +36,37 @@ def stereo_pair_join(convergence: DataFrame, component: DataFrame, matches: Data
     return whole.select(first.alias("l_image"), second.alias("r_image"), "num", "p75", "l_median", "r_median").distinct()
 
 
-def containing(texts: DataFrame, parts: DataFrame, text: str, part: str) -> DataFrame:
+def _grams(rows: DataFrame, column: str, lengths: Column) -> DataFrame:
+    """Rows with the distinct runs (``key``) of the column that have one of the lengths."""
+    each = rows.withColumn("__n", F.explode(lengths)).filter(F.length(column) >= F.col("__n"))
+    each = each.withColumn("__at", F.explode(F.sequence(F.lit(1), F.length(column) - F.col("__n") + 1)))
+    return each.select(*rows.columns, F.substr(F.col(column), F.col("__at"), F.col("__n")).alias("key")).distinct()
+
+
+def _may_contain(texts: DataFrame, parts: DataFrame, text: str, part: str, gram: int) -> DataFrame:
+    """(text, part) of the distinct texts that hold the part's rarest run of ``gram`` characters (a shorter part: all of it)."""
+    known = parts.select(F.col(part).cast("string").alias("part")).filter("part <> ''").distinct()
+    size = F.least(F.length("part"), F.lit(gram))
+    runs = stage(_grams(known, "part", F.array(size)), "part_runs")
+    lengths = [r[0] for r in runs.select(F.length("key")).distinct().collect()]  # at most ``gram``
+    whole = texts.select(F.col(text).cast("string").alias("text")).filter("text IS NOT NULL").distinct()
+    met = _grams(whole, "text", F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>"))
+    met = stage(met.join(runs.select("key").distinct(), "key", "left_semi"), "text_runs")
+    counts = met.groupBy("key").agg(F.count(F.lit(1)).alias("texts"))
+    # a part with a run that no text has is in none
+    rarest = runs.join(counts, "key", "left").groupBy("part").agg(F.min(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "key")).alias("r")).filter("r.texts > 0")
+    return met.join(rarest.select("part", F.col("r.key").alias("key")), "key").select("text", "part")
+
+
+def containing(texts: DataFrame, parts: DataFrame, text: str, part: str, gram: int = 8) -> DataFrame:
     """(text, part) of the distinct texts that hold a part somewhere in them, by an equi-join.
 
-    Every run of a text as long as the shortest part is a key, and so are the parts' beginnings of that length; what meets
-    is then tested in full. Null and empty parts are in no text.
+    A part's key is that of its runs of ``gram`` characters which the fewest texts have, or the whole of a shorter part, for which
+    the key is the answer. Only texts with the key are tested in full, so a short part adds no more than its own hits,
+    and a beginning that many parts share is nobody's key. Texts are cut into runs of those lengths that keys have, and runs
+    that are no part's are left out before anything is counted. Null and empty parts are in no text; null texts hold none.
     """
-    known = parts.select(F.col(part).cast("string").alias("part")).filter("part <> ''").distinct()
-    size = known.agg(F.min(F.length("part")).alias("n")).first()["n"] or 1
-    runs = texts.select(F.col(text).cast("string").alias("text")).distinct().filter(F.length("text") >= size)
-    runs = runs.withColumn("at", F.explode(F.sequence(F.lit(1), F.length("text") - size + 1))).select("text", F.expr(f"substr(text, at, {size})").alias("key")).distinct()
-    return runs.join(known.withColumn("key", F.substring("part", 1, size)), "key").filter(F.contains("text", "part")).select("text", "part")
+    return _may_contain(texts, parts, text, part, gram).filter(F.contains("text", "part"))
 
 
 def substring_join(images: DataFrame, cameras: DataFrame, image: str = "image", camera: str = "camera") -> DataFrame:
