@@ -107,26 +107,35 @@ def neighbors(edges: DataFrame, vertex) -> DataFrame:
 
 
 def shortest_path(edges: DataFrame, start, end, max_length: int = 1000) -> DataFrame:
-    """(step, id) of a path with the fewest edges, by smallest parents; empty if there is none of at most ``max_length`` edges."""
+    """(step, id) of the path with the fewest edges, of equals the one with the smallest ids from the start on; empty if there is none
+    of at most ``max_length`` edges.
+
+    The search goes from both ends, always on from the smaller front. Rows carry the least path to them, so the two halves of the
+    answer meet in one join. Neighbours of a front are in it, in the front before or in the next, so only these are left out.
+    """
     spark = edges.sparkSession
-    both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    kind = both.schema["src"].dataType.simpleString()
-    front = spark.createDataFrame([(start, None, 0)], f"id {kind}, parent {kind}, step int")
-    seen, steps = front, 0
-    while steps < max_length and front.filter(F.col("id") == end).isEmpty():
-        steps += 1
-        front = cut(front.join(both, F.col("id") == F.col("src")).groupBy("dst").agg(F.min("src").alias("parent")).join(seen.select(F.col("id").alias("dst")), "dst", "left_anti").select(F.col("dst").alias("id"), "parent", F.lit(steps).alias("step")))
-        if front.isEmpty():
-            return spark.createDataFrame([], f"step int, id {kind}")
-        seen = cut(seen.union(front))
-    if front.filter(F.col("id") == end).isEmpty():  # farther than max_length
-        return spark.createDataFrame([], f"step int, id {kind}")
-    path, at = [], end
-    for step in range(steps, -1, -1):  # one row for each step of the path
-        path.append((step, at))
-        row = seen.filter(F.col("id") == at).first()
-        at = row["parent"]
-    return spark.createDataFrame(path[::-1], f"step int, id {kind}")
+    kind = edges.schema["src"].dataType.simpleString()
+    if start == end:
+        return spark.createDataFrame([(0, start)], f"step int, id {kind}")
+    known = edges.filter("src IS NOT NULL AND dst IS NOT NULL")
+    both = stage(known.select("src", "dst").union(known.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges")
+    at = lambda v: spark.createDataFrame([(v, [v])], f"id {kind}, path array<{kind}>")
+    fronts, earlier, sizes = [at(start), at(end)], [None, None], [1, 1]
+    grow = [lambda: F.concat("path", F.array("dst")), lambda: F.concat(F.array("dst"), "path")]
+    for _ in range(max_length):
+        k = 0 if sizes[0] <= sizes[1] else 1
+        old = fronts[k].select("id") if earlier[k] is None else fronts[k].select("id").union(earlier[k].select("id"))
+        grown = fronts[k].join(both, F.col("id") == F.col("src")).groupBy("dst").agg(F.min(grow[k]()).alias("path")).select(F.col("dst").alias("id"), "path")
+        fronts[k], earlier[k] = cut(grown.join(old, "id", "left_anti")), fronts[k]
+        sizes[k] = fronts[k].count()
+        if not sizes[k]:
+            break
+        ahead, behind = fronts[0].select("id", "path"), fronts[1].select("id", F.col("path").alias("rest"))
+        met = ahead.join(behind, "id").select(F.concat("path", F.slice("rest", F.lit(2), F.size("rest"))).alias("path")).agg(F.min("path").alias("path"))
+        met = met.filter("path IS NOT NULL").select(F.posexplode("path").alias("step", "id"))
+        if not met.isEmpty():
+            return met
+    return spark.createDataFrame([], f"step int, id {kind}")
 
 
 def subgraph(edges: DataFrame, ranked: DataFrame, index: int) -> DataFrame:
