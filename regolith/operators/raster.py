@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regolith.operators.windows import exact_quantiles, group_quantile
+from regolith.session import stage
 
 NODATA = -1e6
 #: Pixels on a side of the tiles that neighbourhood operators work on.
@@ -61,6 +62,15 @@ def blend_mosaic(pixels: DataFrame, limit: float, weight: str | None = None) ->
     return pixels.groupBy("x", "y").agg(F.coalesce(mean, F.lit(NODATA)).alias("v"))
 
 
+def _levels(pixels: DataFrame, positions: DataFrame, chunk: int, split: int) -> DataFrame:
+    """The valid pixels of listed images, once for each (level, part) that they go into."""
+    rows = pixels.filter(valid(F.col("v"))).join(positions, "raster_id")
+    part = F.floor(F.col("pos") / chunk).cast("long")
+    half = F.when(part * chunk < split, 0).otherwise(1).cast("long")
+    level = lambda name, part: F.struct(F.lit(name).alias("level"), part.alias("part"))
+    return rows.withColumn("l", F.explode(F.array(level("chunk", part), level("half", half), level("all", F.lit(0).cast("long"))))).select("raster_id", "x", "y", "v", "l.level", "l.part")
+
+
 def chunked_max_lit(pixels: DataFrame, positions: DataFrame, chunk: int, split: int) -> DataFrame:
     """(level, part, x, y, v): maxima of chunks of listed images, of the two sides of ``split`` by where chunks begin, and of all."""
     rows = pixels.filter(valid(F.col("v"))).join(positions, "raster_id")
@@ -71,6 +81,21 @@ def chunked_max_lit(pixels: DataFrame, positions: DataFrame, chunk: int, split:
     return all_levels.select("x", "y", "v", F.explode(both).alias("l")).groupBy("l.level", "l.part", "x", "y").agg(F.max("v").alias("v"))
 
 
+def prune_and_remosaic(mosaics: DataFrame, pixels: DataFrame, positions: DataFrame, removed: DataFrame, chunk: int, split: int) -> DataFrame:
+    """The mosaics of ``chunked_max_lit`` without the ``removed`` images (raster_id), which keep their places in the list.
+
+    Only places where a removed image was the brightest of its part can change: these are made again from the images that stay,
+    and vanish where none has a valid value; all other rows are taken over as they are.
+    """
+    key = ["level", "part", "x", "y"]
+    gone = removed.select("raster_id").distinct()
+    out = _levels(pixels.join(gone, "raster_id", "left_semi"), positions, chunk, split).groupBy(*key).agg(F.max("v").alias("was"))
+    touched = stage(mosaics.join(out, key).filter("was >= v").select(*key), "touched")
+    stay = pixels.join(gone, "raster_id", "left_anti").join(touched.select("x", "y").distinct(), ["x", "y"], "left_semi")
+    again = _levels(stay, positions, chunk, split).join(touched, key, "left_semi").groupBy(*key).agg(F.max("v").alias("v"))
+    return mosaics.join(touched, key, "left_anti").select(*key, "v").unionByName(again)
+
+
 def count_over_threshold(pixels: DataFrame, limit: float) -> DataFrame:
     return pixels.groupBy("x", "y").agg(F.count_if(valid(F.col("v")) & (F.col("v") > limit)).alias("n"))
 
@@ -187,25 +212,33 @@ def padded_tiles(sizes: DataFrame, tile_x: int, tile_y: int, pad: int) -> DataFr
     return grid.select((10001 + F.col("i") * F.col("ny") + F.col("j")).alias("tile"), edge("i", "w", "size_x", 0).alias("x0"), edge("j", "h", "size_y", 0).alias("y0"), edge("i", "w", "size_x", 1).alias("x1"), edge("j", "h", "size_y", 1).alias("y1"))
 
 
-def on_tiles(pixels: DataFrame, halo: int, kernel, tile: int = TILE) -> DataFrame:
-    """Apply ``kernel(array) -> array`` (NaN is no data) to every tile with ``halo`` pixels around it; returns its own pixels.
+def _by_tile(pixels: DataFrame, halo: int, tile: int, run, schema: str) -> DataFrame:
+    """``run(raster, array, own rows, own columns, x, y)`` for every tile, with ``halo`` pixels around it; NaN is no data.
 
     A pixel is copied to the neighbouring tiles whose halo it is in, so tiles are independent groups of bounded size.
     """
     near = lambda c: F.sequence(F.floor((F.col(c) - halo) / tile).cast("int"), F.floor((F.col(c) + halo) / tile).cast("int"))
     dealt = pixels.select("raster_id", "x", "y", F.when(valid(F.col("v")), F.col("v")).alias("v")).withColumn("ti", F.explode(near("x"))).withColumn("tj", F.explode(near("y")))
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def of_tile(key, rows: pd.DataFrame) -> pd.DataFrame:
         raster, ti, tj = key
         side = tile + 2 * halo
         grid = np.full((side, side), np.nan)
         gx, gy = rows["x"].to_numpy() - ti * tile + halo, rows["y"].to_numpy() - tj * tile + halo
         grid[gy, gx] = rows["v"].to_numpy(dtype=float)
-        out = kernel(grid)
         own = (gx >= halo) & (gx < halo + tile) & (gy >= halo) & (gy < halo + tile)
-        return pd.DataFrame({"raster_id": raster, "x": rows["x"].to_numpy()[own], "y": rows["y"].to_numpy()[own], "v": out[gy[own], gx[own]]})
+        return run(raster, grid, gy[own], gx[own], rows["x"].to_numpy()[own], rows["y"].to_numpy()[own])
+
+    return dealt.groupBy("raster_id", "ti", "tj").applyInPandas(of_tile, schema)
+
+
+def on_tiles(pixels: DataFrame, halo: int, kernel, tile: int = TILE) -> DataFrame:
+    """Apply ``kernel(array) -> array`` (NaN is no data) to every tile with ``halo`` pixels around it; returns its own pixels."""
 
-    return dealt.groupBy("raster_id", "ti", "tj").applyInPandas(run, f"raster_id {pixels.schema['raster_id'].dataType.simpleString()}, x int, y int, v double")
+    def run(raster, grid, gy, gx, x, y) -> pd.DataFrame:
+        return pd.DataFrame({"raster_id": raster, "x": x, "y": y, "v": kernel(grid)[gy, gx]})
+
+    return _by_tile(pixels, halo, tile, run, f"raster_id {pixels.schema['raster_id'].dataType.simpleString()}, x int, y int, v double")
 
 
 def edge_distance(grid: np.ndarray, most: int) -> np.ndarray:
@@ -224,28 +257,39 @@ def edge_distance_weight(pixels: DataFrame, most: int = 32) -> DataFrame:
     return on_tiles(pixels, most, lambda g: np.where(np.isnan(g), np.nan, edge_distance(g, most) / most))
 
 
+def _relief(g: np.ndarray, z: float, cell: float) -> tuple[np.ndarray, np.ndarray]:
+    """(slope, aspect) in radians from 3 x 3 gradients."""
+    p = np.pad(g, 1, constant_values=np.nan)
+    a, b, c, d, f, h, i, k = p[:-2, :-2], p[:-2, 1:-1], p[:-2, 2:], p[1:-1, :-2], p[1:-1, 2:], p[2:, :-2], p[2:, 1:-1], p[2:, 2:]
+    dx = ((c + 2 * f + k) - (a + 2 * d + h)) / (8 * cell)
+    dy = ((h + 2 * i + k) - (a + 2 * b + c)) / (8 * cell)
+    return np.arctan(z * np.hypot(dx, dy)), np.arctan2(dy, -dx)
+
+
+def _shade(slope: np.ndarray, aspect: np.ndarray, azimuth: float, altitude: float) -> np.ndarray:
+    az, alt = np.radians(360 - azimuth + 90), np.radians(altitude)
+    return np.clip(255 * (np.sin(alt) * np.cos(slope) + np.cos(alt) * np.sin(slope) * np.cos(az - aspect)), 0, 255)
+
+
 def hillshade(pixels: DataFrame, azimuth: float, altitude: float = 45.0, z: float = 1.0, cell: float = 1.0) -> DataFrame:
     """0 to 255 from 3 x 3 gradients."""
-    az, alt = np.radians(360 - azimuth + 90), np.radians(altitude)
+    return on_tiles(pixels, 1, lambda g: _shade(*_relief(g, z, cell), azimuth, altitude))
 
-    def kernel(g):
-        p = np.pad(g, 1, constant_values=np.nan)
-        a, b, c, d, f, h, i, k = p[:-2, :-2], p[:-2, 1:-1], p[:-2, 2:], p[1:-1, :-2], p[1:-1, 2:], p[2:, :-2], p[2:, 1:-1], p[2:, 2:]
-        dx = ((c + 2 * f + k) - (a + 2 * d + h)) / (8 * cell)
-        dy = ((h + 2 * i + k) - (a + 2 * b + c)) / (8 * cell)
-        slope, aspect = np.arctan(z * np.hypot(dx, dy)), np.arctan2(dy, -dx)
-        return np.clip(255 * (np.sin(alt) * np.cos(slope) + np.cos(alt) * np.sin(slope) * np.cos(az - aspect)), 0, 255)
 
-    return on_tiles(pixels, 1, kernel)
+def best_azimuth(pixels: DataFrame, altitude: float = 45.0, default: float = 300.0, tile: int = TILE) -> DataFrame:
+    """(azimuth): of eight, the one whose shading is brightest on average; the first of equals.
+
+    One pass: a tile's relief is made once, and it gives a row with a sum and a number of pixels for each azimuth.
+    """
 
+    def run(raster, grid, gy, gx, x, y) -> pd.DataFrame:
+        slope, aspect = (v[gy, gx] for v in _relief(grid, 1.0, 1.0))
+        known = ~np.isnan(slope)
+        azimuths = list(range(0, 360, 45))
+        return pd.DataFrame({"azimuth": [float(a) for a in azimuths], "total": [float(_shade(slope[known], aspect[known], a, altitude).sum()) for a in azimuths], "n": [int(known.sum())] * len(azimuths)})
 
-def best_azimuth(pixels: DataFrame, altitude: float = 45.0, default: float = 300.0) -> DataFrame:
-    """(azimuth): of eight, the one whose shading is brightest on average; the first of equals."""
-    every = None
-    for az in range(0, 360, 45):
-        one = hillshade(pixels, az, altitude).agg(F.avg(F.when(~F.isnan("v"), F.col("v"))).alias("m")).select(F.lit(float(az)).alias("azimuth"), "m")
-        every = one if every is None else every.unionAll(one)
-    return every.filter("m IS NOT NULL").agg(F.coalesce(F.max_by("azimuth", F.struct("m", -F.col("azimuth"))), F.lit(default)).alias("azimuth"))
+    sums = _by_tile(pixels, 1, tile, run, "azimuth double, total double, n bigint").groupBy("azimuth").agg((F.sum("total") / F.when(F.sum("n") > 0, F.sum("n"))).alias("m"))
+    return sums.filter("m IS NOT NULL").agg(F.coalesce(F.max_by("azimuth", F.struct("m", -F.col("azimuth"))), F.lit(default)).alias("azimuth"))
 
 
 def gaussian_blur(pixels: DataFrame, sigma: float) -> DataFrame:
@@ -289,33 +333,56 @@ def blend_to_reference(reference: DataFrame, dem: DataFrame, brightest: DataFram
     return both.select("x", "y", (w * F.coalesce("new", F.lit(0.0)) + (1 - w) * F.col("ref")).alias("v"))
 
 
-def stripe_score(pixels: DataFrame, dark: float = 0.005, side: int = 1024) -> DataFrame:
-    """(raster_id, score): strength of the strongest off-axis frequency of a crop after a 9 x 9 high pass, over the mean.
+def _in_tiles(rows: DataFrame, c: str, side: int) -> DataFrame:
+    """Rows once for each tile along the axis ``c`` that holds them or has them within 4 pixels: its width w, number t and the offset o in it."""
+    n, w = F.col("n" + c), F.least("n" + c, F.lit(side))
+    last = F.ceil(n / w) - 1
+    near = F.transform(F.array(F.col(c) - 4, F.col(c) + 4, n - 1), lambda x: F.least(F.greatest(F.floor(x / w), F.lit(0)), last))
+    rows = rows.withColumn("w" + c, w).withColumn("t" + c, F.explode(F.array_distinct(near)))
+    offset = F.col(c) - F.least(F.col("t" + c) * w, n - w)
+    return rows.withColumn("o" + c, offset).filter((F.col("o" + c) >= -4) & (F.col("o" + c) < F.col("w" + c) + 4))
+
+
+def stripe_score(pixels: DataFrame, dark: float = 0.005, side: int = 256, region: tuple[int, int, int, int] | str | None = None) -> DataFrame:
+    """(raster_id, score): strength of the strongest off-axis frequency after a 9 x 9 high pass, over the mean strength.
 
-    The crop is the ``side`` x ``side`` pixels at the raster's first column and row, so that a group is bounded. Null for
-    crops under 60 pixels on a side or with over 30 % dark pixels.
+    Of the whole raster, of the pixels of ``region`` (x0, y0, x1, y1; ends left out), or of the middle half of either side
+    (``"centre"``). The window is cut into tiles of at most ``side`` x ``side``, the last ones moved back into it, each with the pixels around it that
+    the high pass needs (mirrored at the window's borders); the tiles' squared spectra are averaged, so a window that is one tile
+    gives the spectrum itself. Missing pixels count as 0. Null for windows under 60 pixels on a side or with over 30 % of pixels up to ``dark``.
     """
-    first = pixels.groupBy("raster_id").agg(F.min("x").alias("__x"), F.min("y").alias("__y"))
-    crops = pixels.join(first, "raster_id").filter((F.col("x") < F.col("__x") + side) & (F.col("y") < F.col("__y") + side)).select("raster_id", "x", "y", "v")
+    rows = pixels.select("raster_id", "x", "y", F.when(valid(F.col("v")), F.col("v").cast("double")).otherwise(0.0).alias("v"))
+    span = rows.groupBy("raster_id").agg(*[f(c).alias(f.__name__ + c) for c in "xy" for f in (F.min, F.max)])
+    for c, k in (("x", 0), ("y", 1)):
+        a, size = F.col("min" + c), F.col("max" + c) + 1 - F.col("min" + c)
+        begin, end = (a, a + size) if region is None else (a + F.floor(size / 4), a + F.floor(3 * size / 4)) if region == "centre" else (F.greatest(a, F.lit(region[k])), F.least(a + size, F.lit(region[k + 2])))
+        span = span.withColumns({"b" + c: begin.cast("int"), "n" + c: (end - begin).cast("int")})
+    span = span.select("raster_id", "bx", "nx", "by", "ny")
+    inside = rows.join(span, "raster_id").withColumns({"x": (F.col("x") - F.col("bx")).cast("int"), "y": (F.col("y") - F.col("by")).cast("int")}).filter("x >= 0 AND x < nx AND y >= 0 AND y < ny")
+    lit = inside.groupBy("raster_id", "nx", "ny").agg(F.count_if(F.col("v") > dark).alias("lit"))
+    able = lit.filter((F.least("nx", "ny") >= 60) & (F.col("lit") >= 0.7 * F.col("nx") * F.col("ny"))).select("raster_id")
+    dealt = inside.join(able, "raster_id", "left_semi")
+    for c in "xy":
+        dealt = _in_tiles(dealt, c, side)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        x, y = rows["x"].to_numpy() - rows["x"].min(), rows["y"].to_numpy() - rows["y"].min()
-        g = np.full((y.max() + 1, x.max() + 1), np.nan)
-        g[y, x] = rows["v"].to_numpy(dtype=float)
-        score = np.nan
-        if min(g.shape) >= 60 and np.mean(~(g > dark)) <= 0.3:
-            g = np.where(np.isnan(g), np.nanmean(g), g)
-            total = np.pad(np.cumsum(np.cumsum(np.pad(g, 4, mode="edge"), 0), 1), ((1, 0), (1, 0)))
-            mean = (total[9:, 9:] - total[:-9, 9:] - total[9:, :-9] + total[:-9, :-9]) / 81
-            power = np.abs(np.fft.fftshift(np.fft.fft2(g - mean)))
-            cy, cx = power.shape[0] // 2, power.shape[1] // 2
-            power[cy - 2 : cy + 3, :] = 0
-            power[:, cx - 2 : cx + 3] = 0
-            score = power.max() / power[power > 0].mean() if (power > 0).any() else 0.0
-        return pd.DataFrame({"raster_id": [rows["raster_id"].iloc[0]], "score": [score]})
-
-    kind = crops.schema["raster_id"].dataType.simpleString()
-    return crops.groupBy("raster_id").applyInPandas(run, f"raster_id {kind}, score double").select("raster_id", F.when(~F.isnan("score"), F.col("score")).alias("score"))
+        w, h = int(rows["wx"].iloc[0]), int(rows["wy"].iloc[0])
+        x, y = rows["ox"].to_numpy(), rows["oy"].to_numpy()
+        around = [[max(0, -int(o.min())), max(0, int(o.max()) - n + 1)] for o, n in ((y, h), (x, w))]
+        g = np.zeros((h + sum(around[0]), w + sum(around[1])))
+        g[y + around[0][0], x + around[1][0]] = rows["v"].to_numpy()
+        g = np.pad(g, [(4 - a, 4 - b) for a, b in around], mode="symmetric")
+        total = np.pad(np.cumsum(np.cumsum(g, 0), 1), ((1, 0), (1, 0)))
+        mean = (total[9:, 9:] - total[:-9, 9:] - total[9:, :-9] + total[:-9, :-9]) / 81
+        power = np.abs(np.fft.fft2(g[4:-4, 4:-4] - mean)) ** 2
+        u, v = np.meshgrid(*[np.abs(np.fft.fftfreq(n, 1 / n)) for n in (w, h)])
+        return pd.DataFrame({"raster_id": rows["raster_id"].iloc[0], "f": np.arange(w * h), "off": ((u > 4) & (v > 4)).ravel(), "p": power.ravel()})
+
+    kind = pixels.schema["raster_id"].dataType.simpleString()
+    spectra = dealt.select("raster_id", "tx", "ty", "wx", "wy", F.col("ox").cast("int").alias("ox"), F.col("oy").cast("int").alias("oy"), "v").groupBy("raster_id", "tx", "ty").applyInPandas(run, f"raster_id {kind}, f int, off boolean, p double")
+    strength = spectra.groupBy("raster_id", "f", "off").agg(F.sqrt(F.avg("p")).alias("s"))
+    scores = strength.groupBy("raster_id").agg((F.max(F.when(F.col("off"), F.col("s")).otherwise(0.0)) / (F.avg("s") + 1e-9)).alias("score"))
+    return span.select("raster_id").join(scores, "raster_id", "left")
 
 
 def bounds_polygons(pixels: DataFrame) -> DataFrame:
