@@ -796,7 +796,7 @@ def not_done(t: Load) -> DataFrame:
     return streams.not_done(t("images").select("product_id"), t("registered_ids"), "product_id")
 
 
-from regolith.plans import more_queries, roundtrips  # noqa: E402, F401  (they register theirs)
+from regolith.plans import more_queries, polygon_queries, roundtrips  # noqa: E402, F401  (they register theirs)
 
 
 def queries() -> dict[str, Callable]:
