@@ -1,4 +1,4 @@
-"""Queries on polygons that aren't convex, on containment, stripes, pruned mosaics and paths, each beside the SQL that must give the same rows."""
+"""Queries on polygons that aren't convex, on containment, paths, stripes, pruned mosaics and progress, each beside the SQL that must give the same rows."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from regolith.functions import geometry
 from regolith.operators import coverage, graph, joins, polygons, raster
 from regolith.plans import network
 from regolith.plans.registry import _WALK, Load, query
+from regolith.streaming import monitor
 
 # Every even image is an L, every odd one a frame with a hole. In SQL both are sums of boxes, a hole with the sign -1.
 
@@ -152,3 +153,17 @@ def dense_stripe_scores(t: Load) -> DataFrame:
 SELECT id, reasons FROM told WHERE reasons <> ''""")
 def flagged_striped_frames(t: Load) -> DataFrame:
     return network.flag_frames(_dense(t), {"p": (1.1, 0.05), "score": (1.2, 5.0)}, decimate_by=2, least=1)
+
+
+# Progress of jobs.
+
+
+@query("events", sql="""WITH b AS (SELECT event_type AS key, CAST(floor(epoch(ts) / 86400) AS BIGINT) AS b, count(*) AS n FROM events GROUP BY 1, 2), all_events AS (SELECT count(*) AS total, CAST(floor(max(epoch(ts)) / 86400) AS BIGINT) AS last FROM events),
+ s AS (SELECT key, min(b) AS first FROM b GROUP BY 1), e AS (SELECT key, first, total, unnest(range(first + 1, last + 1)) AS e FROM s, all_events),
+ d AS (SELECT e.key, first, total, e, (SELECT CAST(sum(n) AS BIGINT) FROM b WHERE b.key = e.key AND b.b < e.e) AS done, (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM b WHERE b.key = e.key AND b.b < e.e - 1) AS was FROM e),
+ r AS (SELECT *, done * 60 // ((e - first) * 86400) AS per_minute FROM d WHERE was < total)
+SELECT key, e AS day, done, per_minute, total - done AS remaining, coalesce((total - done) // nullif(per_minute, 0), -1) AS eta_minutes, CAST(done * 100 // total AS INT) AS percent FROM r""")
+def monitored_progress(t: Load) -> DataFrame:
+    total = t("events").count()
+    found = monitor.reports(t("events"), "event_type", "ts", total, 86400)
+    return found.select("key", F.floor(F.unix_seconds("at") / 86400).alias("day"), "done", "per_minute", "remaining", F.coalesce("eta_minutes", F.lit(-1)).cast("long").alias("eta_minutes"), "percent")
