@@ -20,8 +20,8 @@ from regolith.session import stage
 
 #: Bytes of text in a block of the index; a longer document is a block of its own.
 BLOCK = 16 * tx.SLICE
-#: Words fall into 2**BUCKET_BITS buckets.
-BUCKET_BITS = 10
+#: Words fall into 2**BUCKET_BITS buckets, and a bucket's blocks into SHARES parts, each written by one task.
+BUCKET_BITS, SHARES = 10, 64
 
 
 def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +78,7 @@ def _bucket(term):
 
 
 def build_index(docs: DataFrame, row: str, text_col: str) -> Index:
-    """The index of ``docs``, whose ``row`` numbers are distinct; written to the shared folder, dealt by bucket."""
+    """The index of ``docs``, whose ``row`` numbers are distinct; written to the shared folder, dealt by bucket and part of the blocks."""
 
     def run(batches):
         for batch in batches:
@@ -107,7 +107,8 @@ def build_index(docs: DataFrame, row: str, text_col: str) -> Index:
 
     kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
     made = docs.select(F.col(row).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "block bigint, bucket int, terms binary, counts binary, gaps binary, rows array<bigint>, first array<bigint>")
-    place = F.coalesce(F.col("bucket").cast("long"), F.xxhash64("block"))
+    # with a part of the blocks in the key, so that the bucket of a very common word is written by many tasks
+    place = F.xxhash64("bucket", F.pmod(F.xxhash64("block"), F.lit(SHARES)))
     index = stage(made.withColumn("place", place).repartition("place").drop("place"), "index", "zstd")
     return Index(index.filter("bucket IS NOT NULL").select("bucket", "block", "terms", "counts", "gaps"), index.filter("bucket IS NULL").select("block", "rows", "first"))
 

@@ -462,3 +462,20 @@ def test_quality_with_null_and_conflicting_labels_and_long_texts(spark):
     got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
     assert len(got) == 63 and all(0 <= x <= 1 for x in got.values())
     assert all((got[i] > 0.5) == bool(i % 2) for i in range(40, 60)) and got[60] > 0.5
+
+
+def test_one_word_in_every_position_is_dealt_out(spark):
+    """The positions of a word that is everywhere are written by many tasks, and its windows are found."""
+    text = "same " * 40
+    docs = spark.createDataFrame([(i, text if i % 2 else f"{text} other{i}") for i in range(300)], "doc_id bigint, text string").repartition(150)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = decontam.build_index(docs, "doc_id", "text")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    placed = index.buckets.select("bucket", F.input_file_name().alias("file"))
+    hot = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("file").alias("files")).orderBy(F.desc("rows")).first()
+    assert hot.rows > 100 and hot.files > 4
+    bench = spark.createDataFrame([("x", "same " * 13), ("y", "same other2")], "item_id string, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontam.contamination(docs, bench).collect()}
+    assert got == {i: (40, 40, ["x"]) if i % 2 else (41, 41 if i == 2 else 40, ["x", "y"] if i == 2 else ["x"]) for i in range(300)}
