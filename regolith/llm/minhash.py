@@ -17,6 +17,8 @@ HASHES, ROWS = 125, 5
 SMALL = 12
 #: By how much that number grows in each round: pivots have then parted the groups that are large by many copies.
 GROWTH = 8
+#: Rounds at most: buckets of SMALL * GROWTH ** ROUNDS classes are beyond any table.
+ROUNDS = 24
 #: Standard errors below the limit at which a signature still passes to the full comparison.
 SLACK = 5.0
 
@@ -140,7 +142,8 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     links don't join can only be linked if they share enough shingles that the pivot lacks (found by their rarest ones), or
     if the numbers of shingles that they lack and add allow it (see ``_compatible``): such groups are the next round's buckets, if they hold several
     components. Each is smaller, as its pivot has left, and in groups of edited copies hardly any are left after the first
-    round. No bucket is capped, and no group's pairs are all formed.
+    round. No bucket is capped. Where later rounds leave a group open, its pairs from different components are all compared if it has no more than
+    SMALL * GROWTH ** round classes; so rounds end after the logarithm of the largest bucket, and more than ROUNDS are an error.
     """
     rows = stage(features(docs, size, "row", "text"), "shingles")
     sets = rows.filter("key IS NOT NULL")
@@ -159,7 +162,7 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     weight = members.groupBy("doc").agg(F.sum("size").alias("weight"))
     state = members.filter(F.col("size") > SMALL).select("bucket", "doc")
     links, whole, small = None, None, SMALL
-    while True:
+    for _ in range(ROUNDS):
         pivots = stage(state.join(weight, "doc").groupBy("bucket").agg(F.max_by("doc", F.struct("weight", -F.col("doc"))).alias("pivot")), "pivots")
         spokes = state.join(pivots, "bucket").filter("doc <> pivot").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"), "pivot")
         asked = spokes.union(pairs.select("a", "b", F.lit(None).cast("long").alias("pivot"))).distinct()
@@ -176,6 +179,8 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
         small *= GROWTH
         pairs = _pairs(members.filter(F.col("size") <= small), "component")
         state = members.filter(F.col("size") > small).select("bucket", "doc")
+    else:
+        raise RuntimeError(f"near duplicates did not settle in {ROUNDS} rounds")
     degree = links.distinct().select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
     named = classes.join(whole, F.col("rep") == whole["id"], "left").drop("id").join(degree, F.col("rep") == degree["id"], "left")
     named = named.select("key", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
