@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regolith.functions import ids
-from regolith.operators.windows import chunk_rows
+from regolith.operators.windows import chunk_rows, global_rank
 
 
 def order_pairs(pairs: DataFrame) -> DataFrame:
@@ -27,10 +27,22 @@ def sort_by_azimuth(rows: DataFrame, azimuth: str) -> DataFrame:
 
 
 def random_sample(rows: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """Exactly n rows, the same for a seed; more than there are is an error."""
-    if n > rows.count():
+    """Exactly n rows, the same for a seed: those with the least hashes; more than there are is an error.
+
+    Only rows with a hash below about the n-th are ranked, by tasks for ranges of hashes; the bound grows until it holds n rows.
+    """
+    total = rows.count()
+    if n > total:
         raise ValueError("the list is shorter than the sample")
-    return rows.orderBy(F.xxhash64(F.lit(seed), *rows.columns), *rows.columns).limit(n)
+    if not n:
+        return rows.limit(0)
+    marked, share = rows.withColumn("__h", F.xxhash64(F.lit(seed), *rows.columns)), (n + 5 * n**0.5 + 5) / total
+    while True:
+        near = marked if share >= 1 else marked.filter(F.col("__h") <= int((share - 0.5) * 2**64))
+        if share >= 1 or near.count() >= n:
+            break
+        share *= 2
+    return global_rank(near, ["__h", *rows.columns], "__r").filter(F.col("__r") <= n).select(*rows.columns)
 
 
 def cap_products(rows: DataFrame, n: int, key: str) -> DataFrame:

@@ -273,7 +273,17 @@ def flagged_frames(t: Load) -> DataFrame:
     return network.flag_frames(t("pixels"), {"p": (0.99, 0.05), "score": (3.0, 10.0)}, decimate_by=2, least=1)
 
 
-@query("pixels")
+_BLEND = """, top AS (SELECT x, y, max(v) AS v, avg(v) AS m FROM pixels GROUP BY 1, 2), dark AS (SELECT x, y, x * 1000 + y AS id FROM top WHERE v <= 0.02),
+ near AS (SELECT a.id AS a, b.id AS b FROM dark a JOIN dark b ON abs(a.x - b.x) + abs(a.y - b.y) <= 1), part(id, root) AS (SELECT id, id FROM dark UNION SELECT near.b, part.root FROM part JOIN near ON near.a = part.id),
+ named AS (SELECT id, min(root) AS root FROM part GROUP BY 1), large AS (SELECT root FROM named GROUP BY 1 HAVING count(*) >= 2), shadow AS (SELECT x, y FROM dark JOIN named USING (id) WHERE root IN (SELECT root FROM large)),
+ gap AS (SELECT a.i AS x, b.j AS y FROM range(-1, 65) a(i), range(-1, 65) b(j) WHERE (a.i, b.j) NOT IN (SELECT (x, y) FROM top) UNION SELECT x, y FROM shadow),
+ far AS (SELECT top.x, top.y, least(min(abs(top.x - gap.x) + abs(top.y - gap.y)), 4) / 4.0::DOUBLE AS w FROM top, gap GROUP BY 1, 2)
+"""
+
+
+@query("pixels", sql=_BLEND + "SELECT x, y, round(w * (100 * v + x) + (1 - w) * (50 * m - y), 6) AS v FROM top JOIN far USING (x, y)")
 def blended_to_reference(t: Load) -> DataFrame:
-    places = t("pixels").groupBy("x", "y").agg(F.max("v").alias("v"))
-    return raster.blend_to_reference(places.withColumn("v", F.lit(0.0)), places.withColumn("v", F.lit(1.0)), places, 0.02, 4, 3).select("x", "y", *rounded("v"))
+    """A model of heights over a reference, both made of the images, where the brightest image is lit."""
+    places = t("pixels").groupBy("x", "y").agg(F.max("v").cast("double").alias("v"), F.avg("v").alias("m"))
+    reference, model = places.select("x", "y", (50 * F.col("m") - F.col("y")).alias("v")), places.select("x", "y", (100 * F.col("v") + F.col("x")).alias("v"))
+    return raster.blend_to_reference(reference, model, places.select("x", "y", "v"), 0.02, 4, 2).select("x", "y", *rounded("v"))

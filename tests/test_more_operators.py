@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from regolith.operators import coverage, graph, joins, ordering, raster, windows
+from regolith.operators import coverage, graph, joins, lists, ordering, raster, windows
 
 
 def strings(spark, values, name):
@@ -80,6 +80,16 @@ def test_streaks_over_many_blocks(spark, monkeypatch):
     assert {(r.intersects_prior, r.length): r.streaks for r in windows.streak_lengths(df).collect()} == want
 
 
+def test_random_sample_has_the_least_hashes(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 7).alias("g"))
+    for n in (0, 1, 40, 2990, 3000):
+        got = sorted(r.id for r in lists.random_sample(df, n, 5).collect())
+        want = df.withColumn("h", F.xxhash64(F.lit(5), "id", "g")).orderBy("h").limit(n)
+        assert got == sorted(r.id for r in want.collect())
+    same = spark.range(50).select(F.lit(1).alias("x"))
+    assert lists.random_sample(same, 7).count() == 7
+
+
 # Covers.
 
 
