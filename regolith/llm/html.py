@@ -50,7 +50,7 @@ class Token:
     tag: str  # "" for text
     text: str
     side: bool  # inside an element that surrounds articles
-    content: bool  # inside an element that holds them
+    content: int  # the outermost element that holds them around it, by number; 0 if there is none
     link: bool
     raw: bool  # not shown as text at all
     block: str = ""  # the innermost block around a text
@@ -91,14 +91,14 @@ class _Open:
     """The open elements, and where those of a name, those that bound a scope and paragraphs stand, so that no tag walks them all."""
 
     def __init__(self):
-        self.items: list[tuple[str, bool, bool, int, str]] = []  # tag, side, content, innermost doubtful element, innermost block
+        self.items: list[tuple[str, bool, int, int, str]] = []  # tag, side, content, innermost doubtful element, innermost block
         self.of: dict[str, list[int]] = {}
         self.scopes: list[int] = []
 
-    def top(self) -> tuple[bool, bool, int, str]:
-        return self.items[-1][1:] if self.items else (False, False, 0, "")
+    def top(self) -> tuple[bool, int, int, str]:
+        return self.items[-1][1:] if self.items else (False, 0, 0, "")
 
-    def push(self, name: str, side: bool, content: bool, own: int) -> None:
+    def push(self, name: str, side: bool, content: int, own: int) -> None:
         self.of.setdefault(name, []).append(len(self.items))
         if name in _SCOPE:
             self.scopes.append(len(self.items))
@@ -127,6 +127,7 @@ def scan(page: str) -> list[Token]:
     out: list[Token] = []
     stack = _Open()
     doubtful: list[list] = [[0, False, 0, 0, False]]  # the one around it, whether by name, words, words in articles, whether inside one
+    holders = 0  # elements that hold articles, so far
     unclosed: set[str] = set()  # names of elements that nothing further on closes
     titled = set()  # headers that hold a page's title and no menu
     opened: list[int] = []  # headers outside articles
@@ -167,7 +168,7 @@ def scan(page: str) -> list[Token]:
                 unclosed.add(name)
             at = end.end() if end else (n if name in ("script", "style", "textarea", "title", "xmp", "noembed", "noframes", "iframe") else at)
             if end or name in ("script", "style"):
-                out.append(Token(name, "", False, False, False, True))
+                out.append(Token(name, "", False, 0, False, True))
                 inside.append(0)
                 continue
         side, content, own, _ = stack.top()
@@ -193,8 +194,10 @@ def scan(page: str) -> list[Token]:
             elif name in ("nav", "ul", "form", "menu"):
                 titled.discard(own)
                 opened.pop()
-        within = content
-        content = content or name in CONTENT or attrs.get("role", "").lower() in ("main", "article")
+        within = bool(content)
+        if not content and (name in CONTENT or attrs.get("role", "").lower() in ("main", "article")):
+            holders += 1
+            content = holders
         side = side or bool(around and name != "form" or hidden)
         if not side and (named or name == "form"):
             doubtful.append([own, name != "form", 0, 0, within])
@@ -308,17 +311,16 @@ def _ends_block(t: Token) -> bool:
 def extract(page: str | None, w: Weights) -> str:
     """The main text of a page: the text blocks of the best region of what is left without surrounding elements.
 
-    A block that the region cuts is taken whole. On a page whose markup names articles, the other maximal regions are articles
-    too, or parts of them, and none is lost.
+    A block that the region cuts is taken whole. On a page whose markup names several articles, the best region of each is taken, so
+    that none is lost.
     """
     tokens = [t for t in scan(page or "") if not t.side and not t.raw or _ends_block(t)]
     places = [i for i, t in enumerate(tokens) if not t.side and not t.raw]
     shown = [tokens[i] for i in places]
-    found = regions(shown, w)
-    if not any(t.place == CONTENT_PLACE for t in shown):
-        found = sorted(found, key=lambda r: -r[2])[:1]
+    found = sorted(regions(shown, w), key=lambda r: -r[2])
+    best = {shown[r[0]].content: r for r in reversed(found)}  # the first of equals
     blocks, done = [], 0
-    for a, b, _ in found:
+    for a, b, _ in sorted({*found[:1], *(r for article, r in best.items() if article)}):
         first, last = places[a], places[b - 1]
         while first > done and not _ends_block(tokens[first - 1]):
             first -= 1
