@@ -421,6 +421,54 @@ def test_secrets_reported_are_seldom_false(spark):
     assert len(got) - wrong >= 170 and wrong <= 0.15 * len(got)
 
 
+def _names(rng, n):
+    """Names of methods with two digits, 20 to 31 characters."""
+    words = "User Order Item By Identifier Account Name From Config Request Handler Value Manager Index Client Session Update Response Service Factory".split()
+    out = []
+    while len(out) < n:
+        name = rng.choice(["get", "set", "find", "load", "make"]) + "".join(rng.choice(words) for _ in range(rng.choice([2, 3, 3, 4]))) + str(rng.randrange(10, 99))
+        out += [name] if 20 <= len(name) < 32 else []
+    return out
+
+
+@pytest.mark.parametrize(("false", "real"), [(300, 0), (1500, 0), (1500, 150), (0, 3)])
+def test_secrets_among_names(spark, false, real):
+    """No table of names alone reports more than a few; most random strings among ten times as many names are found, with few names beside them."""
+    rng = random.Random(false + real)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = [(-1 - i, "".join(rng.choice(letters) for _ in range(22)) + "a1") for i in range(real)] + list(enumerate(_names(rng, false)))
+    got = [r.doc_id for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect() if r.random]
+    wrong = sum(i >= 0 for i in got)
+    assert wrong <= (3 if not real else 0.1 * len(got)) and len(got) - wrong >= 0.5 * real
+
+
+def test_secrets_ignore_other_columns(spark):
+    rows = [(1, "token=abcdefghijkl012345", [3], "x", 2), (2, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, hex array<int>, strings string, tested int")
+    got = {r.doc_id: r for r in secrets.find_secrets(df).collect()}
+    assert [len(got[1][k]) for k in ("assign", "access", "hex", "random")] == [1, 0, 0, 0] and not any(got[2][k] for k in ("assign", "hex", "random"))
+
+
+def test_secrets_in_long_texts_take_time_near_their_length(spark):
+    """Base spans and candidates beside each other, and one string of many parts, in more than one block of every fold."""
+    import time
+
+    rng = random.Random(6)
+    make = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    lower = "abcdefghijklmnopqrstuvwxyz0123456789"
+    tokens = [make(24, lower + lower[:26].upper()) for _ in range(3000)]
+    mixed = " ".join(make(20, "0123456789abcdef") + " " + t for t in tokens)
+    path = "/".join(make(24, lower + "_") for _ in range(3000))
+    began = time.time()
+    got = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame([(1, mixed), (2, path), (3, "a1B2" * 50_000)], "doc_id bigint, text string")).collect()}
+    assert time.time() - began < 60
+    assert len(got[1].hex) == 3000 and len(got[1].random) > 2700
+    for text, r in ((mixed, got[1]), (path, got[2])):
+        assert all(text[x.a : x.b] == x.s for x in [*r.hex, *r.random])
+        assert all(x.b <= y.a for x, y in zip(r.random[:-1], r.random[1:], strict=True))
+    assert len(got[2].random) > 1000 and not got[3].random
+
+
 def test_secrets_in_a_long_text_of_many_matches(spark):
     text = "token=abcdefghijkl012345 0123456789abcdef0123 " * 3000
     r = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
