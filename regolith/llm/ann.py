@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from regolith.llm.text import repeat_ranges
 
-#: Vectors in a shard, on average. Up to SHARDS shards are small, so that small tables have several tasks; then shards grow to
-#: LARGE vectors (a beam search hardly takes longer in a larger graph), and beyond that their number grows.
-SHARD, SHARDS, LARGE = 4096, 16, 32768
+#: Vectors in a shard, on average, at every size of the table: recall of a beam falls in larger graphs.
+SHARD = 8192
 
 
 def search(vectors: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +152,8 @@ class Shard:
                 by = np.lexsort((own, group.ravel()))
                 first = np.searchsorted(group.ravel()[by], np.arange(len(unique) + 1))
                 unit = _unit(unique)
-                self.graphs[d] = (unit, own[by], first, *build(unit.astype(np.float32), self.degree, self.beam))
+                single = unit.astype(np.float32)
+                self.graphs[d] = (unit, single, own[by], first, *build(single, self.degree, max(self.degree, self.beam // 2)))
             else:
                 self.graphs[d] = None
         return self.graphs[d]
@@ -165,13 +165,13 @@ class Shard:
             graph = self._graph(d)
             if graph is None:
                 continue
-            unit, own, first, edges, entry = graph
+            unit, single, own, first, edges, entry = graph
             them = np.flatnonzero(sizes == d)
             most = max(1, min(512, (64 << 20) // len(unit)))  # what a search marks as seen stays below 64 MB
             for low in range(0, len(them), most):
                 part = them[low : low + most]
                 q = _unit(flat[starts[part][:, None] + np.arange(d)])
-                place, _ = search(unit.astype(np.float32), edges, entry, q.astype(np.float32), max(self.beam, 4 * self.k))
+                place, _ = search(single, edges, entry, q.astype(np.float32), max(self.beam, 4 * self.k))
                 for r, row in enumerate(part.tolist()):
                     found = place[r][place[r] >= 0]
                     best = []
@@ -188,11 +188,11 @@ def _unit(v: np.ndarray) -> np.ndarray:
 
 
 def nearest(
-    table: DataFrame, query: DataFrame, k: int = 5, degree: int = 24, beam: int = 64, shard: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding"
+    table: DataFrame, query: DataFrame, k: int = 5, degree: int = 32, beam: int = 128, shard: int = SHARD, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest by cosine found for each row of ``query`` among all rows of ``table``.
 
-    Rows fall into shards by a hash of id and vector, of ``shard`` vectors on average if given; each shard holds a graph over
+    Rows fall into shards by a hash of id and vector, of ``shard`` vectors on average whatever the table's size; each shard holds a graph over
     its distinct vectors. Every query is searched in every shard: a task reads a shard's vectors, builds the graph, and then
     lets the queries stream through it, so that it never holds more than one shard and one batch of queries, however many
     there are. The shards' best are merged by a window per query. Copies of a vector are one vertex of the graph whose ids are
@@ -209,7 +209,7 @@ def nearest(
 
     base, asked = valid(table), valid(query)
     n = base.count()
-    shards = max(1, -(-n // shard)) if shard else max(1, min(SHARDS, -(-n // SHARD)), -(-n // LARGE))
+    shards = max(1, -(-n // shard))
     rows = base.select("id", "v", F.pmod(F.xxhash64("v", "id"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("ask"))
     asks = asked.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("ask"))
 

@@ -527,3 +527,18 @@ def test_one_word_in_every_position_is_dealt_out(spark):
     bench = spark.createDataFrame([("x", "same " * 13), ("y", "same other2")], "item_id string, text string")
     got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontam.contamination(docs, bench).collect()}
     assert got == {i: (40, 40, ["x"]) if i % 2 else (41, 41 if i == 2 else 40, ["x", "y"] if i == 2 else ["x"]) for i in range(300)}
+
+
+def test_neighbours_in_a_shard_of_full_size():
+    """Vectors without any clusters, asked by others that the graph doesn't hold, as most shards are: recall at the query's own parameters."""
+    import inspect
+
+    given = {k: v.default for k, v in inspect.signature(ann.nearest).parameters.items()}
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(given["shard"] + 100, 64))
+    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    held, asked = v[100:], v[:100]
+    graph, entry = ann.build(held, given["degree"], given["beam"] // 2)
+    found, _ = ann.search(held, graph, entry, asked, given["beam"])
+    true = np.argsort(-(asked @ held.T), axis=1)[:, :5]
+    assert np.mean([len(set(a[:5]) & set(b)) / 5 for a, b in zip(found.tolist(), true.tolist(), strict=True)]) >= 0.95
