@@ -28,6 +28,10 @@ RINGS = f"array<{geometry.RING}>"
 _TRAPEZOID = ["y0", "y1", "la", "lb", "ra", "rb"]
 #: Corners up to which polygons are cut within a batch of rows.
 SMALL = 64
+#: Trapezoids of a polygon, next to each other, that meet others as one row.
+BLOCK = 16
+#: Pairs of trapezoids that are in memory at once.
+PAIRS = 200_000
 
 
 def _whole(polygons: DataFrame, key: str, rings: str) -> DataFrame:
@@ -181,40 +185,84 @@ def areas(traps: DataFrame, key: str) -> DataFrame:
     return traps.groupBy(key).agg(F.sum((F.col("y1") - F.col("y0")) * (F.col("ra") - F.col("la") + F.col("rb") - F.col("lb")) / 2).alias("area"))
 
 
-def common_area(p: str = "l_", q: str = "r_") -> Column:
-    """The area that two trapezoids share: their common width is linear between the heights where their sides cross."""
-    y0, y1 = F.greatest(p + "y0", q + "y0"), F.least(p + "y1", q + "y1")
-    slope = {s: (F.col(s[:-1] + s[-1] + "b") - F.col(s[:-1] + s[-1] + "a")) / (F.col(s[:-1] + "y1") - F.col(s[:-1] + "y0")) for s in (p + "l", p + "r", q + "l", q + "r")}
-    x = lambda s, y: F.col(s + "a") + (y - F.col(s[:-1] + "y0")) * slope[s]
+def common_areas(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The areas that pairs of trapezoids share (columns of y0, y1, la, lb, ra, rb): a pair's common width is linear between the heights where its sides cross."""
+    y0, y1 = np.maximum(p[0], q[0]), np.minimum(p[1], q[1])
+    sides = {s: (t[i], (t[i + 1] - t[i]) / (t[1] - t[0]), t[0]) for s, t, i in (("pl", p, 2), ("pr", p, 4), ("ql", q, 2), ("qr", q, 4))}
+    x = lambda s, y: sides[s][0] + (y - sides[s][2]) * sides[s][1]
 
-    def meet(s: str, t: str) -> Column:
-        apart = slope[s] - slope[t]
-        return F.coalesce(F.least(F.greatest(y0 + F.when(apart != 0, (x(t, y0) - x(s, y0)) / apart), y0), y1), y0)
+    def meet(s: str, t: str) -> np.ndarray:
+        apart = sides[s][1] - sides[t][1]
+        with np.errstate(all="ignore"):
+            y = np.where(apart != 0, y0 + (x(t, y0) - x(s, y0)) / apart, y0)
+        return np.minimum(np.maximum(y, y0), y1)
 
-    heights = F.array_sort(F.array(y0, y1, *[meet(s, t) for s, t in ((p + "l", q + "l"), (p + "r", q + "r"), (p + "l", q + "r"), (q + "l", p + "r"))]))
-    width = lambda y: F.greatest(F.least(x(p + "r", y), x(q + "r", y)) - F.greatest(x(p + "l", y), x(q + "l", y)), F.lit(0.0))
-    start = F.struct(y0.alias("y"), width(y0).alias("w"), F.lit(0.0).alias("t"))
-    step = lambda s, y: F.struct(y.alias("y"), width(y).alias("w"), (s["t"] + (y - s["y"]) * (s["w"] + width(y)) / 2).alias("t"))
-    return F.when(y1 > y0, F.aggregate(heights, start, step, lambda s: s["t"])).otherwise(0.0)
+    heights = [meet(s, t) for s, t in (("pl", "ql"), ("pr", "qr"), ("pl", "qr"), ("ql", "pr")) if (sides[s][1] != sides[t][1]).any()]
+    heights = np.sort(np.stack([y0, *heights, y1]), 0)
+    width = np.maximum(np.minimum(x("pr", heights), x("qr", heights)) - np.maximum(x("pl", heights), x("ql", heights)), 0.0)
+    return np.where(y1 > y0, ((heights[1:] - heights[:-1]) * (width[:-1] + width[1:]) / 2).sum(0), 0.0)
+
+
+def _blocks(traps: DataFrame, key: str) -> DataFrame:
+    """(key, traps, area, n, x0, y0, x1, y1): at most BLOCK trapezoids of a polygon, from the lowest up, in one array of numbers, with
+    their bounds, and the area and number of all the polygon's. Staged, since a join reads it several times."""
+    every = Window.partitionBy(key)
+    area = (F.col("y1") - F.col("y0")) * (F.col("ra") - F.col("la") + F.col("rb") - F.col("lb")) / 2
+    rows = traps.withColumns({"__b": F.floor((F.row_number().over(every.orderBy("y0", "la")) - 1) / BLOCK), "__area": F.sum(area).over(every), "__n": F.count(F.lit(1)).over(every)})
+    bounds = [f(c).alias(c) for c, f in (("x0", F.min), ("y0", F.min), ("x1", F.max), ("y1", F.max))]
+    numbers = F.flatten(F.collect_list(F.array(*_TRAPEZOID))).alias("traps")
+    return stage(rows.groupBy(key, "__b").agg(numbers, F.first("__area").alias("area"), F.first("__n").alias("n"), *bounds).drop("__b"), "blocks")
+
+
+def _with_common(pairs: DataFrame) -> DataFrame:
+    """Pairs of blocks, without their trapezoids, with the common area of all of them; pairs without one are left out."""
+    fields = StructType([*[f for f in pairs.schema.fields if f.name not in ("l_traps", "r_traps")], StructField("area", DoubleType())])
+
+    def side(numbers: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = pc.list_value_length(numbers).to_numpy(zero_copy_only=False).astype(np.int64) // 6
+        return numbers.flatten().to_numpy(zero_copy_only=False).reshape(-1, 6).T, n, np.cumsum(n) - n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (p, n, begin_p), (q, m, begin_q) = side(batch.column("l_traps")), side(batch.column("r_traps"))
+            total = np.zeros(len(n))
+            ends = np.cumsum(n * m)
+            for first in np.flatnonzero(np.diff(ends // PAIRS, prepend=-1)).tolist():
+                rows = np.arange(first, np.searchsorted(ends, (ends[first] // PAIRS + 1) * PAIRS))
+                row = np.repeat(rows, (n * m)[rows])
+                k = np.arange(len(row)) - (ends - n * m)[row] + (ends - n * m)[first]
+                i, j = begin_p[row] + k // m[row], begin_q[row] + k % m[row]
+                on = np.minimum(p[1, i], q[1, j]) > np.maximum(p[0, i], q[0, j])
+                total += np.bincount(row[on], common_areas(p[:, i[on]], q[:, j[on]]), len(n))
+            kept = batch.select([f.name for f in fields[:-1]])
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(total)], [*kept.schema.names, "area"]).filter(pa.array(total > 0))
+
+    return pairs.mapInArrow(run, fields)
+
+
+def _meeting(left: DataFrame, right: DataFrame, key: str, condition: Column | None, size: float | None) -> DataFrame:
+    """(l_key, r_key, l_area, r_area, area) of the pairs of polygons, given as trapezoids, whose insides meet."""
+    a = _blocks(left, key)
+    b = a if right is left else _blocks(right, key)
+    pairs = cell_join(a, b, size or cell_size(a), condition)
+    found = _with_common(pairs.select(*[s + c for s in ("l_", "r_") for c in (key, "area", "traps")]))
+    if all(blocks.filter(F.col("n") > BLOCK).isEmpty() for blocks in {id(a): a, id(b): b}.values()):
+        return found  # every polygon is one block, so a pair is one row
+    return found.groupBy(f"l_{key}", f"r_{key}").agg(F.first("l_area").alias("l_area"), F.first("r_area").alias("r_area"), F.sum("area").alias("area"))
 
 
 def pair_areas(left: DataFrame, right: DataFrame, key: str, condition: Column | None = None, size: float | None = None) -> DataFrame:
     """(l_key, r_key, area) of the pairs of polygons, given as trapezoids, whose insides meet.
 
-    ``condition`` is on l_key and r_key. Trapezoids meet by an equi-join on grid cells that deals out full cells.
+    ``condition`` is on l_key and r_key. Blocks of trapezoids meet by an equi-join on grid cells that deals out full cells.
     """
-    columns = [key, *_TRAPEZOID, "x0", "x1"]
-    pairs = cell_join(left.select(*columns), right.select(*columns), size or cell_size(left), condition)
-    # generated, so that it is made once for each pair, after the join
-    return pairs.withColumn("__a", F.explode(F.array(common_area()))).filter("__a > 0").groupBy(f"l_{key}", f"r_{key}").agg(F.sum("__a").alias("area"))
+    return _meeting(left, right, key, condition, size).drop("l_area", "r_area")
 
 
 def overlaps(left: DataFrame, right: DataFrame, key: str, condition: Column | None = None) -> DataFrame:
     """(l_key, r_key, area, l_percent, r_percent, contains): pairs with the common area as a share of either; ``contains`` if it is all of one."""
-    name = lambda rows, p: areas(rows, key).select(F.col(key).alias(p + key), F.col("area").alias(p + "area"))
-    pairs = pair_areas(left, right, key, condition).join(name(left, "l_"), f"l_{key}").join(name(right, "r_"), f"r_{key}")
     whole = F.least("l_area", "r_area")
-    return pairs.select(f"l_{key}", f"r_{key}", "area", geometry.pair_coverage(F.col("area"), F.col("l_area")).alias("l_percent"), geometry.pair_coverage(F.col("area"), F.col("r_area")).alias("r_percent"), (F.col("area") >= whole * (1 - 1e-12)).alias("contains"))
+    return _meeting(left, right, key, condition, None).select(f"l_{key}", f"r_{key}", "area", geometry.pair_coverage(F.col("area"), F.col("l_area")).alias("l_percent"), geometry.pair_coverage(F.col("area"), F.col("r_area")).alias("r_percent"), (F.col("area") >= whole * (1 - 1e-12)).alias("contains"))
 
 
 def cells(traps: DataFrame, key: str, size: float) -> DataFrame:

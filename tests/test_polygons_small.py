@@ -43,3 +43,24 @@ def test_corners_that_are_not_finite_go_by_joins(spark):
     rows = spark.createDataFrame([(1, CROSSED), (2, [[(0.0, 0.0), (float("nan"), 3.0), (4.0, 0.0)]]), (3, [[(0.0, 0.0), None, (4.0, 0.0)]])], f"k int, rings {polygons.RINGS}")
     assert {r["k"]: r["small"] for r in polygons._whole(rows, "k", "rings").select(F.col("id").alias("k"), "small").collect()} == {1: True, 2: False, 3: False}
     assert {r["k"]: r["area"] for r in polygons.areas(polygons.trapezoids(rows.filter("k = 1"), "k"), "k").collect()} == {1: 6.0}
+
+
+@pytest.mark.parametrize("pairs", [7, 200_000])
+def test_pairs_of_polygons_of_many_trapezoids(spark, monkeypatch, pairs):
+    """Two combs of teeth and a box: several blocks each, and few pairs of trapezoids at once."""
+    comb = lambda x, y, n: [(x, y), *((x + 5 - 2 * (i % 2), y + 1 + i) for i in range(n)), (x, y + n)]
+    rows = spark.createDataFrame([(1, [comb(0.0, 0.0, 50)]), (2, [comb(2.5, 3.25, 90)]), (3, [[(1.0, 1.0), (3.5, 1.0), (3.5, 40.0), (1.0, 40.0)]])], f"k int, rings {polygons.RINGS}")
+    traps = polygons.trapezoids(rows, "k")
+    monkeypatch.setattr(polygons, "PAIRS", pairs)
+    several = polygons.overlaps(traps, traps, "k", F.col("l_k") < F.col("r_k"))
+    plan = several._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Aggregate" in plan
+    found = _pairs(several)
+    monkeypatch.setattr(polygons, "BLOCK", 1000)
+    assert _pairs(polygons.overlaps(traps, traps, "k", F.col("l_k") < F.col("r_k"))) == found and len(found) == 3
+    monkeypatch.setattr(polygons, "BLOCK", 1)
+    assert _pairs(polygons.overlaps(traps, traps, "k", F.col("l_k") < F.col("r_k"))) == found
+
+
+def _pairs(df):
+    return sorted((r["l_k"], r["r_k"], round(r["area"], 9), round(r["l_percent"], 6), round(r["r_percent"], 6)) for r in df.collect())
