@@ -58,7 +58,11 @@ def inspect_network(pair_stats: DataFrame, residuals: DataFrame, vertex: str | N
 
 def flag_frames(pixels: DataFrame, rules: dict[str, tuple[float, float]], decimate_by: int = 8, least: int = 500) -> DataFrame:
     """(id, reasons) of rasters whose brightness ``p`` or stripe ``score`` is an outlier by the rules (factor of the median, floor)."""
-    measured = raster.brightness(pixels, decimate_by, 0.999, least).join(raster.stripe_score(pixels), "raster_id", "full")
+    return flag_measured(raster.brightness(pixels, decimate_by, 0.999, least).join(raster.stripe_score(pixels), "raster_id", "full"), rules)
+
+
+def flag_measured(measured: DataFrame, rules: dict[str, tuple[float, float]]) -> DataFrame:
+    """The same from what was measured of each raster (raster_id, p, score)."""
     return aggregates.robust_outliers(stage(measured.withColumnRenamed("raster_id", "id"), "frames"), rules)
 
 
