@@ -69,3 +69,26 @@ def test_scores_of_frames_without_gaps_take_no_exchange(spark):
     """What follows the rasters' own pixels is narrow: no exchange holds the rasters without gaps."""
     plan = entry.queries()["dense_stripe_scores"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Scan parquet" in plan
+
+
+def test_flags_of_frames_without_gaps(spark):
+    """The flags are those of the same rasters as pixels, and come of one row for each raster."""
+    pixels = fixtures.load(spark, SF, "pixels").localCheckpoint()
+    means = {(r.x, r.y): r.m for r in pixels.groupBy("x", "y").agg(F.avg("v").alias("m")).collect()}
+    whole = pixels.agg(F.avg("v")).first()[0]
+    own = {}
+    for r in pixels.collect():
+        own.setdefault(r.raster_id, {})[r.x, r.y] = r.v
+    stripe = lambda k, x, y: 0.2 * math.cos(2 * math.pi * (10 * x + 12 * y) / 64) if k % 3 == 0 else 0.0
+    rows = [(k, x, y, 1 + v.get((x, y), means.get((x, y), whole)) + stripe(k, x, y)) for k, v in own.items() for x in range(64) for y in range(64)]
+    want = network.flag_frames(spark.createDataFrame(rows, "raster_id int, x int, y int, v double"), {"p": (1.1, 0.05), "score": (1.2, 5.0)}, decimate_by=2, least=1)
+    got = entry.queries()["flagged_striped_frames"](spark, SF)
+    assert sorted(map(tuple, got.select("id", "reasons").collect())) == sorted(map(tuple, want.select("id", "reasons").collect())) and got.count()
+
+
+def test_measuring_for_flags_stays_by_raster(spark, monkeypatch):
+    plans = []
+    flag = network.flag_measured
+    monkeypatch.setattr(network, "flag_measured", lambda measured, rules: plans.append(measured._jdf.queryExecution().executedPlan().toString()) or flag(measured, rules))
+    entry.queries()["flagged_striped_frames"](spark, SF)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
